@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,23 @@ def finite(value: Column) -> Column:
     return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
 
 
+def all_present(columns: list[str]) -> Column:
+    """No column is NULL.
+
+    One conjunct per column: the optimizer's constraint inference grows with the
+    number of conjuncts, but exponentially with computed columns inside a single
+    ``na.drop`` predicate.
+    """
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+
+
+def all_finite(columns: list[str]) -> Column:
+    """No column is NULL, NaN or infinite."""
+    infinity = F.lit(float("inf"))
+    checks = [c for name in columns for c in (~F.isnan(name), F.abs(name) != infinity)]
+    return reduce(Column.__and__, checks, all_present(columns))
+
+
 def ratio(top: Column, bottom: Column) -> Column:
     """``top / bottom``, NULL where the bottom is zero."""
     return F.try_divide(top, F.nullif(bottom, F.lit(0.0)))

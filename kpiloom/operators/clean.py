@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.functions.numeric import clip
+from kpiloom.functions.numeric import all_present, clip
 from kpiloom.functions.timegrid import floor_to_grid, step_start
 from kpiloom.operators.blocks import (
     BEFORE_HERE,
@@ -160,7 +160,7 @@ def fill_gaps(
 
 def drop_long_gaps(df: DataFrame) -> DataFrame:
     """Drop steps whose gap was too long to fill; other KPIs may stay NULL."""
-    return df.na.drop(subset=["throughput", "latency"])
+    return df.where(all_present(["throughput", "latency"]))
 
 
 def clean_series(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiloom.functions.numeric import finite, ratio
+from kpiloom.functions.numeric import all_finite, all_present, ratio
 from kpiloom.functions.timegrid import cyclic, day_of_week, hour_of_day, step_index
 from kpiloom.operators.blocks import BLOCK, BLOCK_STEPS, in_block, over_blocks, with_block, with_halo
 from kpiloom.schema import (
@@ -74,10 +74,11 @@ def hour_stats(df: DataFrame, grid: str = GRID, steps: int = HOUR_STEPS, **kw) -
     return rolling(df, wanted, grid, **kw)
 
 
-def _previous_rows(df: DataFrame, grid: str, n: int, block_steps: int) -> DataFrame:
-    """The ``n`` rows before each block, oldest first, as ``_past``.
+def _rows_before_blocks(df: DataFrame, grid: str, n: int, beyond: int, block_steps: int) -> DataFrame:
+    """Up to ``n`` rows before each block that lie more than ``beyond`` steps ahead of it.
 
-    Every block has a row, so ``n`` blocks hold enough of them.
+    Lags count rows, so across a hole they reach farther than any halo of time.
+    Every block has a row, so the ``n`` blocks before hold enough of them.
     """
     blocked = with_block(df.select("cell_id", "ts", *KPIS), grid, block_steps)
     newest = Window.partitionBy(*BLOCK).orderBy(F.col("_i").desc())
@@ -85,49 +86,36 @@ def _previous_rows(df: DataFrame, grid: str, n: int, block_steps: int) -> DataFr
         blocked.withColumn("_rn", F.row_number().over(newest))
         .where(F.col("_rn") <= n)
         .groupBy(*BLOCK)
-        .agg(F.sort_array(F.collect_list(F.struct("_i", *KPIS))).alias("_tail"))
+        .agg(F.sort_array(F.collect_list(F.struct("_i", "ts", *KPIS))).alias("_tail"))
     )
     joined = F.flatten(F.collect_list("_tail").over(over_blocks().rowsBetween(-n, -1)))
     kept = tails.select(*BLOCK, joined.alias("_all"))
-    return kept.select(
-        *BLOCK, F.slice("_all", F.greatest(F.size("_all") - (n - 1), F.lit(1)), n).alias("_past")
+    last = F.slice("_all", F.greatest(F.size("_all") - (n - 1), F.lit(1)), n)
+    edge = F.col("_block") * block_steps - beyond
+    far = F.filter(last, lambda r: r["_i"] < edge)
+    return kept.select(*BLOCK, F.explode(far).alias("_r")).select(
+        "cell_id", "_r.ts", *[f"_r.{k}" for k in KPIS], "_r._i", "_block", F.lit(False).alias("_own")
     )
 
 
-def _lag_columns(lags: Iterable[int]) -> dict[str, Column]:
-    """Lags by row; near a block's start they come from the carried rows."""
-    own_before = F.coalesce(
-        F.sum(F.col("_own").cast("int")).over(in_block().rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0),
-    )
-    columns = {"_seen": own_before}
-    for k in KPIS:
-        for n in lags:
-            columns[f"_in_{k}_{n}"] = F.lag(k, n).over(in_block())
-    return columns
+def _blocks_for_lags(df: DataFrame, grid: str, n: int, beyond: int, block_steps: int) -> DataFrame:
+    """Blocks with ``beyond`` steps of past and at least ``n`` earlier rows, where they exist."""
+    blocked = _blocks_with_past(df.select("cell_id", "ts", *KPIS), grid, beyond + 1, block_steps)
+    earlier = _rows_before_blocks(df, grid, n, beyond, block_steps)
+    return blocked.unionByName(earlier)
 
 
-def _settle_lags(df: DataFrame, lags: Iterable[int]) -> DataFrame:
-    settled = {}
-    for k in KPIS:
-        for n in lags:
-            place = F.size("_past") - (F.lit(n) - F.col("_seen"))
-            carried = F.get(F.col("_past"), place.cast("int"))[k]
-            settled[f"{k}_lag_{n}"] = F.when(F.col("_seen") >= n, F.col(f"_in_{k}_{n}")).otherwise(carried)
-    return df.withColumns(settled)
+def _lag_columns(steps: Iterable[int]) -> dict[str, Column]:
+    return {f"{k}_lag_{n}": F.lag(k, n).over(in_block()) for k in KPIS for n in steps}
 
 
 def lags(
     df: DataFrame, grid: str = GRID, steps: Iterable[int] = LAGS, block_steps: int = BLOCK_STEPS
 ) -> DataFrame:
-    """Values of earlier rows; the shift counts rows, so it crosses holes."""
-    steps = list(steps)
-    past = _previous_rows(df, grid, max(steps), block_steps)
-    blocked = with_block(df, grid, block_steps).withColumn("_own", F.lit(True))
-    ready = blocked.withColumns(_lag_columns(steps)).join(past, BLOCK, "left")
-    return _settle_lags(ready, steps).select(
-        *df.columns, *[f"{k}_lag_{n}" for k in KPIS for n in steps]
-    )
+    """KPIs and their values some rows earlier; the shift counts rows, so it crosses holes."""
+    wanted = _lag_columns(list(steps))
+    blocked = _blocks_for_lags(df, grid, max(steps), 0, block_steps)
+    return _own_rows(blocked.withColumns(wanted), ["cell_id", "ts", *KPIS, *wanted])
 
 
 def build_features(
@@ -137,7 +125,7 @@ def build_features(
 
     All frames and lags share the window ``(cell_id, block)``.
     """
-    blocked = _blocks_with_past(clean.select("cell_id", "ts", *KPIS), grid, HOUR_STEPS, block_steps)
+    blocked = _blocks_for_lags(clean, grid, max(LAGS), HOUR_STEPS - 1, block_steps)
     wanted: dict[str, Column] = {}
     for k in KPIS:
         wanted |= {f"{k}_mean_{w}": F.avg(k).over(_frame(n)) for w, n in MEAN_WINDOWS.items()}
@@ -145,13 +133,11 @@ def build_features(
         wanted[f"{k}_hour_mean"] = F.avg(k).over(_frame(HOUR_STEPS))
     wanted["cell_load_hour_max"] = F.max("cell_load").over(_frame(HOUR_STEPS))
     wanted |= _lag_columns(LAGS)
-    windowed = blocked.withColumns(wanted).where("_own")
-    ready = windowed.join(_previous_rows(clean, grid, max(LAGS), block_steps), BLOCK, "left")
-    seasonal = _settle_lags(ready, LAGS).withColumns(
-        {"hour_of_day": hour_of_day(F.col("ts")), "day_of_week": day_of_week(F.col("ts"))}
-    )
-    features = seasonal.select("ts", "cell_id", *feature_names())
-    return features.na.drop("any") if drop_incomplete else features
+    rows = _own_rows(blocked.withColumns(wanted), ["ts", "cell_id", *wanted])
+    if drop_incomplete:
+        rows = rows.where(all_present(list(wanted)))
+    season = {"hour_of_day": hour_of_day(F.col("ts")), "day_of_week": day_of_week(F.col("ts"))}
+    return rows.withColumns(season).select("ts", "cell_id", *feature_names())
 
 
 def add_cyclic(df: DataFrame) -> DataFrame:
@@ -184,7 +170,8 @@ def prepare_features(features: DataFrame, drop_season_ints: bool = True) -> Data
     if drop_season_ints:
         wide = wide.drop(*SEASON_INTS)
     doubles = [f.name for f in wide.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return wide.withColumns({c: finite(F.col(c)) for c in doubles}).na.drop("any")
+    others = [c for c in wide.columns if c not in doubles]
+    return wide.where(all_present(others) & all_finite(doubles))
 
 
 def _numeric(df: DataFrame) -> list[str]:

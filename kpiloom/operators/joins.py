@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kpiloom.functions.numeric import all_present
 from kpiloom.functions.timegrid import floor_to_grid, grid_us, shift
 from kpiloom.schema import GRID, HORIZONS, KEY, KPIS, MIN_MATCH_RATE, target_name
 
@@ -88,7 +89,7 @@ def supervised(
 ) -> DataFrame:
     """Rows for which every target exists."""
     wanted = [target_name(k, h) for k in KPIS for h in horizons]
-    return build_targets(features, history, horizons, grid=grid).na.drop(subset=wanted)
+    return build_targets(features, history, horizons, grid=grid).where(all_present(wanted))
 
 
 def at_alerts(df: DataFrame, alerts: DataFrame) -> DataFrame:

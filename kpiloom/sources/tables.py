@@ -10,6 +10,7 @@ from kpiloom.operators.clean import clean_series, labels_on_grid
 from kpiloom.operators.features import build_features
 from kpiloom.operators.select import require_cell, where_range
 from kpiloom.schema import CLEAN, FEATURES, GRID, KEY, RAW
+from kpiloom.session import cut
 from kpiloom.sources.files import path_exists
 
 
@@ -44,14 +45,16 @@ def upsert(df: DataFrame, path: str, keys: list[str] = KEY) -> None:
     Spark stages the new files and swaps each day's folder when the job commits.
     """
     spark = df.sparkSession
+    # Staged once: the rows are needed for the list of days and for the merge.
+    staged = cut(df.dropDuplicates(keys))
     if not path_exists(spark, path):
-        append(df.dropDuplicates(keys), path)
+        append(staged, path)
         return
-    days = df.select(F.to_date("ts").alias("date")).distinct()
+    days = staged.select(F.to_date("ts").alias("date")).distinct()
     # A day is 4 bytes; even a century of days stays far below any broadcast limit.
     stored = spark.read.schema(_dated(df.schema)).parquet(path)
     touched = stored.join(F.broadcast(days), "date", "left_semi").select(*df.columns)
-    merged = merge_rows(touched, df.dropDuplicates(keys), keys)
+    merged = merge_rows(touched, staged, keys)
     _by_day(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 

@@ -306,8 +306,8 @@ add("latest_state", f"{P}, newest AS (SELECT * FROM rolled QUALIFY row_number()
     f"c.cause_kpi, c.cause_excess FROM newest n JOIN ({blame('newest', 'cell_id, ts', '_mean_5m')}) c ON c.cell_id = n.cell_id",
     "cell_id:s ts:t " + each("{k}_mean_5m:d", " ") + " qos_state:s qos_state_rank:l cause_kpi:s cause_excess:d")
 add("first_cells", f"{C} SELECT * FROM clean WHERE cell_id IN (SELECT DISTINCT cell_id FROM clean ORDER BY 1 LIMIT 2)", CLEAN_COLUMNS)
-add("origins", f"{P} SELECT cell_id, ts FROM prepared QUALIFY (row_number() OVER w - 1) % 30 = 0 AND row_number() OVER w <= 3600 "
-    "WINDOW w AS (PARTITION BY cell_id ORDER BY ts)", "cell_id:s ts:t")
+add("origins", f"{P} SELECT cell_id, ts FROM prepared WINDOW w AS (PARTITION BY cell_id ORDER BY ts) "
+    "QUALIFY (row_number() OVER w - 1) % 30 = 0 AND row_number() OVER w <= 3600", "cell_id:s ts:t")
 add("systematic_sample", f"{P} SELECT cell_id, ts FROM (SELECT cell_id, ts, row_number() OVER (ORDER BY cell_id, ts) - 1 AS rn, "
     "greatest(count(*) OVER () // 500, 1) AS step FROM prepared) WHERE rn % step = 0 AND rn < step * 500", "cell_id:s ts:t")
 
@@ -328,7 +328,7 @@ def day_before(k: str, p: str = "p") -> tuple[str, str]:
     """Select list and joins of the seasonal-naive forecast of one KPI."""
     cols = ", ".join(f"coalesce(b{h}.{k}, {p}.{k}_mean_5m) AS y_hat_{h}" for h in HORIZONS)
     joins = " ".join(
-        f"LEFT JOIN clean b{h} ON b{h}.cell_id = {p}.cell_id AND b{h}.ts = {p}.ts + INTERVAL {h - 24} HOUR" for h in HORIZONS
+        f"LEFT JOIN clean b{h} ON b{h}.cell_id = {p}.cell_id AND b{h}.ts = {p}.ts + INTERVAL ({h - 24}) HOUR" for h in HORIZONS
     )
     return cols, joins
 
@@ -341,8 +341,8 @@ add("alert_semi_join", f"{ALERTS} SELECT c.* FROM clean c SEMI JOIN (SELECT * FR
 add("shifted_forecast", f"{P} SELECT cell_id, ts + INTERVAL 15 HOUR AS ts, latency_mean_5m AS y_hat FROM prepared",
     "cell_id:s ts:t y_hat:d")
 add("arima_context", f"{T}, numbered_clean AS (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY ts) AS pos FROM clean), "
-    "starts AS (SELECT cell_id, ts AS origin FROM supervised WHERE segment = 'test' QUALIFY (row_number() OVER w - 1) % 30 = 0 "
-    "AND row_number() OVER w <= 3600 WINDOW w AS (PARTITION BY cell_id ORDER BY ts)) "
+    "starts AS (SELECT cell_id, ts AS origin FROM supervised WHERE segment = 'test' WINDOW w AS (PARTITION BY cell_id ORDER BY ts) "
+    "QUALIFY (row_number() OVER w - 1) % 30 = 0 AND row_number() OVER w <= 3600) "
     "SELECT s.cell_id, s.origin, count(*) AS n, min(h.ts) AS first_ts, avg(h.latency) AS latency FROM starts s "
     "JOIN numbered_clean o ON o.cell_id = s.cell_id AND o.ts = s.origin "
     "JOIN numbered_clean h ON h.cell_id = s.cell_id AND h.pos <= o.pos AND h.pos > o.pos - 1440 GROUP BY 1, 2",
@@ -590,7 +590,7 @@ add("trim_extremes", f"{S}, {params('own', True, TRAIN)}, far AS (SELECT t.cell_
 
 # -- forecasts
 
-_joins24 = " ".join(f"LEFT JOIN clean b{h} ON b{h}.cell_id = p.cell_id AND b{h}.ts = p.ts + INTERVAL {h - 24} HOUR" for h in HORIZONS)
+_joins24 = " ".join(f"LEFT JOIN clean b{h} ON b{h}.cell_id = p.cell_id AND b{h}.ts = p.ts + INTERVAL ({h - 24}) HOUR" for h in HORIZONS)
 
 
 def long_forecasts(src: str, scope: str) -> str:
@@ -619,7 +619,7 @@ TEST = ", test_rows AS (SELECT * FROM supervised WHERE segment = 'test')"
 F = f"{T}{TEST}, forecasts AS ({long_forecasts('test_rows', 'test_complet')}), {TABLE}"
 add("forecast_table", f"{F} SELECT * FROM table_", "scope:s model:s kpi:s horizon_min:l mae:d rmse:d mape:d smape:d biais:d n:l gain_mae_vs_persistance_pct:d unite:s")
 ORIGIN_ROWS = (
-    "origin_rows AS (SELECT * FROM test_rows QUALIFY (row_number() OVER w - 1) % 30 = 0 AND row_number() OVER w <= 3600 WINDOW w AS (PARTITION BY cell_id ORDER BY ts))"
+    "origin_rows AS (SELECT * FROM test_rows WINDOW w AS (PARTITION BY cell_id ORDER BY ts) QUALIFY (row_number() OVER w - 1) % 30 = 0 AND row_number() OVER w <= 3600)"
 )
 add("forecast_scopes", f"{T}{TEST}, {ORIGIN_ROWS}, forecasts AS ({long_forecasts('test_rows', 'test_complet')} UNION ALL {long_forecasts('origin_rows', 'origines_communes')}) {ERROR}",
     "scope:s model:s kpi:s horizon_min:l mae:d n:l")
