@@ -68,7 +68,8 @@ def detector_study(
     for d in detectors:
         d.fit(train)
     scores = cut(score_table(detectors, split))
-    return compare(scores, operating_points(scores, detectors, train, contamination), grid, minutes_per_point)
+    points = cut(operating_points(scores, detectors, train, contamination))
+    return compare(scores, points, grid, minutes_per_point)
 
 
 def select_autoencoder(columns: list[str], split: DataFrame, grid=AUTOENCODER_GRID, **settings):

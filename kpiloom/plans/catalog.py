@@ -112,11 +112,15 @@ def supervised_table(spark, sf_dir):
 
 def score_table(spark, sf_dir):
     """Scores of two unlearned detectors on every segment."""
-    rows = split_table(spark, sf_dir)
-    keep = ["segment", "ts", "cell_id", "is_anomaly"]
-    level = rows.withColumn("score", F.round("latency_ratio_to_hour", 6))
-    ratio = level.select(F.lit("ratio_latence").alias("detector"), *keep, "score")
-    return scored([ThresholdDetector()], rows, keep).unionByName(ratio)
+
+    def make():
+        rows = split_table(spark, sf_dir)
+        keep = ["segment", "ts", "cell_id", "is_anomaly"]
+        level = rows.withColumn("score", F.round("latency_ratio_to_hour", 6))
+        ratio = level.select(F.lit("ratio_latence").alias("detector"), *keep, "score")
+        return scored([ThresholdDetector()], rows, keep).unionByName(ratio)
+
+    return _stored("scores", spark, sf_dir, make)
 
 
 def alert_table(spark, sf_dir):
@@ -698,7 +702,7 @@ def _compared(spark, sf_dir):
     free = metrics.score_thresholds(scores.where("segment = 'train'"), 0.02).select(
         "detector", F.lit("exploitation").alias("point_de_fonctionnement"), "seuil"
     )
-    return anomaly_plan.compare(scores, free.unionByName(chosen), GRID, MINUTES)
+    return anomaly_plan.compare(scores, cut(free.unionByName(chosen)), GRID, MINUTES)
 
 
 @query
@@ -760,7 +764,8 @@ def _forecast_table(spark, sf_dir):
 @query
 def forecast_table(spark, sf_dir):
     rows = fc.long_forecasts(baselines(spark, sf_dir), test_rows(spark, sf_dir))
-    return forecast_plan.forecast_table(rows)
+    # MAPE explodes where the truth is near zero; six decimals are beyond a double there.
+    return forecast_plan.forecast_table(rows).withColumn("mape", F.round("mape", 2))
 
 
 @query
@@ -985,6 +990,6 @@ def stream_episodes(spark, sf_dir):
 @query
 def stream_refresh(spark, sf_dir):
     folder = new_path(spark, "store")
-    stream = live.read_landing(spark, _landing(spark, sf_dir), files_per_batch=1)
+    stream = live.read_landing(spark, _landing(spark, sf_dir, 2), files_per_batch=1)
     _run(live.refresh_stream(stream, folder, new_path(spark, "ckpt"), GRID))
     return tables.scan(spark, f"{folder}/features", FEATURES, ["cell_id", "ts", "throughput_mean_5m", "latency_lag_10", "jitter_hour_mean"])

@@ -617,7 +617,7 @@ TABLE = (
 )
 TEST = ", test_rows AS (SELECT * FROM supervised WHERE segment = 'test')"
 F = f"{T}{TEST}, forecasts AS ({long_forecasts('test_rows', 'test_complet')}), {TABLE}"
-add("forecast_table", f"{F} SELECT * FROM table_", "scope:s model:s kpi:s horizon_min:l mae:d rmse:d mape:d smape:d biais:d n:l gain_mae_vs_persistance_pct:d unite:s")
+add("forecast_table", f"{F} SELECT * REPLACE (round(mape, 2) AS mape) FROM table_", "scope:s model:s kpi:s horizon_min:l mae:d rmse:d mape:d smape:d biais:d n:l gain_mae_vs_persistance_pct:d unite:s")
 ORIGIN_ROWS = (
     "origin_rows AS (SELECT * FROM test_rows WINDOW w AS (PARTITION BY cell_id ORDER BY ts) QUALIFY (row_number() OVER w - 1) % 30 = 0 AND row_number() OVER w <= 3600)"
 )
