@@ -39,9 +39,9 @@ class Detector:
     def score(self, df: DataFrame) -> DataFrame:
         raise NotImplementedError
 
-    def default_threshold(self, train: DataFrame, contamination: float = CONTAMINATION) -> Column:
-        """The score quantile that flags ``contamination`` of the rows; no truth needed."""
-        return quantile_scalar(self.score(train).select("score"), "score", 1 - contamination)
+    def default_threshold(self, scored: DataFrame, contamination: float = CONTAMINATION) -> Column:
+        """The quantile of scored rows above which ``contamination`` lies; no truth needed."""
+        return quantile_scalar(scored, "score", 1 - contamination)
 
     def predict(self, df: DataFrame, threshold: Column) -> DataFrame:
         return self.score(df).withColumn("is_anomaly_pred", F.col("score") >= threshold)
@@ -58,7 +58,7 @@ class ThresholdDetector(Detector):
     def score(self, df: DataFrame) -> DataFrame:
         return df.withColumn("score", qos.worst_rank(df, self.thresholds, self.suffix).cast("double"))
 
-    def default_threshold(self, train: DataFrame, contamination: float = CONTAMINATION) -> Column:
+    def default_threshold(self, scored: DataFrame, contamination: float = CONTAMINATION) -> Column:
         return F.lit(2.0)
 
 
@@ -310,7 +310,7 @@ class DensityDetector(_Scaled):
             self._vectors(df), self._shared, "score", "double", lambda d: d.min(axis=1)
         ).drop("_x")
 
-    def default_threshold(self, train: DataFrame, contamination: float = CONTAMINATION) -> Column:
+    def default_threshold(self, scored: DataFrame, contamination: float = CONTAMINATION) -> Column:
         return F.lit(float(self.eps))
 
 

@@ -104,23 +104,14 @@ def autocorrelation(
     placed = with_position(history.select("cell_id", "ts", *KPIS), grid, block_steps)
     size = max(block_steps, longest)
     blocked = with_halo(placed, "_pos", before=longest, block_steps=size)
-    shifted = blocked.select(
-        "cell_id",
-        "_own",
-        *KPIS,
-        *[F.lag(k, n).over(in_block("_pos")).alias(f"{k}__{n}") for k in KPIS for n in lags],
-    ).where("_own")
-    row = shifted.groupBy("cell_id").agg(
-        *[F.corr(k, f"{k}__{n}").alias(f"{k}__{n}") for k in KPIS for n in lags]
+    past = F.array(
+        *[F.struct(F.lit(n).alias("lag"), F.lag(F.struct(*KPIS), n).over(in_block("_pos")).alias("before")) for n in lags]
+    )
+    shifted = blocked.withColumn("_past", past).where("_own").select("cell_id", *KPIS, F.explode("_past").alias("p"))
+    rows = shifted.groupBy("cell_id", "p.lag").agg(*[F.corr(k, F.col("p.before")[k]).alias(k) for k in KPIS])
+    return rows.unpivot(["cell_id", "lag"], KPIS, "kpi", "r").select(
+        "cell_id", "kpi", "lag", F.nanvl("r", F.lit(None)).alias("autocorr")
     )
-    cells = [
-        F.struct(
-            F.lit(k).alias("kpi"), F.lit(n).alias("lag"), F.nanvl(F.col(f"{k}__{n}"), F.lit(None)).alias("autocorr")
-        )
-        for k in KPIS
-        for n in lags
-    ]
-    return row.select("cell_id", F.explode(F.array(*cells)).alias("c")).select("cell_id", "c.*")
 
 
 def grid_gaps(history: DataFrame, grid: str = GRID, block_steps: int = BLOCK_STEPS) -> DataFrame:

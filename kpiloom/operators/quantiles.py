@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from kpiloom.operators.select import join_params
 
 # Sketch sizes: one per group, or a finer one when there is only one group.
-GROUP_ACCURACY, TABLE_ACCURACY = 10_000, 100_000
+GROUP_ACCURACY, TABLE_ACCURACY = 1_000, 10_000
+# Each bracket is cut into this many equal value ranges; only those with a wanted rank are ordered.
+PARTS = 256
 
 
 def exact_quantiles(
@@ -22,9 +24,10 @@ def exact_quantiles(
     """Linearly interpolated quantiles as rows ``(by, name, prob, value, n)``.
 
     Two passes.  A sketch of fixed size brackets each wanted rank.  The second
-    pass counts what lies below a bracket and orders only the distinct values
-    inside it, a share of about ``8 / accuracy``.  Equal values are counted
-    before the shuffle.  Groups of at most ``accuracy`` values are bracketed whole.
+    pass counts what lies below a bracket and the distinct values inside it, a
+    share of about ``8 / accuracy``.  Brackets are cut into ranges, and only the
+    ranges that hold a wanted rank are ordered.  Equal values are counted before
+    the shuffle.  Groups of at most ``accuracy`` values are bracketed whole.
 
     ``by`` may be ``cell_id``, or any column of ``few_groups`` values.
     """
@@ -38,38 +41,64 @@ def exact_quantiles(
     elif few_groups:
         both = packed.join(F.broadcast(sketch), by)
     elif by == "cell_id":
-        both = join_params(packed, sketch, how="inner")
+        # A left join keeps the long side where it is, however small Spark believes it to be.
+        both = join_params(packed, sketch)
     else:
         raise ValueError("many groups are supported for cell_id only")
 
-    reached = F.filter(F.col("_q.ranges"), lambda r: F.col("_v") <= r["high"])
+    # Each value travels with its own column's brackets only.
+    paired = F.transform(
+        "_x", lambda v, i: F.struct(i.alias("at"), v.alias("v"), F.try_element_at("_s", i).alias("q"))
+    )
+    reached = F.filter(F.col("_z.q.ranges"), lambda r: F.col("_z.v") <= r["high"])
+    low, high = F.col("_r.low"), F.col("_r.high")
+    place = F.when(high > low, F.least(F.floor((F.col("_v") - low) / (high - low) * PARTS), F.lit(PARTS - 1)))
     counted = (
-        both.select(*keys, "_s", F.posexplode("_x").alias("_at", "_v"))
-        .withColumn("_q", F.try_element_at("_s", F.col("_at")))
-        .select(*keys, "_at", "_v", F.col("_q.n").alias("n"), F.explode(reached).alias("_r"))
+        both.select(*keys, F.explode(paired).alias("_z"))
+        .select(
+            *keys,
+            F.col("_z.at").alias("_at"),
+            F.col("_z.v").alias("_v"),
+            F.col("_z.q.n").alias("n"),
+            F.explode(reached).alias("_r"),
+        )
+        .withColumn("_in", F.col("_v") >= low)
         .select(
             *keys,
             "_at",
             F.col("_r.prob").alias("prob"),
             "n",
-            F.when(F.col("_v") >= F.col("_r.low"), F.col("_v")).alias("value"),
+            F.when(F.col("_in"), F.coalesce(place, F.lit(0))).otherwise(-1).alias("_part"),
+            F.when(F.col("_in"), F.col("_v")).alias("value"),
         )
-        .groupBy(*keys, "_at", "prob", "n", "value")
+        .groupBy(*keys, "_at", "prob", "n", "_part", "value")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     one = [*keys, "_at", "prob", "n"]
-    ordered = Window.partitionBy(*one).orderBy(F.col("value").asc_nulls_first())
-    running = counted.withColumn("_upto", F.sum("_c").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-
     rank = F.col("prob") * (F.col("n") - 1)
     low_rank, high_rank = F.floor(rank), F.ceil(rank)
-    inside = F.col("value").isNotNull()
-    found = running.groupBy(*one).agg(
-        F.coalesce(F.max(F.when(~inside, F.col("_c"))), F.lit(0)).alias("_below"),
-        F.min(F.when(inside & (F.col("_upto") > low_rank), F.col("value"))).alias("_low"),
-        F.min(F.when(inside & (F.col("_upto") > high_rank), F.col("value"))).alias("_high"),
+
+    def holds(wanted: Column) -> Column:
+        return (wanted >= F.col("_before")) & (wanted < F.col("_before") + F.col("_size"))
+
+    # At most PARTS + 1 rows per wanted rank.
+    sizes = counted.groupBy(*one, "_part").agg(F.sum("_c").alias("_size"))
+    earlier = Window.partitionBy(*one).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+    chosen = ranged.where(holds(low_rank) | holds(high_rank)).drop("_size")
+
+    ordered = Window.partitionBy(*one, "_part").orderBy("value")
+    running = counted.join(chosen, [*one, "_part"]).withColumn(
+        "_upto", F.col("_before") + F.sum("_c").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
     )
-    safe = (F.col("_below") <= low_rank) & F.col("_high").isNotNull()
+
+    def at_rank(wanted: Column) -> Column:
+        mine = (F.col("_upto") > wanted) & (F.col("_upto") - F.col("_c") <= wanted)
+        return F.max(F.when(mine, F.col("value")))
+
+    found = running.groupBy(*one).agg(at_rank(low_rank).alias("_low"), at_rank(high_rank).alias("_high"))
+    # A rank outside its bracket would leave a NULL here.
+    safe = F.col("_low").isNotNull() & F.col("_high").isNotNull()
     value = F.col("_low") + (F.col("_high") - F.col("_low")) * (rank - low_rank)
     return found.select(
         *keys,

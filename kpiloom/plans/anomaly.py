@@ -22,16 +22,17 @@ def score_table(detectors: list[Detector], split: DataFrame) -> DataFrame:
     return scored(detectors, split, ["segment", *KEEP])
 
 
-def operating_points(scores: DataFrame, detectors: list[Detector], train: DataFrame, contamination: float) -> DataFrame:
+def operating_points(scores: DataFrame, detectors: list[Detector], contamination: float) -> DataFrame:
     """``detector, point_de_fonctionnement, seuil``: one without truth, one from validation."""
+    trained = scores.where("segment = 'train'")
     unsupervised = reduce(
         DataFrame.unionByName,
         [
             # A detector with a natural threshold says so; the others use a score quantile.
-            train.sparkSession.range(1).select(
+            scores.sparkSession.range(1).select(
                 F.lit(d.name).alias("detector"),
                 F.lit("exploitation").alias("point_de_fonctionnement"),
-                d.default_threshold(train, contamination).alias("seuil"),
+                d.default_threshold(trained.where(F.col("detector") == d.name), contamination).alias("seuil"),
             )
             for d in detectors
         ],
@@ -68,7 +69,7 @@ def detector_study(
     for d in detectors:
         d.fit(train)
     scores = cut(score_table(detectors, split))
-    points = cut(operating_points(scores, detectors, train, contamination))
+    points = cut(operating_points(scores, detectors, contamination))
     return compare(scores, points, grid, minutes_per_point)
 
 

@@ -691,7 +691,7 @@ def score_histogram(spark, sf_dir):
 def threshold_detector(spark, sf_dir):
     model = ThresholdDetector()
     rows = prepared_table(spark, sf_dir)
-    return model.predict(rows, model.default_threshold(rows)).select("cell_id", "ts", "score", "is_anomaly_pred")
+    return model.predict(rows, model.default_threshold(model.score(rows))).select("cell_id", "ts", "score", "is_anomaly_pred")
 
 
 def _compared(spark, sf_dir):

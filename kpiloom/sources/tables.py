@@ -39,17 +39,19 @@ def merge_rows(old: DataFrame, new: DataFrame, keys: list[str] = KEY) -> DataFra
     return both.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn", "_new")
 
 
-def upsert(df: DataFrame, path: str, keys: list[str] = KEY) -> None:
+def upsert(df: DataFrame, path: str, keys: list[str] = KEY, unique: bool = False) -> None:
     """Insert or replace rows; only the days present in ``df`` are rewritten.
 
-    Spark stages the new files and swaps each day's folder when the job commits.
+    ``unique`` says that no key repeats in ``df``.  Spark stages the new files and
+    swaps each day's folder when the job commits.
     """
     spark = df.sparkSession
-    # Staged once: the rows are needed for the list of days and for the merge.
-    staged = cut(df.dropDuplicates(keys))
+    rows = df if unique else df.dropDuplicates(keys)
     if not path_exists(spark, path):
-        append(staged, path)
+        append(rows, path)
         return
+    # Staged once: the rows are needed for the list of days and for the merge.
+    staged = cut(rows)
     days = staged.select(F.to_date("ts").alias("date")).distinct()
     # A day is 4 bytes; even a century of days stays far below any broadcast limit.
     stored = spark.read.schema(_dated(df.schema)).parquet(path)
@@ -114,6 +116,6 @@ class Store:
 
     def refresh(self) -> None:
         """RAW to CLEAN to FEATURES, each written once; features read the stored CLEAN."""
-        upsert(clean_series(self.raw(), self.grid).select(*CLEAN.fieldNames()), self.path("clean"))
+        upsert(clean_series(self.raw(), self.grid).select(*CLEAN.fieldNames()), self.path("clean"), unique=True)
         clean = scan(self.spark, self.path("clean"), CLEAN)
-        upsert(build_features(clean, self.grid).select(*FEATURES.fieldNames()), self.path("features"))
+        upsert(build_features(clean, self.grid).select(*FEATURES.fieldNames()), self.path("features"), unique=True)

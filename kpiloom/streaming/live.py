@@ -105,9 +105,9 @@ def refresh_touched(batch: DataFrame, folder: str, grid: str = GRID, halo_steps:
         return around.where(inside).drop("_from", "_to")
 
     raw = window(f"{folder}/raw", RAW, halo)
-    tables.upsert(only_reached(clean_series(raw, grid)).select(*CLEAN.fieldNames()), f"{folder}/clean")
+    tables.upsert(only_reached(clean_series(raw, grid)).select(*CLEAN.fieldNames()), f"{folder}/clean", unique=True)
     clean = window(f"{folder}/clean", CLEAN, halo)
-    tables.upsert(only_reached(build_features(clean, grid)).select(*FEATURES.fieldNames()), f"{folder}/features")
+    tables.upsert(only_reached(build_features(clean, grid)).select(*FEATURES.fieldNames()), f"{folder}/features", unique=True)
 
 
 def refresh_stream(stream: DataFrame, folder: str, checkpoint: str, grid: str = GRID, halo_steps: int | None = None) -> DataStreamWriter:
