@@ -58,7 +58,7 @@ def main() -> None:
 
     # Raw to clean to features, stored, on the minute grid.
     store = tables.Store(spark, new_path(spark, "bench"), load_raw(spark, SF_DIR))
-    timed("pipeline_minute_grid", store.refresh)
+    timed("refresh_minute_grid", store.refresh)
     clean = tables.scan(spark, store.path("clean"), CLEAN)
     feature_rows = tables.scan(spark, store.path("features"), FEATURES)
     timed("feature_page_10000", lambda: select.page(feature_rows, 10_000).rows.collect())

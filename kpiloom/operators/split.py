@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.timegrid import grid_us, shift
 from kpiloom.operators.blocks import with_position
+from kpiloom.operators.select import join_params
 from kpiloom.schema import GRID, PURGE, TRAIN_RATIO, VAL_RATIO
 
 SEGMENTS = ["train", "val", "test"]
@@ -31,16 +32,28 @@ def temporal_split(
         raise ValueError("ratios must lie between 0 and 1")
     if train_ratio + val_ratio >= 1:
         raise ValueError("the ratios leave no rows for the test segment")
-    placed = with_position(df, grid, totals=True)
+    placed = with_position(df.select("cell_id", "ts"), grid, totals=True)
     train_end = F.floor(F.col("_rows") * F.lit(float(train_ratio)))
     val_end = F.floor(F.col("_rows") * F.lit(float(train_ratio + val_ratio)))
-    pos = F.col("_pos")
+    pos, ts = F.col("_pos"), F.col("ts")
+    # Only keys are shuffled to find the instants where segments begin and end.
+    bounds = placed.groupBy("cell_id").agg(
+        F.max(F.when(pos < train_end, ts)).alias("_train_to"),
+        F.min(F.when(pos >= train_end + purge, ts)).alias("_val_from"),
+        F.max(F.when(pos < val_end, ts)).alias("_val_to"),
+        F.min(F.when(pos >= val_end + purge, ts)).alias("_test_from"),
+    )
     segment = (
-        F.when(pos < train_end, "train")
-        .when((pos >= train_end + purge) & (pos < val_end), "val")
-        .when(pos >= val_end + purge, "test")
+        F.when(ts <= F.col("_train_to"), "train")
+        .when((ts >= F.col("_val_from")) & (ts <= F.col("_val_to")), "val")
+        .when(ts >= F.col("_test_from"), "test")
+    )
+    return (
+        join_params(df, bounds)
+        .withColumn("segment", segment)
+        .where("segment IS NOT NULL")
+        .select(*df.columns, "segment")
     )
-    return placed.withColumn("segment", segment).where("segment IS NOT NULL").drop("_pos", "_rows")
 
 
 def split_by_timestamp(df: DataFrame, train_end, val_end, purge: int = PURGE, grid: str = "1 minute") -> DataFrame:

@@ -860,6 +860,12 @@ def autoencoder(spark, sf_dir):
     return _fitted_scores(spark, sf_dir, lambda c: Autoencoder(c, max_iter=30))
 
 
+@query
+def autoencoder_grid(spark, sf_dir):
+    rows = split_table(spark, sf_dir)
+    return anomaly_plan.select_autoencoder(features.anomaly_features(rows), rows, max_iter=3)[1]
+
+
 @query
 def explain(spark, sf_dir):
     model, rows = _learned(spark, sf_dir, lambda c: Autoencoder(c, max_iter=10))
@@ -890,7 +896,7 @@ def _boosted(spark, sf_dir, **settings):
 @query
 def gbt_forecast(spark, sf_dir):
     model, rows = _boosted(spark, sf_dir, loss="squared")
-    return model.predict(rows.where("segment = 'test'").select("*"), "latency", 5).select("cell_id", "ts", "y_hat")
+    return model.predict(rows.where("segment = 'test'"), "latency", 5).select("cell_id", "ts", "y_hat")
 
 
 @query
@@ -898,6 +904,11 @@ def gbt_selection(spark, sf_dir):
     return _boosted(spark, sf_dir)[0].selection_table(spark)
 
 
+@query
+def gbt_objectives(spark, sf_dir):
+    return forecast_plan.retained_objectives(_boosted(spark, sf_dir)[0].selection_table(spark))
+
+
 @query
 def gbt_importance(spark, sf_dir):
     return _boosted(spark, sf_dir, loss="squared")[0].feature_importance(spark, "latency", 5)

@@ -53,6 +53,11 @@ def best_model(table: DataFrame) -> DataFrame:
     return mean.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
 
 
+def retained_objectives(selection: DataFrame) -> DataFrame:
+    """Number of models per retained loss."""
+    return selection.where("retenu").groupBy("objectif").agg(F.count(F.lit(1)).alias("nb_modeles"))
+
+
 def predicted_states(model: Forecaster, df: DataFrame, horizons: list[int] = HORIZONS) -> DataFrame:
     """State announced and state observed per row and horizon, as ranks."""
     prepared = model.prepare(df)

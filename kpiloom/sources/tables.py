@@ -21,11 +21,10 @@ def _dated(schema: T.StructType) -> T.StructType:
 def _by_day(df: DataFrame) -> DataFrame:
     """Rows ready to be written by day, sorted so that row groups carry tight bounds.
 
-    A day is spread over up to 16 files by cell hash and hour, not put into one task.
+    ``rebalance`` lets Spark split a large day over many tasks and join small days.
     """
     dated = df.withColumn("date", F.to_date("ts"))
-    spread = F.pmod(F.xxhash64("cell_id", F.hour("ts")), F.lit(16))
-    return dated.repartition("date", spread).sortWithinPartitions("date", "cell_id", "ts")
+    return dated.hint("rebalance", F.col("date")).sortWithinPartitions("date", "cell_id", "ts")
 
 
 def append(df: DataFrame, path: str) -> None:

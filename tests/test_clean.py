@@ -42,8 +42,11 @@ def test_fill_matches_pandas_on_missing_rows(spark, seed):
             frame[k] = np.where(rng.random(len(keep)) < 0.7, rng.random(len(keep)) * 100, np.nan)
         frames.append(frame)
     rows = pd.concat(frames, ignore_index=True)
-    table = spark.createDataFrame(rows.astype(object).where(rows.notna(), None).values.tolist(),
-                                  "cell_id string, ts timestamp, " + ", ".join(f"{k} double" for k in KPIS))
+    plain = [
+        (c, t.to_pydatetime(), *[None if np.isnan(v) else float(v) for v in vs])
+        for c, t, *vs in rows.itertuples(index=False)
+    ]
+    table = spark.createDataFrame(plain, "cell_id string, ts timestamp, " + ", ".join(f"{k} double" for k in KPIS))
     want = []
     for cell, group in rows.groupby("cell_id"):
         grid = group.set_index("ts")[KPIS].resample("1min").mean()
