@@ -62,6 +62,13 @@ class ThresholdDetector(Detector):
         return F.lit(2.0)
 
 
+def stored_scaler(train: DataFrame, columns: list[str]) -> RobustCellScaler:
+    """A fitted scaler whose parameters are written once."""
+    scaler = RobustCellScaler(columns).fit(train)
+    scaler.per_cell, scaler.overall = cut(scaler.per_cell), cut(scaler.overall)
+    return scaler
+
+
 class _Scaled(Detector):
     """A detector that works on robustly scaled columns."""
 
@@ -69,12 +76,19 @@ class _Scaled(Detector):
         assert_no_leakage(columns)
         self.columns = list(columns)
         self.scaler = RobustCellScaler(self.columns)
+        self._given = False
+
+    def share_scaler(self, scaler: RobustCellScaler) -> "_Scaled":
+        """Use a scaler already fitted on the same training rows and columns."""
+        if scaler.columns != self.columns:
+            raise ValueError("the scaler was fitted on other columns")
+        self.scaler, self._given = scaler, True
+        return self
 
     def _fit_scaler(self, train: DataFrame) -> DataFrame:
-        """Fit the scaler and return the key and scaled vector of the training rows."""
-        self.scaler.fit(train)
-        self.scaler.per_cell = cut(self.scaler.per_cell)
-        self.scaler.overall = cut(self.scaler.overall)
+        """Fit the scaler, unless one was shared; return key and scaled vector of the training rows."""
+        if not self._given:
+            self.scaler = stored_scaler(train, self.columns)
         return self.scaler.vectors(train.select(*KEY, *self.columns)).select(*KEY, "_x")
 
     def _vectors(self, df: DataFrame) -> DataFrame:

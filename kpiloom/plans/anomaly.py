@@ -7,10 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.models.detectors import AUTOENCODER_GRID, Autoencoder, Detector
+from kpiloom.models.detectors import AUTOENCODER_GRID, Autoencoder, Detector, stored_scaler
 from kpiloom.models.store import scored
 from kpiloom.operators import metrics
 from kpiloom.operators.episodes import episode_metrics, episode_totals
+from kpiloom.operators.scaling import RobustCellScaler
 from kpiloom.schema import CONTAMINATION, GRID
 from kpiloom.session import cut
 
@@ -66,7 +67,14 @@ def detector_study(
 ) -> DataFrame:
     """Fit on train, choose thresholds, and report on test."""
     train = split.where("segment = 'train'")
+    scalers: dict[tuple, RobustCellScaler] = {}
     for d in detectors:
+        columns = tuple(getattr(d, "columns", ()))
+        if columns:
+            # Detectors on the same columns share one fit of the scaler.
+            if columns not in scalers:
+                scalers[columns] = stored_scaler(train, list(columns))
+            d.share_scaler(scalers[columns])
         d.fit(train)
     scores = cut(score_table(detectors, split))
     points = cut(operating_points(scores, detectors, contamination))
@@ -77,8 +85,10 @@ def select_autoencoder(columns: list[str], split: DataFrame, grid=AUTOENCODER_GR
     """Fit each shape and keep the one with the best validation average precision."""
     spark = split.sparkSession
     best, rows = None, []
+    train = split.where("segment = 'train'")
+    scaler = stored_scaler(train, columns)
     for shape in grid:
-        model = Autoencoder(columns, **shape, **settings).fit(split.where("segment = 'train'"))
+        model = Autoencoder(columns, **shape, **settings).share_scaler(scaler).fit(train)
         held = scored([model], split.where("segment = 'val'"), KEEP)
         found = metrics.ranking_metrics(held).first()
         area = found["pr_auc"] if found and found["pr_auc"] is not None else None
