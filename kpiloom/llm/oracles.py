@@ -66,7 +66,7 @@ WITH b AS (
 ), f AS (
     SELECT doc_id, list_sort(list(DISTINCT item_id)) AS items FROM r WHERE seen >= length AND matched >= 0.8 * length GROUP BY doc_id
 )
-SELECT documents.doc_id, items IS NOT NULL AS contaminated, coalesce(len(items), 0)::BIGINT AS n_items, coalesce(items, [])::BIGINT[] AS item_ids
+SELECT documents.doc_id, items IS NOT NULL AS contaminated, coalesce(len(items), 0)::BIGINT AS n_items, coalesce(array_to_string(items, ','), '') AS items
 FROM documents LEFT JOIN f ON documents.doc_id = f.doc_id
 """
 

@@ -192,11 +192,11 @@ def predict(docs: DataFrame, trees: ContextTrees | None, text: str = "text") ->
     Null texts and texts without a letter are ``und`` with score 0, as is
     everything when there are no trees.
     """
-    held = docs.sparkSession.sparkContext.broadcast(trees)
+    held = docs.sparkSession.sparkContext.broadcast(trees and vars(trees))  # plain arrays: workers need no copy of this module
 
     @F.pandas_udf("lang_pred string, score double")
     def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = held.value
+        model = ContextTrees(**held.value) if held.value else None
         for texts in batches:
             out = pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": 0.0})
             known = [k for k, t in enumerate(texts) if t and any(map(str.isalpha, t))]

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kpiloom.llm import decontam, mixing, ppm, simhash, training_order
+from kpiloom.llm import decontam, hnsw, line_crf, mixing, ppm, simhash, suffix_dedup, toxicity, training_order
 from kpiloom.llm.oracles import ORACLES  # noqa: F401  (registered beside the queries)
 
 
@@ -14,6 +15,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op2_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -22,8 +31,17 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.identify(_table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontam.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "n_items", F.array_join("item_ids", ",").alias("items"))
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
 def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,9 +61,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_toxicity,
+        op2_embedding_neardup,
         op3_mixing,
         op4_language_id,
+        op5_quality,
         op6_decontamination,
+        op8_suffix_dedup,
         op9_simhash_neardup,
         op10_training_order,
         pipeline,
