@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import decontam, hnsw, line_crf, mixing, ppm, simhash, suffix_dedup, toxicity, training_order
+from kpiloom.llm import decontam, hnsw, line_crf, mixing, ppm, quotes, simhash, suffix_dedup, toxicity, training_order
 from kpiloom.llm.oracles import ORACLES  # noqa: F401  (registered beside the queries)
 
 
@@ -40,6 +40,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contaminated", "n_items", F.array_join("item_ids", ",").alias("items"))
 
 
+def op7_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_replies(_table(spark, sf_dir, "conversations"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_language_id,
         op5_quality,
         op6_decontamination,
+        op7_chat_quotes,
         op8_suffix_dedup,
         op9_simhash_neardup,
         op10_training_order,
