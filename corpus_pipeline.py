@@ -18,6 +18,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return ppm.known_language(docs)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The same columns as c0, c1, …, so that no name can clash with a stage's own."""
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+
+
+def _named(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(f"c{k}").alias(name) for k, name in enumerate(docs.columns)])
+
+
 def simhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the least doc_id.
 
@@ -25,13 +34,14 @@ def simhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     id stay, as nothing can name their group's member.
     """
     groups = simhash.simhash_groups(docs)
-    first = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.min("fingerprint").alias("_print"), F.count("*").alias("_n"))
-    first = cut(first.select(F.col("doc_id").alias("_id"), "_n"))
-    kept = docs.join(first, docs["doc_id"] == first["_id"])
-    repeated = Window.partitionBy("_id").orderBy(F.xxhash64("text"))
-    once = kept.where("_n = 1").select(*docs.columns)
-    again = kept.where("_n > 1").withColumn("_k", F.row_number().over(repeated)).where("_k = 1").select(*docs.columns)
-    return once.union(again).union(docs.where("doc_id is null"))
+    first = cut(groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("times")))
+    rows = _numbered(docs)
+    ident, text = (rows[f"c{docs.columns.index(c)}"] for c in ("doc_id", "text"))
+    kept = rows.join(first, ident == first["doc_id"])
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(text)))
+    again = kept.where("times > 1").withColumn("nth", nth).where("nth = 1")
+    out = _named(kept.where("times = 1"), docs).union(_named(again, docs))
+    return out.union(docs.where(F.col("doc_id").isNull()))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,17 +50,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    taken = mixing.mix(docs, text_key=True).where("epochs > 0")
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("epochs").cast("int").alias("_epochs"))
-    # Rows that repeat id and text are matched one to one.
-    nth = F.row_number().over(Window.partitionBy("_id", "_key").orderBy(F.desc("_epochs"))).alias("_nth")
-    taken = taken.select("*", nth)
-    own = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy("_text"))
-    rows = docs.withColumn("_text", F.xxhash64("text")).withColumn("_row", own)
-    same = rows["doc_id"].eqNullSafe(taken["_id"]) & (rows["_text"] == taken["_key"]) & (rows["_row"] == taken["_nth"])
-    copies = rows.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_epochs"))))
-    return copies.select(*docs.columns)
+    """Documents as often as the mix takes them; rows that repeat id and text are matched one to one."""
+    taken = mixing.mix(docs, text_key=True).where("epochs > 0").select("doc_id", "text_key", F.col("epochs").cast("int").alias("epochs"))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy(F.desc("epochs")))
+    taken = taken.withColumn("nth", nth)
+    rows = _numbered(docs)
+    ident, text = (rows[f"c{docs.columns.index(c)}"] for c in ("doc_id", "text"))
+    rows = rows.withColumns({"own_id": ident, "own_key": F.xxhash64(text)})
+    rows = rows.withColumn("own_nth", F.row_number().over(Window.partitionBy("own_id", "own_key").orderBy("own_key")))
+    same = rows["own_id"].eqNullSafe(taken["doc_id"]) & (rows["own_key"] == taken["text_key"]) & (rows["own_nth"] == taken["nth"])
+    copies = rows.join(taken, same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("epochs"))))
+    return _named(copies, docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
