@@ -153,17 +153,9 @@ class IsolationForest(_Scaled):
     def fit(self, train: DataFrame) -> "IsolationForest":
         scaled = self._fit_scaler(train)
         total = train.count()
-        pool = min(total, 64 * self.sample)
-        draw = uniform(F.lit(self.seed), *KEY)
-        pooled = scaled.where(draw < pool / max(total, 1)) if pool < total else scaled
         # A few more candidates than needed per tree, then exactly `sample` of them.
-        rate = min(1.0, (self.sample + 10 * math.sqrt(self.sample)) / max(pool, 1))
-        trees = F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1)))
-        drawn = (
-            pooled.withColumn("tree", trees)
-            .withColumn("_u", uniform(F.lit(self.seed + 1), "tree", *KEY))
-            .where(F.col("_u") < rate)
-        )
+        rate = min(1.0, (self.sample + 10 * math.sqrt(self.sample)) / max(total, 1))
+        drawn = self._draw(scaled, rate)
         chosen = (
             drawn.withColumn("_rn", F.row_number().over(Window.partitionBy("tree").orderBy("_u", *KEY)))
             .where(F.col("_rn") <= self.sample)
@@ -184,6 +176,27 @@ class IsolationForest(_Scaled):
         self._shared = None
         return self
 
+    def _draw(self, rows: DataFrame, rate: float) -> DataFrame:
+        """Every tree draws each row with probability ``rate``, all rows of the table taking part.
+
+        A row's first tree comes from one number by a geometric skip, so rows
+        that no tree draws, nearly all of a large table, cost one hash.  Only the
+        others decide about their later trees one by one.
+        """
+        trees, key = self.trees, KEY
+        if rate < 1.0:
+            skip = F.floor(F.log1p(-uniform(F.lit(self.seed), *key)) / F.lit(math.log1p(-rate)))
+            rows = rows.withColumn("_first", skip).where(F.col("_first") < trees)
+        else:
+            rows = rows.withColumn("_first", F.lit(0).cast("long"))
+        chance = lambda t: uniform(F.lit(self.seed + 1), t, *[F.col(k) for k in key])
+        later = F.filter(
+            F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long")),
+            lambda t: (t == F.col("_first")) | ((t > F.col("_first")) & (chance(t) < rate)),
+        )
+        drawn = rows.withColumn("tree", F.explode(F.transform(later, lambda t: t.cast("int")))).drop("_first")
+        return drawn.withColumn("_u", uniform(F.lit(self.seed + 2), "tree", *key))
+
     def _forest(self, spark) -> object:
         """The node table as arrays for the executors; its size is fixed by the parameters."""
         if self._shared is None:

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.timegrid import grid_us, whole_div
 from kpiloom.operators.blocks import with_position
-from kpiloom.operators.features import forecast_features
+from kpiloom.operators.features import forecast_features, lagged_rows
 from kpiloom.operators.joins import values_at
-from kpiloom.operators.select import evaluation_origins, join_params
+from kpiloom.operators.select import join_params
 from kpiloom.schema import GRID, HORIZONS, KEY, KPIS, target_name
+from kpiloom.session import cut
 
 DAY_US = 86_400_000_000
 
@@ -78,7 +79,7 @@ class SeasonalNaive(Forecaster):
 # --------------------------------------------------------------------------
 # Autoregression with differences and moving-average terms
 
-# Fixed candidate orders (p, d, q).
+# The candidate orders (p, d, q) and the one used where none was chosen.
 CANDIDATE_ORDERS = [(1, 0, 0), (2, 0, 0), (2, 0, 1), (1, 1, 1), (2, 1, 1)]
 DEFAULT_ORDER = (2, 0, 1)
 
@@ -93,7 +94,7 @@ def _fit_order(series: np.ndarray, order: tuple[int, int, int]) -> dict | None:
     """Least squares; moving-average terms use residuals of a longer autoregression."""
     p, d, q = order
     y = np.diff(series, d) if d else series
-    long_lag = max(10, p + q) if q else 0
+    long_lag = max(LONG_LAG, p + q) if q else 0
     start = max(p, q) + long_lag
     if len(y) < start + p + q + 5:
         return None
@@ -103,37 +104,80 @@ def _fit_order(series: np.ndarray, order: tuple[int, int, int]) -> dict | None:
         errors[long_lag:] = _regress(y[long_lag:], lagged, d == 0)[1]
     lags = [y[start - k : len(y) - k] for k in range(1, p + 1)]
     lags += [errors[start - k : len(y) - k] for k in range(1, q + 1)]
-    beta, residual = _regress(y[start:], lags, d == 0)
-    variance = float(residual @ residual) / len(residual)
-    if not np.isfinite(beta).all() or not np.isfinite(variance):
-        return None
-    aic = len(residual) * np.log(max(variance, 1e-300)) + 2 * (len(beta) + 1)
-    return {"beta": beta, "aic": aic, "y": y, "order": order}
+    beta, _ = _regress(y[start:], lags, d == 0)
+    return {"beta": beta, "y": y, "order": order} if np.isfinite(beta).all() else None
 
 
 def _project(series: np.ndarray, fitted: dict, steps: int) -> np.ndarray:
     p, d, q = fitted["order"]
-    beta = fitted["beta"]
+    beta, past = fitted["beta"], fitted["y"]
     constant, beta = (beta[0], beta[1:]) if d == 0 else (0.0, beta)
     phi, theta = beta[:p], beta[p:]
-    y = list(fitted["y"])
-    errors = [0.0] * len(y)
+    errors = [0.0] * q
     if q:
-        for t in range(max(p, q), len(y)):
-            known = constant + sum(phi[k] * y[t - 1 - k] for k in range(p))
-            errors[t] = y[t] - known - sum(theta[k] * errors[t - 1 - k] for k in range(q))
+        start = max(p, q)
+        # What the autoregressive part leaves, in one pass; the rest is a short recurrence.
+        left = past[start:] - constant - sum(phi[k] * past[start - 1 - k : len(past) - 1 - k] for k in range(p))
+        for value in left.tolist():
+            errors = [value - sum(t * e for t, e in zip(theta, errors)), *errors[: q - 1]]
+    y = past[len(past) - p :].tolist()
     for _ in range(steps):
-        value = constant + sum(phi[k] * y[-1 - k] for k in range(p))
-        value += sum(theta[k] * errors[-1 - k] for k in range(q))
-        y.append(value)
-        errors.append(0.0)
+        y.append(constant + sum(phi[k] * y[-1 - k] for k in range(p)) + sum(t * e for t, e in zip(theta, errors)))
+        errors = [0.0, *errors[: q - 1]] if q else errors
     path = np.array(y[-steps:])
     return series[-1] + np.cumsum(path) if d else path
 
 
-def choose_order(series: np.ndarray) -> tuple[int, int, int]:
-    fits = [f for f in (_fit_order(series, o) for o in CANDIDATE_ORDERS) if f]
-    return min(fits, key=lambda f: f["aic"])["order"] if fits else CANDIDATE_ORDERS[0]
+# An order is chosen from the sums of products of a series' lags: every candidate is a regression among
+# linear combinations of y[t], …, y[t - DEEPEST], so all are fitted on the same points and their criteria compare.
+LONG_LAG = 10
+DEEPEST = LONG_LAG + 2
+
+
+def _lag_vector(lag: int, difference: int) -> np.ndarray:
+    """The (differenced) value ``lag`` points back as weights of [1, y[t], y[t - 1], …]."""
+    out = np.zeros(DEEPEST + 2)
+    out[1 + lag] = 1.0
+    if difference:
+        out[2 + lag] = -1.0
+    return out
+
+
+def _solve(moments: np.ndarray, target: np.ndarray, inputs: list[np.ndarray]) -> tuple[np.ndarray, float]:
+    """Coefficients and residual sum of squares of a regression between linear combinations."""
+    x = np.array(inputs)
+    beta = np.linalg.lstsq(x @ moments @ x.T, x @ moments @ target, rcond=None)[0]
+    rest = target - beta @ x
+    return beta, float(rest @ moments @ rest)
+
+
+def choose_order(moments: np.ndarray) -> tuple[int, int, int]:
+    """The candidate with the least AIC; ``moments`` are sums of products of [1, y[t], …, y[t - DEEPEST]]."""
+    n = moments[0, 0]
+    spread = moments[1, 1] / max(n, 1) - (moments[0, 1] / max(n, 1)) ** 2
+    if n < 2 * DEEPEST or not np.isfinite(moments).all() or spread <= 0:
+        return CANDIDATE_ORDERS[0]
+    constant = np.eye(DEEPEST + 2)[0]
+    best = []
+    for p, d, q in CANDIDATE_ORDERS:
+        z = [_lag_vector(k, d) for k in range(LONG_LAG + 2)]
+        level = [] if d else [constant]
+        inputs = [*level, *z[1 : p + 1]]
+        if q:
+            long_beta, _ = _solve(moments, z[0], [*level, *z[1 : LONG_LAG + 1]])
+            ahead = [long_beta @ np.array([*level, *z[k + 1 : k + LONG_LAG + 1]]) for k in range(1, q + 1)]
+            inputs += [z[k] - a for k, a in zip(range(1, q + 1), ahead)]
+        beta, rss = _solve(moments, z[0], inputs)
+        aic = n * np.log(max(rss / n / spread, 1e-12)) + 2 * (len(beta) + 1)
+        best.append((aic, len(best), (p, d, q)))
+    return min(best)[2]
+
+
+def series_moments(series: np.ndarray) -> np.ndarray:
+    """The sums of one series held in memory, centred as in ``lag_moments``."""
+    y = series - series.mean()
+    design = np.column_stack([np.ones(len(y) - DEEPEST), *[y[DEEPEST - k : len(y) - k] for k in range(DEEPEST + 1)]])
+    return design.T @ design
 
 
 def project(series: np.ndarray, order: tuple[int, int, int], steps: int) -> np.ndarray:
@@ -146,11 +190,33 @@ def project(series: np.ndarray, order: tuple[int, int, int], steps: int) -> np.n
     return path
 
 
+def lag_moments(history: DataFrame, grid: str) -> DataFrame:
+    """``cell_id, kpi, moments``: the sums of products over all rows, with every KPI's nulls left out.
+
+    One row per series leaves the aggregation, whatever its length; blocks are
+    combined before the shuffle.
+    """
+    long = history.select("cell_id", "ts", F.explode(F.array(*[F.struct(F.lit(k).alias("kpi"), F.col(k).alias("y")) for k in KPIS])).alias("v"))
+    long = long.select(F.to_json(F.struct("cell_id", "v.kpi")).alias("series"), "cell_id", "ts", "v.kpi", "v.y").where("y IS NOT NULL")
+    centre = long.groupBy("series").agg(F.avg("y").alias("_mean"))
+    # A series of one KPI takes the place of a cell, so that positions and blocks are its own.
+    keyed = long.select(F.col("series").alias("cell_id"), "ts", "y")
+    centred = join_params(keyed, centre.withColumnRenamed("series", "cell_id")).select("cell_id", "ts", (F.col("y") - F.col("_mean")).alias("y"))
+    lagged = lagged_rows(centred, grid, DEEPEST)
+    terms = [F.lit(1.0), F.col("y"), *[F.col(f"y_{k}") for k in range(1, DEEPEST + 1)]]
+    pairs = [(i, j) for i in range(len(terms)) for j in range(i, len(terms))]
+    whole = lagged.where(F.col(f"y_{DEEPEST}").isNotNull())
+    sums = whole.groupBy("cell_id").agg(F.array(*[F.sum(terms[i] * terms[j]) for i, j in pairs]).alias("moments"))
+    named = F.from_json("cell_id", "cell_id string, kpi string")
+    return sums.select(named.alias("k"), "moments").select("k.cell_id", "k.kpi", "moments")
+
+
 class AutoRegression(Forecaster):
-    """ARIMA orders by AIC per cell and KPI, forecasts from spaced origins.
+    """ARIMA orders by AIC per cell and KPI from all training rows; forecasts from every row given.
 
-    Every group handed to Python has a fixed largest size: ``fit_points`` rows for
-    an order, ``context`` rows for an origin.
+    Choose the rows with ``evaluation_origins``: an origin costs a fit on its
+    last ``context`` rows, which is the model's memory and the largest group
+    that reaches Python.
     """
 
     name = "arima"
@@ -161,35 +227,31 @@ class AutoRegression(Forecaster):
         grid: str = GRID,
         horizons: list[int] = HORIZONS,
         context: int = 1440,
-        every: int = 30,
-        most: int = 120,
-        fit_points: int = 4320,
         least: int = 60,
     ):
         self.history, self.grid, self.horizons = history, grid, list(horizons)
-        self.context, self.every, self.most = context, every, most
-        self.fit_points, self.least = fit_points, least
+        self.context, self.least = context, least
         self.orders: DataFrame | None = None
 
     def fit(self, train: DataFrame, val: DataFrame | None = None) -> "AutoRegression":
-        """Orders ``(cell_id, kpi, p, d, q)`` from the newest training points."""
+        """Orders ``(cell_id, kpi, p, d, q)`` from the history up to the last training row."""
         ends = train.groupBy("cell_id").agg(F.max("ts").alias("_end"))
         known = join_params(self.history.select("cell_id", "ts", *KPIS), ends, how="inner").where(
             F.col("ts") <= F.col("_end")
         )
-        placed = with_position(known, self.grid, totals=True)
-        newest = placed.where(F.col("_pos") >= F.col("_rows") - self.fit_points)
 
-        def orders(pdf: pd.DataFrame) -> pd.DataFrame:
-            rows = pdf.sort_values("_pos")
-            found = [
-                (rows["cell_id"].iloc[0], k, *choose_order(rows[k].dropna().to_numpy(dtype=float))) for k in KPIS
-            ]
-            return pd.DataFrame(found, columns=["cell_id", "kpi", "p", "d", "q"])
-
-        self.orders = newest.select("cell_id", "_pos", *KPIS).groupBy("cell_id").applyInPandas(
-            orders, "cell_id string, kpi string, p int, d int, q int"
-        )
+        @F.pandas_udf("struct<p:int,d:int,q:int>")
+        def order(sums: pd.Series) -> pd.DataFrame:
+            found = []
+            for row in sums:
+                moments = np.zeros((DEEPEST + 2, DEEPEST + 2))
+                at = np.triu_indices(DEEPEST + 2)
+                moments[at] = row
+                moments.T[at] = row
+                found.append(choose_order(moments))
+            return pd.DataFrame(found, columns=["p", "d", "q"])
+
+        self.orders = cut(lag_moments(known, self.grid).select("cell_id", "kpi", order("moments").alias("o")).select("cell_id", "kpi", "o.*"))
         return self
 
     def contexts(self, origins: DataFrame) -> DataFrame:
@@ -213,18 +275,15 @@ class AutoRegression(Forecaster):
             .drop("_piece", "_at")
         )
 
-    def origins(self, df: DataFrame) -> DataFrame:
-        return evaluation_origins(df, self.grid, self.every, self.most)
-
     def forecasts(self, df: DataFrame) -> DataFrame:
-        """Long forecasts ``cell_id, ts, kpi, horizon_min, y_hat`` from the evaluation origins."""
+        """Long forecasts ``cell_id, ts, kpi, horizon_min, y_hat`` from every row of ``df``."""
         by_cell = self.orders.groupBy("cell_id").agg(
             F.map_from_entries(F.collect_list(F.struct("kpi", F.array("p", "d", "q")))).alias("orders")
         )
         chosen = by_cell.select(
             "cell_id", *[F.try_element_at("orders", F.lit(k)).alias(f"order_{k}") for k in KPIS]
         )
-        origins = self.origins(df.select(*KEY)).join(chosen, "cell_id", "left")
+        origins = df.select(*KEY).join(chosen, "cell_id", "left")
         kept = origins.withColumnRenamed("ts", "origin")
         grouped = self.contexts(origins).join(kept, ["cell_id", "origin"])
         horizons, least, longest = self.horizons, self.least, max(self.horizons)
@@ -267,9 +326,9 @@ LOSSES = ["squared", "absolute"]
 
 
 class BoostedTrees(Forecaster):
-    """One MLlib boosted-tree model per KPI and horizon, the loss chosen on validation MAE."""
+    """One MLlib GBT model per KPI and horizon, the loss chosen on validation MAE."""
 
-    name = "xgboost"
+    name = "arbres_gradient"
 
     def __init__(
         self,

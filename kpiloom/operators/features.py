@@ -12,6 +12,7 @@ from kpiloom.functions.numeric import all_finite, all_present, ratio
 from kpiloom.functions.timegrid import cyclic, day_of_week, hour_of_day, step_index
 from kpiloom.operators.blocks import BLOCK, BLOCK_STEPS, in_block, over_blocks, with_block, with_halo
 from kpiloom.schema import (
+    DETECTOR_COLUMNS,
     FORBIDDEN_FEATURES,
     GRID,
     HOUR_STEPS,
@@ -20,7 +21,6 @@ from kpiloom.schema import (
     MEAN_WINDOWS,
     SEASON_INTS,
     STD_WINDOWS,
-    detector_features,
     feature_names,
 )
 
@@ -29,6 +29,10 @@ class LeakageError(ValueError):
     """A column that must not reach a model was asked for."""
 
 
+class MissingFeaturesError(ValueError):
+    """Columns a model needs are not there."""
+
+
 def _frame(steps: int) -> Window:
     """The last ``steps`` grid steps, the current one included."""
     return in_block().rangeBetween(-(steps - 1), 0)
@@ -74,19 +78,19 @@ def hour_stats(df: DataFrame, grid: str = GRID, steps: int = HOUR_STEPS, **kw) -
     return rolling(df, wanted, grid, **kw)
 
 
-def _rows_before_blocks(df: DataFrame, grid: str, n: int, beyond: int, block_steps: int) -> DataFrame:
+def _rows_before_blocks(df: DataFrame, grid: str, n: int, beyond: int, block_steps: int, values: list[str] = KPIS) -> DataFrame:
     """Up to ``n`` rows before each block that lie more than ``beyond`` steps ahead of it.
 
     Lags count rows, so across a hole they reach farther than any halo of time.
     Every block has a row, so the ``n`` blocks before hold enough of them.
     """
-    blocked = with_block(df.select("cell_id", "ts", *KPIS), grid, block_steps)
+    blocked = with_block(df.select("cell_id", "ts", *values), grid, block_steps)
     newest = Window.partitionBy(*BLOCK).orderBy(F.col("_i").desc())
     tails = (
         blocked.withColumn("_rn", F.row_number().over(newest))
         .where(F.col("_rn") <= n)
         .groupBy(*BLOCK)
-        .agg(F.sort_array(F.collect_list(F.struct("_i", "ts", *KPIS))).alias("_tail"))
+        .agg(F.sort_array(F.collect_list(F.struct("_i", "ts", *values))).alias("_tail"))
     )
     joined = F.flatten(F.collect_list("_tail").over(over_blocks().rowsBetween(-n, -1)))
     kept = tails.select(*BLOCK, joined.alias("_all"))
@@ -94,14 +98,14 @@ def _rows_before_blocks(df: DataFrame, grid: str, n: int, beyond: int, block_ste
     edge = F.col("_block") * block_steps - beyond
     far = F.filter(last, lambda r: r["_i"] < edge)
     return kept.select(*BLOCK, F.explode(far).alias("_r")).select(
-        "cell_id", "_r.ts", *[f"_r.{k}" for k in KPIS], "_r._i", "_block", F.lit(False).alias("_own")
+        "cell_id", "_r.ts", *[f"_r.{k}" for k in values], "_r._i", "_block", F.lit(False).alias("_own")
     )
 
 
-def _blocks_for_lags(df: DataFrame, grid: str, n: int, beyond: int, block_steps: int) -> DataFrame:
+def _blocks_for_lags(df: DataFrame, grid: str, n: int, beyond: int, block_steps: int, values: list[str] = KPIS) -> DataFrame:
     """Blocks with ``beyond`` steps of past and at least ``n`` earlier rows, where they exist."""
-    blocked = _blocks_with_past(df.select("cell_id", "ts", *KPIS), grid, beyond + 1, block_steps)
-    earlier = _rows_before_blocks(df, grid, n, beyond, block_steps)
+    blocked = _blocks_with_past(df.select("cell_id", "ts", *values), grid, beyond + 1, block_steps)
+    earlier = _rows_before_blocks(df, grid, n, beyond, block_steps, values)
     return blocked.unionByName(earlier)
 
 
@@ -118,6 +122,13 @@ def lags(
     return _own_rows(blocked.withColumns(wanted), ["cell_id", "ts", *KPIS, *wanted])
 
 
+def lagged_rows(df: DataFrame, grid: str, deepest: int, column: str = "y", block_steps: int = BLOCK_STEPS) -> DataFrame:
+    """One column with its values 1 to ``deepest`` rows earlier, as ``column_1``, ``column_2``, …"""
+    wanted = {f"{column}_{n}": F.lag(column, n).over(in_block()) for n in range(1, deepest + 1)}
+    blocked = _blocks_for_lags(df, grid, deepest, 0, block_steps, [column])
+    return _own_rows(blocked.withColumns(wanted), ["cell_id", "ts", column, *wanted])
+
+
 def build_features(
     clean: DataFrame, grid: str = GRID, drop_incomplete: bool = True, block_steps: int = BLOCK_STEPS
 ) -> DataFrame:
@@ -208,5 +219,9 @@ def forecast_features(df: DataFrame) -> list[str]:
 
 
 def anomaly_features(df: DataFrame) -> list[str]:
-    """The detector columns present in ``df``."""
-    return [c for c in detector_features() if c in df.columns]
+    """The detector columns; raises if ``df`` lacks any, so no model trains on fewer."""
+    held = set(df.columns)
+    absent = sorted(set(DETECTOR_COLUMNS) - held)
+    if absent:
+        raise MissingFeaturesError(f"detector columns not computed: {', '.join(absent)}")
+    return list(DETECTOR_COLUMNS)

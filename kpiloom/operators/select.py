@@ -118,24 +118,26 @@ def stream_tail(raw: DataFrame, limit: int = 50, cell_id: str | None = None) ->
 def latest_per_cell(df: DataFrame) -> DataFrame:
     """The newest row of each cell.
 
-    Plain ``max_by`` per column keeps the aggregation hashed and pre-combined.
+    Of several rows at the newest instant the last arrival counts, then the
+    greatest values in column order, so all columns come from one row.
     """
-    others = [c for c in df.columns if c not in ("cell_id", "ts")]
-    return df.groupBy("cell_id").agg(
-        F.max("ts").alias("ts"), *[F.max_by(c, "ts").alias(c) for c in others]
-    )
+    ranked = [c for c in ("ts", "ingested_at", "source") if c in df.columns]
+    others = [c for c in df.columns if c not in ("cell_id", *ranked)]
+    newest = df.groupBy("cell_id").agg(F.max(F.struct(*ranked, *others)).alias("_row"))
+    return newest.select(*[c if c == "cell_id" else F.col(f"_row.{c}") for c in df.columns])
 
 
 def first_cells(df: DataFrame, n: int) -> DataFrame:
-    """Rows of the first ``n`` cells by name; ``n`` bounds the broadcast side."""
+    """Rows of the first ``n`` cells by name."""
     chosen = df.select("cell_id").distinct().orderBy("cell_id").limit(n)
-    return df.join(F.broadcast(chosen) if n <= MAX_PAGE else chosen, "cell_id", "left_semi")
+    return df.join(chosen, "cell_id", "left_semi")
 
 
-def evaluation_origins(df: DataFrame, grid: str = GRID, every: int = 30, most: int = 120) -> DataFrame:
-    """Every ``every``-th row of each cell, at most ``most`` per cell."""
+def evaluation_origins(df: DataFrame, grid: str = GRID, every: int = 30, most: int | None = None) -> DataFrame:
+    """Every ``every``-th row of each cell; ``most`` limits them per cell if given."""
     placed = with_position(df, grid)
-    return placed.where((F.col("_pos") % every == 0) & (F.col("_pos") < every * most)).drop("_pos")
+    kept = placed.where(F.col("_pos") % every == 0)
+    return (kept.where(F.col("_pos") < every * most) if most is not None else kept).drop("_pos")
 
 
 def systematic_sample(df: DataFrame, grid: str = GRID, most: int = 20_000) -> DataFrame:

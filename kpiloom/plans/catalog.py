@@ -431,7 +431,7 @@ def first_cells(spark, sf_dir):
 
 @query
 def origins(spark, sf_dir):
-    return select.evaluation_origins(prepared_table(spark, sf_dir), GRID, 30, 120).select("cell_id", "ts")
+    return select.evaluation_origins(prepared_table(spark, sf_dir), GRID, 30).select("cell_id", "ts")
 
 
 @query
@@ -884,7 +884,7 @@ def learned_comparison(spark, sf_dir):
 def ar_forecast(spark, sf_dir):
     rows = supervised_table(spark, sf_dir)
     model = fc.AutoRegression(history(spark, sf_dir), GRID).fit(rows.where("segment = 'train'"))
-    return model.forecasts(rows.where("segment = 'test'"))
+    return model.forecasts(select.evaluation_origins(rows.where("segment = 'test'"), GRID))
 
 
 def _boosted(spark, sf_dir, **settings):

@@ -120,7 +120,11 @@ def announced_state(
 
 
 def forecast_study(models: list[Forecaster], test: DataFrame, origins: DataFrame | None = None) -> DataFrame:
-    """The error table on the whole test segment and, if given, on common origins."""
+    """The error table on the whole test segment and, if given, on common origins.
+
+    The origins are chosen once, by the caller: every model forecasts from all
+    of them.  ARIMA takes part there alone, a fit per row being its cost.
+    """
     full = forecast_table(long_forecasts([m for m in models if m.name != "arima"], test))
     if origins is None:
         return full
