@@ -54,17 +54,32 @@ def shift_steps(ts: Column, steps: int, grid: str | timedelta) -> Column:
     return shift(ts, steps * grid_us(grid))
 
 
-def iso_utc(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+# Calendar parts are counted from the epoch, so they are UTC in every session.
+
+
+def utc_date(ts: Column) -> Column:
+    return F.date_from_unix_date(whole_div(F.unix_micros(ts), _UNIT_US["day"]).cast("int"))
 
 
 def hour_of_day(ts: Column) -> Column:
-    return F.hour(ts)
+    return F.pmod(whole_div(F.unix_micros(ts), _UNIT_US["hour"]), F.lit(24)).cast("int")
 
 
 def day_of_week(ts: Column) -> Column:
-    """Monday is 0."""
-    return F.weekday(ts)
+    """Monday is 0; the epoch was a Thursday."""
+    return F.pmod(whole_div(F.unix_micros(ts), _UNIT_US["day"]) + 3, F.lit(7)).cast("int")
+
+
+def iso_utc(ts: Column) -> Column:
+    second = F.pmod(whole_div(F.unix_micros(ts), _UNIT_US["second"]), F.lit(86_400))
+    parts = [whole_div(second, 3600), F.pmod(whole_div(second, 60), F.lit(60)), F.pmod(second, F.lit(60))]
+    clock = F.concat_ws(":", *[F.lpad(p.cast("string"), 2, "0") for p in parts])
+    return F.when(ts.isNotNull(), F.concat(utc_date(ts).cast("string"), F.lit("T"), clock, F.lit("Z")))
+
+
+def naive_as_utc(column: str) -> Column:
+    """A timestamp column without zone, read as UTC."""
+    return F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{column}`))")
 
 
 def cyclic(value: Column, period: int) -> tuple[Column, Column]:

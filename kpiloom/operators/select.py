@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.functions.timegrid import iso_utc
+from kpiloom.functions.timegrid import iso_utc, utc_date
 from kpiloom.operators.blocks import with_position
 from kpiloom.schema import CONTRACT_VERSION, GRID, MAX_PAGE, THRESHOLDS
 
@@ -28,7 +28,7 @@ def where_range(df: DataFrame, cell_id: str | None = None, start=None, end=None)
             moment = F.lit(bound).cast("timestamp")
             df = df.where(keep(F.col("ts"), moment))
             if "date" in df.columns:
-                df = df.where(keep(F.col("date"), F.to_date(moment)))
+                df = df.where(keep(F.col("date"), utc_date(moment)))
     return df
 
 

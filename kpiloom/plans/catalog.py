@@ -61,7 +61,12 @@ def finish(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = lambda spark, sf_dir: finish(fn(spark, sf_dir))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Times leave a query without zone; only here, where results are shown, does the session's zone matter.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return finish(fn(spark, sf_dir))
+
+    QUERIES[fn.__name__] = run
     return fn
 
 
@@ -324,7 +329,7 @@ def feature_build_fine(spark, sf_dir):
 @query
 def cyclic(spark, sf_dir):
     rows = features.add_cyclic(history(spark, sf_dir).select("cell_id", "ts"))
-    return rows.withColumn("load_factor", timegrid.daily_load_factor(F.hour("ts")))
+    return rows.withColumn("load_factor", timegrid.daily_load_factor(timegrid.hour_of_day(F.col("ts"))))
 
 
 @query

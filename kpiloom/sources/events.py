@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kpiloom.functions.timegrid import naive_as_utc
+
 EVENTS = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -20,7 +22,7 @@ EVENTS = T.StructType(
 
 def as_raw(events: DataFrame) -> DataFrame:
     """Read each event as one measurement of one of five cells."""
-    ts = F.col("ts").cast("timestamp")
+    ts = naive_as_utc("ts")
     cell = F.concat(F.lit("cell_"), F.lpad((F.col("user_id") % 5 + 1).cast("string"), 3, "0"))
     return events.select(
         ts.alias("ts"),
@@ -37,7 +39,6 @@ def as_raw(events: DataFrame) -> DataFrame:
 
 
 def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return as_raw(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,24 +20,41 @@ class MissingColumnsError(ValueError):
     """A file lacks contract columns."""
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file, read from its first line."""
-    return spark.read.option("header", True).csv(path).columns
+def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a CSV folder by their column names, each read from the file's own first line."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    # A file's first line is the first row of its first split.
+    heads = lines.where("at = 0").groupBy("file").agg(F.first("value").alias("line"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in heads.collect():  # one row per file, as in any file listing
+        names = tuple(n.strip().strip('"') for n in row["line"].removeprefix("\ufeff").split(","))
+        found.setdefault(names, []).append(row["file"])
+    return found
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """RAW from CSV with an explicit schema.
+    """RAW from a CSV file or folder with an explicit schema.
 
-    Missing required columns fail before any row is read; ``source`` and
-    ``ingested_at`` get defaults.  A time without zone is UTC.
+    Files may order their columns differently: those of one header are read
+    together.  Missing required columns fail before any row is read, and a value
+    that is not of its column's type fails the query rather than becoming NULL.
+    ``source`` and ``ingested_at`` get defaults.  A time without zone is UTC.
     """
-    header = csv_header(spark, path)
-    missing = [c for c in REQUIRED_RAW if c not in header]
-    if missing:
-        raise MissingColumnsError(f"{path} lacks {missing}")
+    headers = csv_headers(spark, path)
+    if not headers:
+        raise MissingColumnsError(f"{path} holds no header")
+    for header, files in headers.items():
+        missing = [c for c in REQUIRED_RAW if c not in header]
+        if missing:
+            raise MissingColumnsError(f"{files[0]} lacks {missing}")
+    return reduce(DataFrame.unionByName, [_read_alike(spark, files, list(header)) for header, files in sorted(headers.items())])
+
+
+def _read_alike(spark: SparkSession, files: list[str], header: list[str]) -> DataFrame:
     kinds = {f.name: f.dataType for f in RAW}
     schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in header])
-    rows = spark.read.schema(schema).option("header", True).csv(path)
+    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("timeZone", "UTC")
+    rows = reader.option("columnPruning", False).csv(files)
     if "source" not in header:
         rows = rows.withColumn("source", F.lit("batch"))
     if "ingested_at" not in header:
@@ -83,7 +101,7 @@ def sample_tables(raw: DataFrame, cells: int = 2, days: int = 1, grid: str = GRI
     recent = F.col("ts") >= newest - F.make_dt_interval(F.lit(days))
     chosen = first_cells(clean, cells).where(recent)
     names = clean.select("cell_id").distinct().orderBy("cell_id").limit(cells)
-    features = build_features(clean, grid).where(recent).join(F.broadcast(names), "cell_id", "left_semi")
+    features = build_features(clean, grid).where(recent).join(names, "cell_id", "left_semi")
     return {
         "sample_kpi": chosen,
         "sample_kpi_with_labels": with_labels(chosen, labels_on_grid(raw, grid)),

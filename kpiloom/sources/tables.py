@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kpiloom.functions.timegrid import utc_date
 from kpiloom.operators.clean import clean_series, labels_on_grid
 from kpiloom.operators.features import build_features
-from kpiloom.operators.select import require_cell, where_range
+from kpiloom.operators.select import join_params, require_cell, where_range
 from kpiloom.schema import CLEAN, FEATURES, GRID, KEY, RAW
 from kpiloom.session import cut
 from kpiloom.sources.files import path_exists
@@ -23,7 +24,7 @@ def _by_day(df: DataFrame) -> DataFrame:
 
     ``rebalance`` lets Spark split a large day over many tasks and join small days.
     """
-    dated = df.withColumn("date", F.to_date("ts"))
+    dated = df.withColumn("date", utc_date(F.col("ts")))
     return dated.hint("rebalance", F.col("date")).sortWithinPartitions("date", "cell_id", "ts")
 
 
@@ -34,10 +35,22 @@ def append(df: DataFrame, path: str) -> None:
 def merge_rows(old: DataFrame, new: DataFrame, keys: list[str] = KEY) -> DataFrame:
     """``old`` with the rows of ``new`` inserted or, on an equal key, replaced."""
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-    newest = Window.partitionBy(*keys).orderBy(F.col("_new").desc())
+    newest = Window.partitionBy(*keys).orderBy(F.col("_new").desc(), *_arrival(old, keys))
     return both.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn", "_new")
 
 
+def _arrival(df: DataFrame, keys: list[str]) -> list[str]:
+    """An order of rows with equal keys that depends on nothing but the rows: first arrival, source, values."""
+    first = [c for c in ("ingested_at", "source") if c in df.columns and c not in keys]
+    return [*first, *[c for c in df.columns if c not in keys and c not in first]]
+
+
+def first_per_key(df: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """One row per key, the same one in every run; Spark limits each group before the shuffle."""
+    order = Window.partitionBy(*keys).orderBy(*(_arrival(df, keys) or keys))
+    return df.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").drop("_rn")
+
+
 def upsert(df: DataFrame, path: str, keys: list[str] = KEY, unique: bool = False) -> None:
     """Insert or replace rows; only the days present in ``df`` are rewritten.
 
@@ -45,20 +58,48 @@ def upsert(df: DataFrame, path: str, keys: list[str] = KEY, unique: bool = False
     swaps each day's folder when the job commits.
     """
     spark = df.sparkSession
-    rows = df if unique else df.dropDuplicates(keys)
+    rows = df if unique else first_per_key(df, keys)
     if not path_exists(spark, path):
         append(rows, path)
         return
     # Staged once: the rows are needed for the list of days and for the merge.
     staged = cut(rows)
-    days = staged.select(F.to_date("ts").alias("date")).distinct()
-    # A day is 4 bytes; even a century of days stays far below any broadcast limit.
+    days = staged.select(utc_date(F.col("ts")).alias("date")).distinct()
     stored = spark.read.schema(_dated(df.schema)).parquet(path)
-    touched = stored.join(F.broadcast(days), "date", "left_semi").select(*df.columns)
+    touched = stored.join(days, "date", "left_semi").select(*df.columns)
     merged = merge_rows(touched, staged, keys)
     _by_day(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
+def replace(df: DataFrame, path: str, ranges: DataFrame) -> None:
+    """Put ``df`` in place of the stored rows inside ``ranges`` (``cell_id, _from, _to``, one row per cell).
+
+    Only days that hold an old or a new row of a range are rewritten.
+    """
+    spark, columns = df.sparkSession, df.columns
+    if not path_exists(spark, path):
+        append(df, path)
+        return
+    new = cut(df.withColumn("date", utc_date(F.col("ts"))))
+    stored = spark.read.schema(_dated(df.schema)).parquet(path)
+    ends = ranges.agg(utc_date(F.min("_from")).alias("a"), utc_date(F.max("_to")).alias("b")).first()
+    near = stored.where((F.col("date") >= F.lit(ends["a"])) & (F.col("date") <= F.lit(ends["b"])))
+    inside = (F.col("ts") >= F.col("_from")) & (F.col("ts") <= F.col("_to"))
+    marked = join_params(near, ranges).withColumn("_gone", F.coalesce(inside, F.lit(False)))
+    days = cut(marked.where("_gone").select("date").union(new.select("date")).distinct())
+    kept = marked.join(days, "date", "left_semi").where("NOT _gone").select(*columns)
+    merged = cut(kept.unionByName(new.select(*columns)))
+    emptied = days.join(merged.select(utc_date(F.col("ts")).alias("date")).distinct(), "date", "left_anti")
+    _by_day(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    for row in emptied.collect():  # days that lost their last row: their folder is overwritten with no rows
+        merged.limit(0).write.mode("overwrite").parquet(f"{path}/date={row['date']}")
+
+
+def scan_dated(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All columns of a stored table and its day."""
+    return spark.read.schema(_dated(schema)).parquet(path)
+
+
 def scan(spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None, since=None) -> DataFrame:
     """Named columns of a stored table, optionally from an instant on."""
     rows = where_range(spark.read.schema(_dated(schema)).parquet(path), start=since)

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import timedelta
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from kpiloom.functions import qos
-from kpiloom.functions.timegrid import grid_us, shift
+from kpiloom.functions.timegrid import floor_to_grid, grid_us, shift, utc_date
 from kpiloom.operators.clean import clean_series
 from kpiloom.operators.features import build_features
 from kpiloom.operators.monitor import freshness
 from kpiloom.operators.select import join_params, latest_per_cell
-from kpiloom.schema import CLEAN, FEATURES, GRID, HOUR_STEPS, KPIS, LAGS, MEAN_WINDOWS, RAW, STREAM_CADENCE_SECONDS
+from kpiloom.schema import CLEAN, FEATURES, GRID, HOUR_STEPS, KPIS, LAGS, RAW, STREAM_CADENCE_SECONDS
+from kpiloom.session import cut
 from kpiloom.sources import tables
 
 
@@ -34,7 +38,7 @@ def as_stream_rows(stream: DataFrame) -> DataFrame:
 
 def ingest(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Append live rows to a RAW table partitioned by day, exactly once."""
-    dated = stream.withColumn("date", F.to_date("ts"))
+    dated = stream.withColumn("date", utc_date(F.col("ts")))
     return (
         dated.writeStream.format("parquet")
         .outputMode("append")
@@ -73,51 +77,125 @@ def upsert_stream(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWr
     )
 
 
-def touched_ranges(batch: DataFrame) -> DataFrame:
-    return batch.groupBy("cell_id").agg(F.min("ts").alias("_from"), F.max("ts").alias("_to"))
-
+class _Touched:
+    """The cells a batch touches, and how far its effect reaches in a stored table.
 
-def refresh_touched(batch: DataFrame, folder: str, grid: str = GRID, halo_steps: int | None = None) -> None:
-    """Recompute CLEAN and FEATURES around the rows of a batch.
+    A series has holes of any length, so neighbours are looked up by position:
+    the search reads the days next to the batch first and goes on to more days
+    only while some touched cell lacks a neighbour.
+    """
 
-    Rows within ``halo_steps`` on either side feed the recomputation; rows a
-    window or fill of the batch can reach are replaced.  Series with holes longer
-    than the halo need the whole-table refresh.
+    def __init__(self, path: str, schema: T.StructType, ranges: DataFrame) -> None:
+        self.stored = ranges.sparkSession.read.schema(tables._dated(schema)).parquet(path)
+        self.ranges = ranges
+        ends = self.stored.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
+        self.low, self.high = ends["low"], ends["high"]
+
+    def rows(self, low, high, columns: list[str]) -> DataFrame:
+        days = self.stored.where((F.col("date") >= F.lit(low)) & (F.col("date") <= F.lit(high)))
+        return join_params(days.select("cell_id", "ts", *columns), self.ranges, how="inner")
+
+    def search(self, before: bool, columns: list[str], bound: Column, complete: Column) -> DataFrame:
+        """``cell_id, _at`` from an aggregation of the rows on one side of each range."""
+        edge = self.ranges.agg(utc_date(F.min("_from")).alias("a"), utc_date(F.max("_to")).alias("b")).first()
+        reach = 1
+        while True:
+            span = timedelta(days=reach)
+            low, high = (edge["a"] - span, edge["b"]) if before else (edge["a"], edge["b"] + span)
+            near = self.rows(low, high, columns)
+            near = near.where(F.col("ts") < F.col("_from")) if before else near.where(F.col("ts") > F.col("_to"))
+            found = cut(near.groupBy("cell_id").agg(bound.alias("_at"), complete.alias("_complete")))
+            seen_all = self.low is None or (low <= self.low if before else high >= self.high)
+            if seen_all or self.ranges.join(found.where("_complete"), "cell_id", "left_anti").isEmpty():
+                return found.drop("_complete")
+            reach *= 8
+
+
+def _extended(ranges: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    wide = ranges.join(before.withColumnRenamed("_at", "_low"), "cell_id", "left")
+    wide = wide.join(after.withColumnRenamed("_at", "_high"), "cell_id", "left")
+    return cut(wide.select("cell_id", F.least("_from", "_low").alias("_from"), F.greatest("_to", "_high").alias("_to")))
+
+
+def _between_measurements(path: str, ranges: DataFrame, grid: str) -> DataFrame:
+    """Ranges widened to the nearest measurement of every KPI on both sides, which fills interpolate towards."""
+    us = grid_us(grid)
+    table = _Touched(path, RAW, ranges.select("cell_id", "_from", shift(F.col("_to"), us - 1).alias("_to")))
+    known = lambda side: [side(F.when(F.col(k).isNotNull(), F.col("ts"))) for k in KPIS]
+    every = lambda found: reduce(lambda a, b: a & b, [c.isNotNull() for c in found])
+    lasts, firsts = known(F.max), known(F.min)
+    before = table.search(True, KPIS, floor_to_grid(F.least(*lasts), grid), every(lasts))
+    after = table.search(False, KPIS, floor_to_grid(F.greatest(*firsts), grid), every(firsts))
+    return _extended(ranges, before, after)
+
+
+def _lag_reach(path: str, ranges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The instants of the stored CLEAN rows as many positions before and after each range as the longest lag."""
+    n = max(LAGS)
+    table = _Touched(path, CLEAN, ranges)
+    found = []
+    for before in (True, False):
+        # The search ends at days that hold enough rows; of these the n nearest count.
+        enough = table.search(before, [], F.min("ts") if before else F.max("ts"), F.count(F.lit(1)) >= n)
+        days = enough.agg(utc_date(F.min("_at")).alias("a"), utc_date(F.max("_at")).alias("b")).first()
+        ends = ranges.agg(utc_date(F.min("_from")).alias("a"), utc_date(F.max("_to")).alias("b")).first()
+        low, high = (days["a"] or ends["a"], ends["b"]) if before else (ends["a"], days["b"] or ends["b"])
+        near = table.rows(low, high, [])
+        near = near.where(F.col("ts") < F.col("_from")) if before else near.where(F.col("ts") > F.col("_to"))
+        order = Window.partitionBy("cell_id").orderBy(F.col("ts").desc() if before else F.col("ts").asc())
+        ranked = near.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= n)
+        found.append(cut(ranked.groupBy("cell_id").agg((F.min if before else F.max)("ts").alias("_at"))))
+    return found[0], found[1]
+
+
+def refresh_touched(batch: DataFrame, folder: str, grid: str = GRID) -> None:
+    """Recompute CLEAN and FEATURES wherever a stored batch changes them.
+
+    The result equals a recomputation of everything.  A fill interpolates
+    between the nearest measurements, however far apart, so CLEAN is replaced from the
+    last one before the batch to the first one after it.  FEATURES are replaced from there to
+    the last row whose windows (by time) or lags (by row) look back into it.
     """
-    spark = batch.sparkSession
-    reach = 2 * (HOUR_STEPS + max(LAGS))
-    halo = (halo_steps or 2 * reach) * grid_us(grid)
-    near = reach * grid_us(grid)
-    ranges = touched_ranges(batch)
-    since = ranges.agg(shift(F.min("_from"), -halo).alias("t")).scalar()
-    until = ranges.agg(shift(F.max("_to"), halo).alias("t")).scalar()
-
-    def window(path: str, schema: T.StructType, margin: int) -> DataFrame:
-        stored = spark.read.schema(tables._dated(schema)).parquet(path)
-        pruned = stored.where((F.col("date") >= F.to_date(since)) & (F.col("date") <= F.to_date(until)))
-        around = join_params(pruned.drop("date"), ranges, how="inner")
-        inside = (F.col("ts") >= shift(F.col("_from"), -margin)) & (F.col("ts") <= shift(F.col("_to"), margin))
-        return around.where(inside).drop("_from", "_to")
-
-    def only_reached(rows: DataFrame) -> DataFrame:
-        around = join_params(rows, ranges, how="inner")
-        inside = (F.col("ts") >= shift(F.col("_from"), -near)) & (F.col("ts") <= shift(F.col("_to"), near))
-        return around.where(inside).drop("_from", "_to")
-
-    raw = window(f"{folder}/raw", RAW, halo)
-    tables.upsert(only_reached(clean_series(raw, grid)).select(*CLEAN.fieldNames()), f"{folder}/clean", unique=True)
-    clean = window(f"{folder}/clean", CLEAN, halo)
-    tables.upsert(only_reached(build_features(clean, grid)).select(*FEATURES.fieldNames()), f"{folder}/features", unique=True)
-
-
-def refresh_stream(stream: DataFrame, folder: str, checkpoint: str, grid: str = GRID, halo_steps: int | None = None) -> DataStreamWriter:
+    us, spark = grid_us(grid), batch.sparkSession
+    spans = batch.groupBy("cell_id").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    ranges = cut(spans.select("cell_id", floor_to_grid(F.col("a"), grid).alias("_from"), floor_to_grid(F.col("b"), grid).alias("_to")))
+
+    changed = _between_measurements(f"{folder}/raw", ranges, grid)
+    # The edges of that range may in turn be interpolated in some KPI.
+    needed = _between_measurements(f"{folder}/raw", changed, grid)
+    raw = _within(tables.scan_dated(spark, f"{folder}/raw", RAW), needed, us - 1).select(*RAW.fieldNames())
+    cleaned = _within(clean_series(raw, grid), changed, 0).select(*CLEAN.fieldNames())
+    tables.replace(cleaned, f"{folder}/clean", changed)
+
+    before, after = _lag_reach(f"{folder}/clean", changed)
+    hour = (HOUR_STEPS - 1) * us
+    reached = changed.join(after.withColumnRenamed("_at", "_high"), "cell_id", "left")
+    reached = cut(reached.select("cell_id", "_from", F.greatest(shift(F.col("_to"), hour), "_high").alias("_to")))
+    past = reached.join(before.withColumnRenamed("_at", "_low"), "cell_id", "left")
+    past = past.select("cell_id", F.least(shift(F.col("_from"), -hour), "_low").alias("_from"), "_to")
+    clean = _within(tables.scan_dated(spark, f"{folder}/clean", CLEAN), cut(past), 0).select(*CLEAN.fieldNames())
+    built = _within(build_features(clean, grid), reached, 0).select(*FEATURES.fieldNames())
+    tables.replace(built, f"{folder}/features", reached)
+
+
+def _within(rows: DataFrame, ranges: DataFrame, margin: int) -> DataFrame:
+    """Rows of the ranged cells inside their range; a table by day is pruned to the days of all ranges."""
+    if "date" in rows.columns:
+        ends = ranges.agg(utc_date(F.min("_from")).alias("a"), utc_date(F.max("_to")).alias("b")).first()
+        rows = rows.where((F.col("date") >= F.lit(ends["a"])) & (F.col("date") <= F.lit(ends["b"])))
+    around = join_params(rows, ranges, how="inner")
+    return around.where((F.col("ts") >= F.col("_from")) & (F.col("ts") <= shift(F.col("_to"), margin))).drop("_from", "_to")
+
+
+def refresh_stream(stream: DataFrame, folder: str, checkpoint: str, grid: str = GRID) -> DataStreamWriter:
     """Store each batch and refresh what it touches."""
 
     def step(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
+        rows = cut(batch.select(*RAW.fieldNames()))  # read once: it is stored, and asked for its ranges
+        if rows.isEmpty():
             return
-        tables.upsert(batch.select(*RAW.fieldNames()), f"{folder}/raw", ["cell_id", "ts", "ingested_at"])
-        refresh_touched(batch, folder, grid, halo_steps)
+        tables.upsert(rows, f"{folder}/raw", ["cell_id", "ts", "ingested_at"])
+        refresh_touched(rows, folder, grid)
 
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
 
@@ -149,10 +227,6 @@ def sliding_means(means: DataFrame, steps: int, grid: str = GRID) -> DataFrame:
     )
 
 
-def live_windows() -> dict[str, int]:
-    return {**MEAN_WINDOWS, "60m": HOUR_STEPS}
-
-
 def alert_sessions(flags: DataFrame, grid: str = GRID, delay: str = "10 minutes") -> DataFrame:
     """Episodes of flagged grid rows on a stream: rows one step apart belong together."""
     us = grid_us(grid)
