@@ -988,24 +988,68 @@ def stream_liveness(spark, sf_dir):
 
 @query
 def stream_means(spark, sf_dir):
-    return _sink(live.sliding_means(_stream_grid(spark, sf_dir), 5, GRID), spark)
-
-
-def _stream_grid(spark, sf_dir):
-    return live.grid_means(live.read_landing(spark, _landing(spark, sf_dir), files_per_batch=1), GRID, "1 hour")
+    folder = new_path(spark, "means")
+    stream = live.read_landing(spark, _landing(spark, sf_dir), files_per_batch=1)
+    _run(live.means_stream(stream, folder, new_path(spark, "ckpt"), GRID))
+    return tables.scan(spark, f"{folder}/means", live.MEANS)
 
 
 @query
 def stream_episodes(spark, sf_dir):
-    path = new_path(spark, "flags")
-    label_table(spark, sf_dir).coalesce(1).write.parquet(path)
-    flags = spark.readStream.schema("cell_id string, ts timestamp, is_anomaly boolean").parquet(path)
-    return _sink(live.alert_sessions(flags.select("cell_id", "ts", "is_anomaly"), GRID, "1 hour"), spark)
+    flags_at, out = new_path(spark, "flags"), new_path(spark, "episodes")
+    label_table(spark, sf_dir).repartition(3, "cell_id", "ts").write.parquet(flags_at)
+    flags = spark.readStream.schema("cell_id string, ts timestamp, is_anomaly boolean").option("maxFilesPerTrigger", 1).parquet(flags_at)
+    _run(live.episodes_stream(flags, out, new_path(spark, "ckpt"), GRID))
+    return live.read_episodes(spark, out, GRID)
+
+
+def _refreshed(spark, raw: DataFrame) -> DataFrame:
+    """FEATURES after the stream has stored RAW in two batches that overlap in time."""
+    folder, landing = new_path(spark, "store"), new_path(spark, "landing")
+    early = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp")
+    late = F.pmod(F.xxhash64("ts"), F.lit(5)) == 0
+    for part in (raw.where(early & ~late), raw.where(~early | late)):
+        cut(part).repartition(1).write.mode("append").parquet(landing)
+    _run(live.refresh_stream(live.read_landing(spark, landing, files_per_batch=1), folder, new_path(spark, "ckpt"), GRID))
+    return tables.scan(spark, f"{folder}/features", FEATURES)
 
 
 @query
 def stream_refresh(spark, sf_dir):
-    folder = new_path(spark, "store")
-    stream = live.read_landing(spark, _landing(spark, sf_dir, 2), files_per_batch=1)
-    _run(live.refresh_stream(stream, folder, new_path(spark, "ckpt"), GRID))
-    return tables.scan(spark, f"{folder}/features", FEATURES, ["cell_id", "ts", "throughput_mean_5m", "latency_lag_10", "jitter_hour_mean"])
+    return _refreshed(spark, load_raw(spark, sf_dir))
+
+
+@query
+def stream_refresh_holes(spark, sf_dir):
+    """The same with holes of 400 steps in two cells."""
+    hole = F.col("cell_id").isin("cell_001", "cell_004") & F.col("ts").between(
+        F.lit("2024-01-06 00:00:00").cast("timestamp"), F.lit("2024-01-22 16:00:00").cast("timestamp")
+    )
+    return _refreshed(spark, load_raw(spark, sf_dir).where(~hole))
+
+
+@query
+def csv_mixed_headers(spark, sf_dir):
+    """One folder, two column orders; read in a session of another time zone."""
+    path, raw = new_path(spark, "csv"), load_raw(spark, sf_dir).drop("source", "ingested_at")
+    even = F.pmod(F.xxhash64("ts"), F.lit(2)) == 0
+    for part, columns in ((raw.where(even), raw.columns), (raw.where(~even), raw.columns[::-1])):
+        naive = part.select(*columns).withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+        naive.write.mode("append").option("header", True).csv(path)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        return cut(files.read_csv(spark, path).drop("ingested_at"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@query
+def served_elsewhere(spark, sf_dir):
+    """ISO times and calendar features of a session of another time zone."""
+    clean_rows = history(spark, sf_dir)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        timed = clean_rows.select("cell_id", "ts", timegrid.hour_of_day(F.col("ts")).alias("hour_of_day"), timegrid.day_of_week(F.col("ts")).alias("day_of_week"))
+        return cut(select.served(timed))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

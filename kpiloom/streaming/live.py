@@ -12,13 +12,14 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from kpiloom.functions import qos
 from kpiloom.functions.timegrid import floor_to_grid, grid_us, shift, utc_date
-from kpiloom.operators.clean import clean_series
-from kpiloom.operators.features import build_features
+from kpiloom.operators.clean import clean_series, dedupe_first, resample_mean
+from kpiloom.operators.features import build_features, rolling
 from kpiloom.operators.monitor import freshness
 from kpiloom.operators.select import join_params, latest_per_cell
-from kpiloom.schema import CLEAN, FEATURES, GRID, HOUR_STEPS, KPIS, LAGS, RAW, STREAM_CADENCE_SECONDS
+from kpiloom.schema import CLEAN, FEATURES, GRID, HOUR_STEPS, KPIS, LAGS, MEAN_WINDOWS, RAW, STREAM_CADENCE_SECONDS
 from kpiloom.session import cut
 from kpiloom.sources import tables
+from kpiloom.sources.files import path_exists
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -200,41 +201,84 @@ def refresh_stream(stream: DataFrame, folder: str, checkpoint: str, grid: str =
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
 
 
-def grid_means(stream: DataFrame, grid: str = GRID, delay: str = "10 minutes") -> DataFrame:
-    """Mean per cell and grid step of a stream, copies of a key counted once."""
-    step = F.window("ts", f"{grid_us(grid)} microseconds")
-    return (
-        stream.withWatermark("ts", delay)
-        .dropDuplicatesWithinWatermark(["cell_id", "ts"])
-        .groupBy(step, "cell_id")
-        .agg(*[F.avg(k).alias(k) for k in KPIS])
-    )
+MEANS = T.StructType(
+    [
+        T.StructField("ts", T.TimestampType(), False),
+        T.StructField("cell_id", T.StringType(), False),
+        *[T.StructField(f"{k}_mean_{w}", T.DoubleType()) for k in KPIS for w in (*MEAN_WINDOWS, "60m")],
+    ]
+)
 
 
-def sliding_means(means: DataFrame, steps: int, grid: str = GRID) -> DataFrame:
-    """Mean over the last ``steps`` grid steps, at steps that have a row.
+def means_stream(stream: DataFrame, folder: str, checkpoint: str, grid: str = GRID) -> DataStreamWriter:
+    """Means over the last 5, 15, 30 and 60 grid steps, kept up to date in ``folder/means``.
 
-    Chained to ``grid_means``: a window that ends with a step equals the batch frame there.
+    Every batch is stored, then the steps it touches and the windows that look
+    back at them are computed again.  Nothing waits for a watermark: the newest
+    windows are there at once, and late rows correct them.  Copies of a key
+    count once, the first arrival.
     """
+    windows = {**MEAN_WINDOWS, "60m": HOUR_STEPS}
     us = grid_us(grid)
-    timed = means.withColumn("at", F.window_time("window"))
-    slide = F.window("at", f"{steps * us} microseconds", f"{us} microseconds")
-    rolled = timed.groupBy(slide.alias("span"), "cell_id").agg(
-        F.max("at").alias("_last"), *[F.avg(k).alias(f"{k}_mean") for k in KPIS]
-    )
-    return rolled.where(F.col("_last") >= shift(F.col("span.end"), -us)).select(
-        "cell_id", shift(F.col("span.end"), -us).alias("ts"), *[f"{k}_mean" for k in KPIS]
-    )
+
+    def step(batch: DataFrame, _: int) -> None:
+        rows = cut(batch.select(*RAW.fieldNames()))
+        if rows.isEmpty():
+            return
+        tables.upsert(rows, f"{folder}/raw", ["cell_id", "ts", "ingested_at"])
+        spans = rows.groupBy("cell_id").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+        changed = spans.select("cell_id", floor_to_grid(F.col("a"), grid).alias("_from"), floor_to_grid(F.col("b"), grid).alias("_to"))
+        reached = cut(changed.select("cell_id", "_from", shift(F.col("_to"), (HOUR_STEPS - 1) * us).alias("_to")))
+        needed = cut(reached.select("cell_id", shift(F.col("_from"), -(HOUR_STEPS - 1) * us).alias("_from"), "_to"))
+        raw = _within(tables.scan_dated(batch.sparkSession, f"{folder}/raw", RAW), needed, us - 1)
+        bins = resample_mean(dedupe_first(raw.select(*RAW.fieldNames())), grid)
+        means = rolling(bins, {f"{k}_mean_{w}": (F.avg, k, n) for k in KPIS for w, n in windows.items()}, grid)
+        tables.replace(_within(means, reached, 0).select(*MEANS.fieldNames()), f"{folder}/means", reached)
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
+
+
+EPISODES = T.StructType(
+    [
+        T.StructField("ts", T.TimestampType(), False),
+        T.StructField("cell_id", T.StringType(), False),
+        T.StructField("end_ts", T.TimestampType()),
+    ]
+)
 
 
-def alert_sessions(flags: DataFrame, grid: str = GRID, delay: str = "10 minutes") -> DataFrame:
-    """Episodes of flagged grid rows on a stream: rows one step apart belong together."""
+def episodes_stream(flags: DataFrame, path: str, checkpoint: str, grid: str = GRID) -> DataStreamWriter:
+    """Episodes of flagged grid rows, kept up to date in a table by day of their start.
+
+    A batch's rows are merged with the stored episodes they touch, so the running
+    episode is there at once and late rows may join two.
+    """
     us = grid_us(grid)
-    session = F.session_window("ts", f"{us + us // 2} microseconds")
-    return (
-        flags.where("is_anomaly")
-        .withWatermark("ts", delay)
-        .groupBy(session.alias("s"), "cell_id")
-        .agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), F.count(F.lit(1)).alias("points"))
-        .drop("s")
-    )
+
+    def step(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        found = cut(batch.where("is_anomaly").select("cell_id", "ts").distinct())
+        if found.isEmpty():
+            return
+        pieces = found.select("ts", "cell_id", F.col("ts").alias("end_ts"))
+        spans = found.groupBy("cell_id").agg(F.min("ts").alias("_from"), F.max("ts").alias("_to"))
+        if path_exists(spark, path):
+            near = join_params(tables.scan_dated(spark, path, EPISODES).drop("date"), cut(spans), how="inner")
+            met = (F.col("end_ts") >= shift(F.col("_from"), -us)) & (F.col("ts") <= shift(F.col("_to"), us))
+            pieces = pieces.union(near.where(met).select("ts", "cell_id", "end_ts"))
+        pieces = cut(pieces)
+        before = Window.partitionBy("cell_id").orderBy("ts", "end_ts").rowsBetween(Window.unboundedPreceding, -1)
+        starts = F.coalesce(F.col("ts") > shift(F.max("end_ts").over(before), us), F.lit(True))
+        order = Window.partitionBy("cell_id").orderBy("ts", "end_ts")
+        numbered = pieces.withColumn("_new", starts.cast("int")).withColumn("_run", F.sum("_new").over(order))
+        merged = numbered.groupBy("cell_id", "_run").agg(F.min("ts").alias("ts"), F.max("end_ts").alias("end_ts"))
+        ranges = cut(pieces.groupBy("cell_id").agg(F.min("ts").alias("_from"), F.max("ts").alias("_to")))
+        tables.replace(merged.select(*EPISODES.fieldNames()), path, ranges)
+
+    return flags.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
+
+
+def read_episodes(spark: SparkSession, path: str, grid: str = GRID) -> DataFrame:
+    """``cell_id, start_ts, end_ts, points``; an episode has a row at every step."""
+    points = F.floor((F.unix_micros("end_ts") - F.unix_micros("ts")) / grid_us(grid)) + 1
+    return tables.scan(spark, path, EPISODES).select("cell_id", F.col("ts").alias("start_ts"), "end_ts", points.alias("points"))

@@ -668,4 +668,24 @@ add("stream_ingest", f"{R} SELECT * REPLACE ('stream' AS source) FROM raw", RAW_
 add("stream_latest", f"{R} SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY ts DESC) = 1", f"cell_id:s ts:t {KPI_D}")
 add("stream_state", f"{R} SELECT r.cell_id, r.ts, {label_of(worst())} AS qos_state, c.cause_kpi, c.cause_excess FROM raw r "
     f"JOIN ({blame('raw', 'cell_id, ts')}) c ON c.cell_id = r.cell_id AND c.ts = r.ts", "cell_id:s ts:t qos_state:s cause_kpi:s cause_excess:d")
-add("stream_refresh", f"{P} SELECT * FROM features", "cell_id:s ts:t throughput_mean_5m:d latency_lag_10:d jitter_hour_mean:d")
+WIDE = f"cell_id:s ts:t {MEANS} {STDS} {LAGS} {HOURS} hour_of_day:l day_of_week:l"
+add("stream_refresh", f"{P} SELECT * FROM features", WIDE)
+HOLES = (
+    "holes AS (SELECT * FROM raw WHERE NOT (cell_id IN ('cell_001', 'cell_004') "
+    "AND ts BETWEEN TIMESTAMP '2024-01-06 00:00:00' AND TIMESTAMP '2024-01-22 16:00:00'))"
+)
+add("stream_refresh_holes", "WITH " + cleaning(HOUR, "holes").replace("first_rows AS", HOLES + ",\nfirst_rows AS", 1) + ",\n" + featuring(HOUR)
+    + " SELECT * FROM features", WIDE)
+_frames = ", ".join(
+    f"w{n} AS (PARTITION BY cell_id ORDER BY ts RANGE BETWEEN INTERVAL {n - 1} HOUR PRECEDING AND CURRENT ROW)" for n in (5, 15, 30, 60)
+)
+add("stream_means", f"WITH {RAW}, first_rows AS ({DEDUPE.format(src='raw')}), "
+    f"bins AS (SELECT cell_id, time_bucket(INTERVAL 1 HOUR, ts) AS ts, {each('avg({k}) AS {k}')} FROM first_rows GROUP BY 1, 2) "
+    "SELECT cell_id, ts, " + ", ".join(f"avg({k}) OVER w{n} AS {k}_mean_{n}m" for k in KPIS for n in (5, 15, 30, 60)) + f" FROM bins WINDOW {_frames}",
+    "cell_id:s ts:t " + " ".join(f"{k}_mean_{n}m:d" for k in KPIS for n in (5, 15, 30, 60)))
+add("stream_episodes", f"{C}, {runs('labels', 'is_anomaly', 'flagged')} SELECT cell_id, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS points "
+    "FROM flagged GROUP BY cell_id, run", "cell_id:s start_ts:t end_ts:t points:l")
+add("csv_mixed_headers", f"{R} SELECT ts, cell_id, {each('{k}')}, is_anomaly, 'batch' AS source FROM raw",
+    f"ts:t cell_id:s {KPI_D} is_anomaly:b source:s")
+add("served_elsewhere", f"{C} SELECT cell_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS ts, hour(ts) AS hour_of_day, isodow(ts) - 1 AS day_of_week FROM clean",
+    "cell_id:s ts:s hour_of_day:l day_of_week:l")
