@@ -386,23 +386,27 @@ class _Net:
         return np.concatenate(parts)
 
 
-def _adam_epoch(net: _Net, state: np.ndarray, step: int, x: np.ndarray, rate: float, batch: int, rng) -> tuple:
-    w, m, v = (part.copy() for part in np.split(state, 3))
-    order = rng.permutation(len(x))
-    for at in range(0, len(x), batch):
-        g = net.gradient(w, x[order[at : at + batch]], 1e-4)
-        step += 1
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return np.concatenate([w, m, v]), step
+def _direction(gradient: np.ndarray, past: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The quasi-Newton step from the last changes of parameters and gradient (two-loop recursion)."""
+    q, weights = gradient.copy(), []
+    for moved, turned in reversed(past):
+        weights.append((moved @ q) / (turned @ moved))
+        q -= weights[-1] * turned
+    if past:
+        moved, turned = past[-1]
+        q *= (moved @ turned) / (turned @ turned)
+    for (moved, turned), a in zip(past, reversed(weights)):
+        q += (a - (turned @ q) / (turned @ moved)) * moved
+    return -q
 
 
 class Autoencoder(_Scaled):
     """A bottleneck network; the score is the mean squared reconstruction error.
 
-    Each epoch, every partition runs Adam over its own rows from the shared
-    parameters; Spark averages the resulting vectors, weighted by rows.  The
-    parameter vector is all that passes through the driver.
+    Fitted by L-BFGS on the whole training set: every evaluation sums losses
+    and gradients over all partitions, and the driver makes one step.  The
+    parameter vector and its gradient are all that passes through the driver,
+    and neither the size of the data nor its layout changes the method.
     """
 
     name = "autoencodeur"
@@ -413,79 +417,87 @@ class Autoencoder(_Scaled):
         hidden: tuple[int, ...] = (16, 8, 16),
         max_iter: int = 300,
         trim: float = 0.02,
-        rate: float = 1e-3,
-        batch: int = 256,
         patience: int = 12,
-        rows_per_task: int = 100_000,
+        memory: int = 10,
+        decay: float = 1e-4,
         seed: int = SEED,
     ):
         super().__init__(columns)
         self.hidden, self.max_iter, self.trim = tuple(hidden), max_iter, trim
-        self.rate, self.batch, self.patience = rate, batch, patience
-        self.rows_per_task, self.seed = rows_per_task, seed
+        self.patience, self.memory, self.decay, self.seed = patience, memory, decay, seed
         self.net = _Net((len(self.columns), *self.hidden, len(self.columns)))
         self.weights: np.ndarray | None = None
         self.rows_kept = 0
         self.epochs = 0
 
+    def _evaluate(self, rows: DataFrame, w: np.ndarray) -> tuple[float, np.ndarray, float]:
+        """Mean loss and gradient over the training rows, and the mean error of the held ones."""
+        net, size = self.net, self.net.length
+
+        def sums(batches):
+            total = np.zeros(size + 4)  # gradient, loss, rows, held error, held rows
+            for pdf in batches:
+                x, aside = _stack(pdf["_x"], net.sizes[0]), pdf["held"].to_numpy(bool)
+                if aside.any():
+                    total[size + 2] += ((net.forward(w, x[aside])[-1] - x[aside]) ** 2).mean(axis=1).sum()
+                    total[size + 3] += aside.sum()
+                if (~aside).any():
+                    x = x[~aside]
+                    total[:size] += net.gradient(w, x, 0.0) * len(x)
+                    total[size] += 0.5 * ((net.forward(w, x)[-1] - x) ** 2).sum()
+                    total[size + 1] += len(x)
+            yield pd.DataFrame({"total": [total.tolist()]})
+
+        parts = rows.mapInPandas(sums, "total array<double>").select(F.posexplode("total").alias("at", "v"))
+        summed = parts.groupBy("at").agg(F.sum("v").alias("v")).toPandas().sort_values("at")["v"].to_numpy()
+        if not len(summed):
+            return 0.0, np.zeros(size), math.inf
+        n = max(summed[size + 1], 1.0)
+        inner = np.zeros(size)
+        at = 0
+        for (a, b), _ in net.shapes:  # decay holds for weights, not for biases
+            inner[at : at + a * b] = w[at : at + a * b]
+            at += a * b + b
+        held = summed[size + 2] / summed[size + 3] if summed[size + 3] else math.inf
+        return summed[size] / n + 0.5 * self.decay * inner @ inner, summed[:size] / n + self.decay * inner, held
+
     def fit(self, train: DataFrame) -> "Autoencoder":
         scaled = trim_extremes(cut(self._fit_scaler(train)), self.trim)
         held = uniform(F.lit(self.seed), *KEY) < 0.1
-        packed = cut(scaled.select("_x", held.alias("held"), *KEY))
-        self.rows_kept = packed.count()
-        tasks = max(1, math.ceil(self.rows_kept / self.rows_per_task))
-        rows = cut(packed.repartition(tasks, *KEY).sortWithinPartitions(*KEY).select("_x", "held"))
-
-        net, rate, batch, seed = self.net, self.rate, self.batch, self.seed
-        state = np.concatenate([net.start(seed), np.zeros(2 * net.length)])
-        step, best, stale, kept = 0, math.inf, 0, state[: net.length]
-        schema = "state array<double>, step long, n long, error double, held long"
-        for epoch in range(self.max_iter):
-
-            def one_epoch(batches, state=state, step=step, epoch=epoch):
-                # Error of the shared parameters on held rows, then one pass over the others.
-                w, now, at, seen, error, held_n = state[: net.length], state, step, 0, 0.0, 0
-                rng = np.random.default_rng([seed, epoch])
-                for pdf in batches:
-                    x = _stack(pdf["_x"], net.sizes[0])
-                    aside = pdf["held"].to_numpy()
-                    if aside.any():
-                        error += float(((net.forward(w, x[aside])[-1] - x[aside]) ** 2).mean(axis=1).sum())
-                        held_n += int(aside.sum())
-                    if (~aside).any():
-                        now, at = _adam_epoch(net, now, at, x[~aside], rate, batch, rng)
-                        seen += int((~aside).sum())
-                yield pd.DataFrame(
-                    {"state": [now.tolist()], "step": [at], "n": [seen], "error": [error], "held": [held_n]}
-                )
-
-            parts = rows.mapInPandas(one_epoch, schema)
-            averaged = (
-                parts.select("step", "n", "error", "held", F.posexplode("state").alias("at", "v"))
-                .groupBy("at")
-                .agg(
-                    (F.sum(F.col("v") * F.col("n")) / F.greatest(F.sum("n"), F.lit(1))).alias("v"),
-                    F.max("step").alias("step"),
-                    F.try_divide(F.sum("error"), F.sum("held")).alias("error"),
-                )
-                .toPandas()
-                .sort_values("at")
-            )
-            error = averaged["error"].iloc[0]
-            error = math.inf if pd.isna(error) else float(error)
-            if error < best - 1e-4 * abs(best if math.isfinite(best) else 0.0):
-                best, stale, kept = error, 0, state[: net.length]
+        rows = cut(scaled.select("_x", held.alias("held")))
+        self.rows_kept = rows.count()
+
+        w = self.net.start(self.seed)
+        loss, gradient, error = self._evaluate(rows, w)
+        best, kept, stale, past = error, w, 0, []
+        for step in range(1, self.max_iter + 1):
+            if not np.abs(gradient).max() > 1e-9:
+                break
+            way = _direction(gradient, past)
+            slope = way @ gradient
+            if slope >= 0:  # the curvature held is of no use; start again downhill
+                past, way = [], -gradient
+                slope = way @ gradient
+            length = 1.0 if past else min(1.0, 1.0 / np.abs(gradient).sum())
+            for _ in range(12):
+                tried = w + length * way
+                new_loss, new_gradient, new_error = self._evaluate(rows, tried)
+                if new_loss <= loss + 1e-4 * length * slope:
+                    break
+                length *= 0.3
             else:
-                stale += 1
-            self.epochs = epoch + 1
-            if stale >= self.patience:
                 break
-            state, step = averaged["v"].to_numpy(), int(averaged["step"].max())
-            if not math.isfinite(best):
-                kept = state[: net.length]
-        else:
-            if stale == 0:
-                kept = state[: net.length]
+            moved, turned = tried - w, new_gradient - gradient
+            if moved @ turned > 1e-10 * (turned @ turned):
+                past = [*past, (moved, turned)][-self.memory :]
+            w, loss, gradient, error = tried, new_loss, new_gradient, new_error
+            self.epochs = step
+            if not math.isfinite(error) or error < best - 1e-4 * abs(best if math.isfinite(best) else 0.0):
+                best, kept, stale = error, w, 0
+            else:
+                stale += 1
+                if stale >= self.patience:
+                    break
         self.weights = kept
         return self
 

@@ -69,8 +69,8 @@ def test_density_detector_keeps_every_point_when_all_are_noise(cloud):
 
 
 def test_autoencoder_learns_explains_and_reloads(spark, cloud):
-    start = Autoencoder(COLUMNS, hidden=(4, 2, 4), max_iter=1, rate=5e-3, batch=32).fit(cloud)
-    model = Autoencoder(COLUMNS, hidden=(4, 2, 4), max_iter=12, rate=5e-3, batch=32).fit(cloud)
+    start = Autoencoder(COLUMNS, hidden=(4, 2, 4), max_iter=1).fit(cloud)
+    model = Autoencoder(COLUMNS, hidden=(4, 2, 4), max_iter=12).fit(cloud)
     error = lambda m: m.score(cloud.where("NOT far")).agg(F.avg("score")).first()[0]
     assert error(model) < error(start) and model.rows_kept < 1200
     assert separation(model.score(cloud)) > 0.9
@@ -82,6 +82,23 @@ def test_autoencoder_learns_explains_and_reloads(spark, cloud):
     assert error(again) == pytest.approx(error(model))
 
 
+def test_autoencoder_does_not_depend_on_the_layout(cloud):
+    fitted = [Autoencoder(COLUMNS, hidden=(4, 2, 4), max_iter=5).fit(cloud.repartition(n)).weights for n in (1, 7)]
+    np.testing.assert_allclose(*fitted, rtol=1e-6, atol=1e-8)
+
+
+def test_forest_draws_from_all_rows(spark):
+    """Far more rows than trees times sample: hardly any row is drawn twice, from every part of the table."""
+    rows = spark.range(200_000).select(
+        F.concat(F.lit("c"), F.col("id") % 4).alias("cell_id"), F.timestamp_seconds("id").alias("ts"), F.array(F.col("id").cast("double")).alias("_x")
+    )
+    model = IsolationForest(["x"], trees=40, sample=64)
+    drawn = model._draw(rows, 64 / 200_000).select("tree", F.col("_x")[0].alias("x")).toPandas()
+    assert abs(len(drawn) - 40 * 64) < 250 and drawn["tree"].nunique() == 40
+    assert drawn["x"].nunique() > 0.97 * len(drawn)
+    assert drawn["x"].mean() == pytest.approx(100_000, rel=0.05) and drawn["tree"].mean() == pytest.approx(19.5, abs=1)
+
+
 def test_autoencoder_gradient():
     model = Autoencoder(COLUMNS, hidden=(4, 2, 4))
     net, rng = model.net, np.random.default_rng(0)
