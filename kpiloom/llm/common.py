@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,33 @@ def with_text(docs: DataFrame, ident: str, text: str, *more: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`").alias(c) for c in (ident, text, *more)])
 
 
+def labelled_sample(docs: DataFrame, ident: str, text: str, marks: DataFrame, most: int, seed: int) -> pd.DataFrame:
+    """About ``most`` documents of each label, chosen by a hash of the id: ``id, label, share, text`` in id order.
+
+    ``marks`` has one row ``id, label`` per labelled document, ``share`` is the
+    part of a label that was taken.  The sample of ids is broadcast only after
+    its size has been checked, so that not all texts are shuffled for a few of them.
+    """
+    sizes = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}  # one entry per label
+    shares = [x for label, n in sizes.items() for x in (F.lit(label), F.lit(min(1.0, most / n)))]
+    empty = pd.DataFrame({"id": [], "label": [], "share": [], "text": []})
+    if not shares:
+        return empty
+    share = F.element_at(F.create_map(*shares), F.col("label"))
+    chosen = cut(marks.withColumn("share", share).where(uniform(seed, F.col("id")) < F.col("share")))
+    limit = 2 * most * len(sizes)
+    small = chosen.limit(limit + 1).count() <= limit
+    texts = with_text(docs, ident, text).where(F.col(text).isNotNull()).select(F.col(ident).alias("id"), F.col(text).alias("text"))
+    rows = texts.join(F.broadcast(chosen) if small else chosen, "id").select("id", "label", "share", "text").toPandas()
+    return rows.sort_values(["id", "text"], ignore_index=True) if len(rows) else empty
+
+
+def uniform(seed: int, *cols: Column) -> Column:
+    """A number in (0, 1) that depends on the values alone (52 bits of an MD5)."""
+    joined = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
+    return (F.conv(F.substring(F.md5(joined.cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+
+
 def word_blocks(raw: bytes, overlap: int, block: int = 1 << 20):
     """Lists of words of a text; consecutive lists share ``overlap`` words.
 

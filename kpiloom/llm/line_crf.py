@@ -18,8 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import in_fold, with_text
-from kpiloom.llm.mixing import uniform
+from kpiloom.llm.common import in_fold, labelled_sample, with_text
 
 SAMPLE_DOCS = 1500  # expected documents per label to fit on, chosen by a hash of the id
 STEPS = 220
@@ -198,12 +197,9 @@ def fit(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "
 
     Conflicting labels of one document count as the least of them.
     """
-    marks = labels.where(F.col(label).isNotNull()).groupBy(F.col(f"`{ident}`").alias("_id")).agg(F.min(f"`{label}`").cast("int").alias("_y"))
-    sizes = marks.groupBy("_y").count()
-    chosen = marks.join(sizes, "_y").where(uniform(seed, F.col("_id")) < F.lit(float(sample_docs)) / F.col("count")).select("_id", "_y")
-    rows = with_text(docs, ident, text).where(F.col(text).isNotNull())
-    rows = rows.join(chosen, F.col(ident) == F.col("_id")).select("_id", "_y", F.col(text).alias("_text")).orderBy("_id", "_text").toPandas()
-    return train([_raw(t) for t in rows["_text"]], rows["_y"].to_numpy(np.int64)) if len(rows) else None
+    marks = labels.where(F.col(label).isNotNull()).groupBy(F.col(f"`{ident}`").alias("id")).agg(F.min(f"`{label}`").cast("int").alias("label"))
+    rows = labelled_sample(docs, ident, text, marks, sample_docs, seed)
+    return train([_raw(t) for t in rows["text"]], rows["label"].to_numpy(np.int64)) if len(rows) else None
 
 
 def score(docs: DataFrame, field: LineField | None, text: str = "text", group: int = 4 << 20) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import with_text
+from kpiloom.llm.common import uniform, with_text
 from kpiloom.session import cut
 
 WEIGHTS = (5, 2, 1)
@@ -33,12 +33,6 @@ def quality_of(text: Column) -> Column:
     return F.coalesce(F.greatest(F.lit(LEAST_QUALITY), lower / whole), F.lit(LEAST_QUALITY))
 
 
-def uniform(seed: int, *cols: Column) -> Column:
-    """A number in (0, 1) that depends on the values alone (52 bits of an MD5)."""
-    joined = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
-    return (F.conv(F.substring(F.md5(joined.cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
-
-
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """Adds ``target`` to one row per source with ``source_size``.
 

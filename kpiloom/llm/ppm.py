@@ -19,8 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import in_fold, with_text
-from kpiloom.llm.mixing import uniform
+from kpiloom.llm.common import in_fold, uniform, with_text
 
 ORDER = 3  # bytes of context; a start mark of as many zero bytes precedes each text
 SAMPLE_DOCS = 2000  # expected documents per language to fit on, chosen by a hash of the id
@@ -96,9 +95,12 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def sample(docs: DataFrame, text: str, lang: str, ident: str, most: int, seed: int = 11) -> DataFrame:
     """About ``most`` documents of each language, by a hash of their ids; all of a language that has fewer."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(ident).alias("doc"))
-    sizes = known.groupBy("lang").count()
-    share = F.lit(float(most)) / F.col("count")
-    return known.join(sizes, "lang").where(uniform(seed, F.col("doc")) < share).select("lang", "text")
+    # One entry per language, as in the model itself; a join would gather the texts of a language.
+    shares = [x for r in known.groupBy("lang").count().collect() for x in (F.lit(r["lang"]), F.lit(float(most) / r["count"]))]
+    if not shares:
+        return known.select("lang", "text")
+    share = F.element_at(F.create_map(*shares), F.col("lang"))
+    return known.where(uniform(seed, F.col("doc")) < share).select("lang", "text")
 
 
 def build(counts: pd.DataFrame, least: int = LEAST_COUNT) -> ContextTrees:

@@ -10,6 +10,7 @@ inflected forms of a known stem count as well.
 
 from __future__ import annotations
 
+import array
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,10 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.common import in_fold, with_text
-from kpiloom.llm.mixing import uniform
+from kpiloom.llm.common import in_fold, labelled_sample, with_text
 
-SAMPLE_DOCS = 2500  # expected documents per label to fit on, chosen by a hash of the id
+SAMPLE_DOCS = 2000  # expected documents per label to fit on, chosen by a hash of the id
 STEMS = (4, 5)  # letters
 LEAST_Z = 4.0  # a feature whose document frequency differs less between the labels has no weight
 STEPS = 400
@@ -89,7 +89,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 def train(texts: list[str], labels: np.ndarray, weight: np.ndarray, steps: int = STEPS, rate: float = RATE, ridge: float = RIDGE) -> SentenceModel:
     """Full-batch Adam on the noisy-or likelihood of document labels; document weights sum to 1."""
     index: dict[str, int] = {}
-    word_of, sentence_of, doc_of = [], [], []
+    word_of, sentence_of, doc_of = array.array("i"), array.array("i"), array.array("i")
     for d, text in enumerate(texts):
         fresh, previous = True, ""
         for word in tokens(text):
@@ -102,7 +102,7 @@ def train(texts: list[str], labels: np.ndarray, weight: np.ndarray, steps: int =
                 fresh = False
             word_of.append(index.setdefault(word, len(index)))
             sentence_of.append(len(doc_of) - 1)
-    word_of, sentence_of, doc_of = np.array(word_of, np.int64), np.array(sentence_of, np.int64), np.array(doc_of, np.int64)
+    word_of, sentence_of, doc_of = (np.frombuffer(a, np.int32) if len(a) else np.zeros(0, np.int32) for a in (word_of, sentence_of, doc_of))
     n_words, n_sent, n_docs = len(index), len(doc_of), len(texts)
     if not n_sent or labels.min() == labels.max():
         return SentenceModel(8.0 if n_docs and labels.min() == 1 else -20.0, {}, {})
@@ -118,7 +118,7 @@ def train(texts: list[str], labels: np.ndarray, weight: np.ndarray, steps: int =
     n_of = np.array([(labels == 0).sum(), (labels == 1).sum()])
     known = np.zeros(n_features, bool)
     for of in part:
-        pairs = np.unique(of[word_of] * n_docs + doc_of_word)
+        pairs = np.unique(of[word_of] * np.int64(n_docs) + doc_of_word)
         feature, label = pairs // n_docs, labels[pairs % n_docs]
         held = np.stack([np.bincount(feature[label == k], minlength=n_features) for k in (0, 1)])
         pooled = held.sum(axis=0) / n_docs
@@ -155,14 +155,10 @@ def fit(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "
 
     Conflicting labels of one document count as the greatest of them.
     """
-    marks = labels.where(F.col(label).isNotNull()).groupBy(F.col(f"`{ident}`").alias("_id")).agg(F.max(f"`{label}`").cast("int").alias("_y"))
-    sizes = marks.groupBy("_y").count()
-    share = F.least(F.lit(float(sample_docs)) / F.col("count"), F.lit(1.0))
-    chosen = marks.join(sizes, "_y").withColumn("_share", share).where(uniform(seed, F.col("_id")) < F.col("_share"))
-    rows = with_text(docs, ident, text).where(F.col(text).isNotNull()).join(chosen, F.col(ident) == F.col("_id"))
-    rows = rows.select("_id", "_y", "_share", F.col(text).alias("_text")).orderBy("_id", "_text").toPandas()
-    weight = 1 / rows["_share"].to_numpy(np.float64)  # the sample stands for the frequency of the labels
-    return train(rows["_text"].tolist(), rows["_y"].to_numpy(np.int64), weight / max(weight.sum(), 1e-9))
+    marks = labels.where(F.col(label).isNotNull()).groupBy(F.col(f"`{ident}`").alias("id")).agg(F.max(f"`{label}`").cast("int").alias("label"))
+    rows = labelled_sample(docs, ident, text, marks, sample_docs, seed)
+    weight = 1 / rows["share"].to_numpy(np.float64)  # the sample stands for the frequency of the labels
+    return train(rows["text"].tolist(), rows["label"].to_numpy(np.int64), weight / max(weight.sum(), 1e-9))
 
 
 def score(docs: DataFrame, model: SentenceModel, text: str = "text") -> DataFrame:
