@@ -278,10 +278,11 @@ def repeated_spans(docs: DataFrame, text: str, ident: str, length: int = LENGTH,
     copies = listed.groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("doc").alias("first"))
     each = listed.dropDuplicates(["k1", "k2"]).select("k1", "k2", F.explode(F.arrays_zip("pos", "bucket", "string", "depth")).alias("a"))
     each = each.select("k1", "k2", "a.*")
-    many = each.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    # Written first: joined as a table of its own, a very large bucket can be split by Spark.
+    many = cut(each.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
     shared = cut(each.join(many, "bucket"))
     strings = shared.where("depth > 0").groupBy("string", "depth").agg(F.count("*").alias("times"), F.min(F.struct("k1", "k2", "pos")).alias("example"))
-    refined = shared.join(strings.where("times > 1"), ["string", "depth"], "left")
+    refined = shared.join(cut(strings.where("times > 1")), ["string", "depth"], "left")
     known = refined.select(
         "k1",
         "k2",
@@ -302,7 +303,7 @@ def repeated_spans(docs: DataFrame, text: str, ident: str, length: int = LENGTH,
     cold = opened.where("not hot").repartition("bucket").sortWithinPartitions("bucket")
     near = cold.select("bucket", "k1", "k2", "pos", "piece").mapInPandas(_refine_buckets(length), spans)
     windows = opened.where("hot").select("k1", "k2", "pos", "piece").mapInPandas(_hot_windows(length), "window long, k1 long, k2 long, lo long")
-    again = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
+    again = cut(windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window"))
     far = windows.join(again, "window").select("k1", "k2", "lo", (F.col("lo") + length).alias("hi"))
     inner = known.select("k1", "k2", F.explode("known").alias("a")).where("a.covered > 0")
     inner = inner.select("k1", "k2", F.col("a.pos").alias("lo"), (F.col("a.pos") + F.col("a.covered")).alias("hi"))
