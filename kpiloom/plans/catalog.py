@@ -21,6 +21,8 @@ from kpiloom.models.detectors import (
     IsolationForest,
     LinearReconstruction,
     ThresholdDetector,
+    build_detectors,
+    stored_scaler,
 )
 from kpiloom.models.store import scored
 from kpiloom.operators import clean, explore, features, joins, metrics, monitor, scaling, select, split
@@ -862,18 +864,18 @@ def pca_error(spark, sf_dir):
 
 @query
 def autoencoder(spark, sf_dir):
-    return _fitted_scores(spark, sf_dir, lambda c: Autoencoder(c, max_iter=30))
+    return _fitted_scores(spark, sf_dir, Autoencoder)
 
 
 @query
 def autoencoder_grid(spark, sf_dir):
     rows = split_table(spark, sf_dir)
-    return anomaly_plan.select_autoencoder(features.anomaly_features(rows), rows, max_iter=3)[1]
+    return anomaly_plan.select_autoencoder(features.anomaly_features(rows), rows, max_iter=100)[1]
 
 
 @query
 def explain(spark, sf_dir):
-    model, rows = _learned(spark, sf_dir, lambda c: Autoencoder(c, max_iter=10))
+    model, rows = _learned(spark, sf_dir, Autoencoder)
     return model.explain(rows.where("segment = 'test'")).select("cell_id", "ts", "score", "causes")
 
 
@@ -881,10 +883,32 @@ def explain(spark, sf_dir):
 def learned_comparison(spark, sf_dir):
     rows = split_table(spark, sf_dir)
     columns = features.anomaly_features(rows)
-    detectors = [ThresholdDetector(), IsolationForest(columns, trees=100), DensityDetector(columns, grid=GRID)]
+    detectors = list(build_detectors(columns, GRID).values())
     return anomaly_plan.detector_study(detectors, rows, GRID, minutes_per_point=MINUTES)
 
 
+@query
+def learned_counts(spark, sf_dir):
+    """What is certain about learned scores: one finite score per row and detector."""
+    rows = split_table(spark, sf_dir)
+    train, columns = rows.where("segment = 'train'"), features.anomaly_features(rows)
+    models = [IsolationForest(columns), DensityDetector(columns, grid=GRID), LinearReconstruction(columns), Autoencoder(columns)]
+    scaler = stored_scaler(train, columns)
+    scores = scored([m.share_scaler(scaler).fit(train) for m in models], rows, ["segment"])
+    finite = F.count_if(F.col("score").isNotNull() & ~F.isnan("score") & (F.abs("score") < float("inf")))
+    return scores.groupBy("detector", "segment").agg(F.count(F.lit(1)).alias("n"), finite.alias("finite"))
+
+
+@query
+def forecast_study_counts(spark, sf_dir):
+    """Every model forecasts from every origin: rows and finite errors per scope, model, KPI and horizon."""
+    rows = test_rows(spark, sf_dir)
+    trained = supervised_table(spark, sf_dir).where("segment = 'train'")
+    arima = fc.AutoRegression(history(spark, sf_dir), GRID).fit(trained)
+    table = forecast_plan.forecast_study([*baselines(spark, sf_dir), arima], rows, select.evaluation_origins(rows, GRID))
+    return table.select("scope", "model", "kpi", "horizon_min", "n", (F.col("mae") >= 0).alias("measured"))
+
+
 @query
 def ar_forecast(spark, sf_dir):
     rows = supervised_table(spark, sf_dir)

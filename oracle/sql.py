@@ -689,3 +689,11 @@ add("csv_mixed_headers", f"{R} SELECT ts, cell_id, {each('{k}')}, is_anomaly, 'b
     f"ts:t cell_id:s {KPI_D} is_anomaly:b source:s")
 add("served_elsewhere", f"{C} SELECT cell_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS ts, hour(ts) AS hour_of_day, isodow(ts) - 1 AS day_of_week FROM clean",
     "cell_id:s ts:s hour_of_day:l day_of_week:l")
+add("learned_counts", f"{S} SELECT detector, segment, count(*) AS n, count(*) AS finite FROM segments, "
+    "(VALUES ('isolation_forest'), ('dbscan'), ('acp'), ('autoencodeur')) m(detector) GROUP BY 1, 2", "detector:s segment:s n:l finite:l")
+add("forecast_study_counts", f"{T}, tested AS (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY ts) - 1 AS place FROM supervised WHERE segment = 'test'), "
+    "scopes AS (SELECT 'test_complet' AS scope, count(*) AS n FROM tested UNION ALL SELECT 'origines_communes', count(*) FROM tested WHERE place % 30 = 0) "
+    "SELECT scope, model, kpi, horizon_min, n, true AS measured FROM scopes, "
+    "(VALUES ('persistance'), ('moyenne_mobile_15m'), ('naif_saisonnier_24h'), ('arima')) m(model), "
+    f"(VALUES {', '.join(f"('{k}')" for k in KPIS)}) q(kpi), (VALUES (5), (15), (30)) h(horizon_min) "
+    "WHERE model <> 'arima' OR scope = 'origines_communes'", "scope:s model:s kpi:s horizon_min:l n:l measured:b")
