@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions.timegrid import step_index, whole_div
+from kpiloom.session import cut
 
 BLOCK_STEPS = 8192
 BLOCK = ["cell_id", "_block"]
@@ -89,5 +90,15 @@ def with_position(
     )
 
 
+def in_ranges(df: DataFrame, *order: str) -> DataFrame:
+    """Rows in ranges of ``order`` numbered ``_range``, as many ranges as Spark's shuffle makes of the data.
+
+    The rows are written, since range bounds are sampled and would not be the
+    same in a second run.  A sum over earlier ranges plus a window within one
+    replaces a window over everything.
+    """
+    return cut(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+
+
 def last_known(value: Column, window: Window) -> Column:
     return F.last(value, ignorenulls=True).over(window)

@@ -42,7 +42,7 @@ def describe(history: DataFrame) -> DataFrame:
     shares = points.groupBy(F.col("name").alias("kpi")).agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name) for p, name in PERCENTILES.items()]
     )
-    return moments.join(F.broadcast(shares), "kpi").withColumn("unite", _unit(F.col("kpi")))
+    return moments.join(shares, "kpi").withColumn("unite", _unit(F.col("kpi")))
 
 
 def normal_vs_anomaly(history: DataFrame) -> DataFrame:
@@ -176,7 +176,7 @@ def histogram(df: DataFrame, bins: int = 80, by: list[str] = ("kpi",), value: st
     ends = df.groupBy(by[0]).agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     place = F.when(F.col("_hi") > F.col("_lo"), F.floor((v - F.col("_lo")) / width)).otherwise(0)
-    binned = df.where(v.isNotNull()).join(F.broadcast(ends), by[0]).withColumn("bin", F.least(place, F.lit(bins - 1)))
+    binned = df.where(v.isNotNull()).join(ends, by[0]).withColumn("bin", F.least(place, F.lit(bins - 1)))
     return binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -1,7 +1,7 @@
 """Point-wise detection metrics, threshold sweeps and forecast errors.
 
 Detection metrics work on a long score table: ``detector, score, is_anomaly``.
-Detectors are few, so tables keyed by detector are broadcast.
+Tables keyed by detector are left to Spark's own size check.
 """
 
 from __future__ import annotations
@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions.numeric import finite, ratio
+from kpiloom.operators.blocks import in_ranges
 from kpiloom.operators.quantiles import exact_quantiles
 
-RANGES = 128
 SWEEP_POINTS = 200
 SWEEP_LOW, SWEEP_HIGH = 0.50, 0.9995
 
@@ -56,20 +56,13 @@ def cumulative_scores(df: DataFrame, by: str = "detector", truth: str = "is_anom
     """Distinct scores with counts of lower rows.
 
     Columns ``score, n, pos, n_below, pos_below, n_all, pos_all, _range``.  Equal
-    scores are counted first.  The running sums work in ranges cut at sketched
-    quantiles, so no window spans all scores of a detector.
+    scores are counted first.  The running sums work in ranges whose number
+    follows the data, so no window spans all scores of a detector.
     """
     counts = df.groupBy(by, "score").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col(truth)).alias("pos")
     )
-    cuts = df.groupBy(by).agg(
-        F.percentile_approx("score", F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)]), F.lit(10_000)).alias("_cuts")
-    )
-    ranged = (
-        counts.join(F.broadcast(cuts), by)
-        .withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut <= F.col("score"))))
-        .drop("_cuts")
-    )
+    ranged = in_ranges(counts, by, "score")
     sums = ranged.groupBy(by, "_range").agg(F.sum("n").alias("_n"), F.sum("pos").alias("_pos"))
     earlier = Window.partitionBy(by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(by)
@@ -82,7 +75,7 @@ def cumulative_scores(df: DataFrame, by: str = "detector", truth: str = "is_anom
         F.sum("_pos").over(whole).alias("pos_all"),
     )
     lower = Window.partitionBy(by, "_range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    return ranged.join(F.broadcast(starts), [by, "_range"]).select(
+    return ranged.join(starts, [by, "_range"]).select(
         by,
         "score",
         "n",
@@ -125,7 +118,7 @@ def sweep_threshold(
         F.max(F.col("n_below") + F.col("n")).alias("_to"),
     )
     rank = F.col("prob") * (F.col("n_all") - 1)
-    # At most RANGES rows per detector meet `points` wanted ranks.
+    # One row per range and detector meets `points` wanted ranks.
     wanted = (
         sizes.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
         .withColumn("rank", rank)
@@ -134,7 +127,7 @@ def sweep_threshold(
         .select(by, "_range", "prob", "rank", "_at")
         .distinct()
     )
-    hit = ranked.join(F.broadcast(wanted), [by, "_range"]).where(
+    hit = ranked.join(wanted, [by, "_range"]).where(
         (F.col("_at") >= F.col("n_below")) & (F.col("_at") < F.col("n_below") + F.col("n"))
     )
     floor = F.col("_at") == F.floor("rank")
@@ -208,7 +201,7 @@ def with_skill(table: DataFrame, keys: list[str], model: str = "model", base: st
     """Add the MAE gain over the baseline model in the same group."""
     baseline = table.where(F.col(model) == base).select(*keys, F.round("mae", 4).alias("_base"))
     return (
-        table.join(F.broadcast(baseline), keys, "left")
+        table.join(baseline, keys, "left")
         .withColumn("gain_mae_vs_persistance_pct", F.round(skill(F.round("mae", 4), F.col("_base")), 2))
         .drop("_base")
     )

@@ -39,7 +39,7 @@ def exact_quantiles(
     if by is None:
         both = packed.withColumn("_s", sketch.select("_s").scalar())
     elif few_groups:
-        both = packed.join(F.broadcast(sketch), by)
+        both = packed.join(sketch, by)
     elif by == "cell_id":
         # A left join keeps the long side where it is, however small Spark believes it to be.
         both = join_params(packed, sketch)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions.timegrid import iso_utc, utc_date
-from kpiloom.operators.blocks import with_position
+from kpiloom.operators.blocks import in_ranges, with_position
 from kpiloom.schema import CONTRACT_VERSION, GRID, MAX_PAGE, THRESHOLDS
 
 
@@ -143,17 +143,19 @@ def evaluation_origins(df: DataFrame, grid: str = GRID, every: int = 30, most: i
 def systematic_sample(df: DataFrame, grid: str = GRID, most: int = 20_000) -> DataFrame:
     """Every ``n // most``-th row of the table in ``(cell_id, ts)`` order, at most ``most``.
 
-    Positions come from per-cell counts; only one row per cell is ordered globally.
+    Positions come from per-cell counts, summed over ranges of cells.
     """
     placed = with_position(df, grid, totals=True)
     sizes = df.groupBy("cell_id").agg(F.count(F.lit(1)).alias("_size"))
-    everything = Window.orderBy("cell_id")
-    starts = sizes.select(
-        "cell_id",
-        F.coalesce(
-            F.sum("_size").over(everything.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_start"),
-        F.sum("_size").over(everything.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n"),
+    ranged = in_ranges(sizes, "cell_id")
+    # One row per range is added up by itself; cells only within their range.
+    sums = ranged.groupBy("_range").agg(F.sum("_size").alias("_sum"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = sums.select("_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_ahead"), F.sum("_sum").over(whole).alias("_n"))
+    within = Window.partitionBy("_range").orderBy("cell_id").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.join(offsets, "_range").select(
+        "cell_id", (F.col("_ahead") + F.coalesce(F.sum("_size").over(within), F.lit(0))).alias("_start"), "_n"
     )
     step = F.greatest(F.floor(F.col("_n") / F.lit(most)), F.lit(1))
     rank = F.col("_start") + F.col("_pos")

@@ -48,7 +48,7 @@ def compare(scores: DataFrame, points: DataFrame, grid: str = GRID, minutes_per_
     """Point-wise, ranking and episode metrics of each detector at each operating point."""
     test = scores.where("segment = 'test'")
     keys = ["detector", "point_de_fonctionnement"]
-    alerts = test.join(F.broadcast(points), "detector").withColumn(
+    alerts = test.join(points, "detector").withColumn(
         "is_anomaly_pred", F.col("score") >= F.col("seuil")
     )
     flat = metrics.confusion(alerts, [*keys, "seuil"])

@@ -385,7 +385,7 @@ def thresholds(spark, sf_dir):
     )
     return (
         explore.long_kpis(history(spark, sf_dir))
-        .join(F.broadcast(bounds), "kpi")
+        .join(bounds, "kpi")
         .groupBy("kpi", "unit", "good", "degraded", "contract_version")
         .agg(F.count_if(worse).alias("critical_rows"))
     )

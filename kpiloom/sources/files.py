@@ -67,9 +67,9 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path).orderBy("cell_id", "ts")
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Write a small result table as one CSV or JSON file with its header."""
-    writer = df.coalesce(1).write.mode("overwrite")
+def write_table(df: DataFrame, path: str, fmt: str = "csv", one_file: bool = True) -> None:
+    """Write a result table as CSV or JSON with its header; metric tables, being small, as one file."""
+    writer = (df.coalesce(1) if one_file else df).write.mode("overwrite")
     writer.option("header", True).csv(path) if fmt == "csv" else writer.json(path)
 
 
@@ -111,4 +111,4 @@ def sample_tables(raw: DataFrame, cells: int = 2, days: int = 1, grid: str = GRI
 
 def export_samples(raw: DataFrame, folder: str, cells: int = 2, days: int = 1, grid: str = GRID) -> None:
     for name, table in sample_tables(raw, cells, days, grid).items():
-        write_table(table.orderBy("cell_id", "ts"), f"{folder}/{name}")
+        write_table(table.orderBy("cell_id", "ts"), f"{folder}/{name}", one_file=False)
