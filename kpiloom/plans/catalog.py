@@ -499,7 +499,7 @@ def shifted_forecast(spark, sf_dir):
 @query
 def arima_context(spark, sf_dir):
     model = fc.AutoRegression(history(spark, sf_dir), GRID)
-    rows = model.contexts(model.origins(test_rows(spark, sf_dir)))
+    rows = model.contexts(select.evaluation_origins(test_rows(spark, sf_dir), GRID))
     return rows.groupBy("cell_id", "origin").agg(
         F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.avg("latency").alias("latency")
     )
