@@ -30,18 +30,27 @@ def _named(rows: DataFrame, docs: DataFrame) -> DataFrame:
 def simhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the least doc_id.
 
-    Rows that repeat that id count as copies of one document; rows without an
-    id stay, as nothing can name their group's member.
+    Rows that repeat an id are taken for copies of one document; rows without an
+    id stay, as nothing can name their group's member.  The documents that go
+    are joined, not those that stay: they are the fewer ones.
     """
-    groups = simhash.simhash_groups(docs)
-    first = cut(groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("times")))
+    groups = cut(simhash.simhash_groups(docs, text_key=True).select("doc_id", "text_key", "component_id").where("doc_id is not null"))
+    copies = groups.where("doc_id = component_id").groupBy("doc_id", "text_key").agg(F.count("*").alias("times"))
+    kept = copies.groupBy("doc_id").agg(F.min(F.struct("text_key", "times")).alias("k")).select("doc_id", "k.*")
+    kept = cut(kept)
+    gone = cut(groups.join(kept, ["doc_id", "text_key"], "left_anti").select("doc_id", "text_key").distinct())
+    again = cut(kept.where("times > 1").select("doc_id", "text_key"))
+
     rows = _numbered(docs)
     ident, text = (rows[f"c{docs.columns.index(c)}"] for c in ("doc_id", "text"))
-    kept = rows.join(first, ident == first["doc_id"])
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(text)))
-    again = kept.where("times > 1").withColumn("nth", nth).where("nth = 1")
-    out = _named(kept.where("times = 1"), docs).union(_named(again, docs))
-    return out.union(docs.where(F.col("doc_id").isNull()))
+    rows = rows.withColumns({"own_id": ident, "own_key": F.xxhash64(text)})
+    named = lambda keys: (rows["own_id"] == keys["doc_id"]) & (rows["own_key"] == keys["text_key"])
+    if again.isEmpty():
+        return _named(rows.join(gone, named(gone), "left_anti"), docs)
+    once = rows.join(gone.union(again), named(gone), "left_anti")
+    nth = F.row_number().over(Window.partitionBy("own_id", "own_key").orderBy("own_key"))
+    first = rows.join(again, named(again), "left_semi").withColumn("nth", nth).where("nth = 1")
+    return _named(once, docs).union(_named(first, docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

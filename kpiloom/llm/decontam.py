@@ -111,7 +111,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id",
 
     Rows with a null id are kept: no overlap can be assigned to them.
     """
-    bad = overlaps(docs, benchmark, ident, **options).select(F.col(ident).alias("_leak")).distinct()
+    # Written first: Spark then knows how few ids go and need not shuffle the texts before it finds out.
+    bad = cut(overlaps(docs, benchmark, ident, **options).select(F.col(ident).alias("_leak")).distinct())
     return docs.join(bad, docs[f"`{ident}`"] == bad["_leak"], "left_anti")
 
 

@@ -57,7 +57,7 @@ def fingerprint(raw: bytes | None, shingle: int, seed: int) -> int:
 
 
 def with_fingerprint(docs: DataFrame, ident: str = "doc_id", text: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``(ident, fp)`` for every row; a null text counts as empty."""
+    """``(ident, text_key, fp)`` for every row; a null text counts as empty."""
 
     @F.pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -65,7 +65,7 @@ def with_fingerprint(docs: DataFrame, ident: str = "doc_id", text: str = "text",
             yield pd.Series([fingerprint(t, shingle, seed) for t in texts], dtype="int64")
 
     kept = with_text(docs, ident, text)
-    return kept.select(ident, of(F.col(text).cast("binary")).alias("fp"))
+    return kept.select(F.col(ident).alias("doc"), F.xxhash64(text).alias("text_key"), of(F.col(text).cast("binary")).alias("fp"))
 
 
 def _signed(mask: int) -> int:
@@ -205,7 +205,7 @@ def links(fps: DataFrame, max_bits: int = 2, partitions: int | None = None, buck
     found = []
     while True:
         rows = rows.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"))
-        sizes = rows.groupBy("mask", "value").agg(F.count("fp").alias("n")).where("n > 1")
+        sizes = cut(rows.groupBy("mask", "value").agg(F.count("fp").alias("n")).where("n > 1"))
         shared = cut(rows.join(sizes, ["mask", "value"]))
         small = shared.where(F.col("n") <= bucket).groupBy("mask", "value").agg(F.collect_list("fp").alias("fps"))
         found.append(cut(small.select("fps").mapInPandas(_verified(max_bits), "a long, b long").distinct()))
@@ -231,17 +231,20 @@ def simhash_groups(
     max_bits: int = 2,
     partitions: int | None = None,
     bucket: int = 256,
+    text_key: bool = False,
 ) -> DataFrame:
     """One row per document: ``ident``, ``fingerprint`` (16 hex digits), ``component_id`` (least id reachable).
 
     Null and wordless texts have fingerprint zero and link like any other.
     Rows that repeat an id stay rows; a component whose ids are all null has a
-    null component_id.  Other columns of ``docs`` are ignored.
+    null component_id.  Other columns of ``docs`` are ignored.  ``text_key`` adds a
+    hash of the text, for joining back to rows whose ids repeat.
     """
     prints = cut(with_fingerprint(docs, ident, text, shingle, seed))
-    classes = cut(prints.groupBy("fp").agg(F.min(ident).alias("least")))
+    classes = cut(prints.groupBy("fp").agg(F.min("doc").alias("least")))
     joined = components(links(classes.select("fp"), max_bits, partitions, bucket), "a", "b")
     of = classes.join(joined, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
     roots = of.groupBy("root").agg(F.min("least").alias("component_id"))
     of = of.join(roots, "root").select("fp", "component_id")
-    return prints.join(of, "fp").select(ident, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    out = prints.join(of, "fp")
+    return out.select(F.col("doc").alias(ident), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *["text_key"] * text_key)
