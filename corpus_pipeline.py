@@ -38,16 +38,20 @@ def simhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     copies = groups.where("doc_id = component_id").groupBy("doc_id", "text_key").agg(F.count("*").alias("times"))
     kept = copies.groupBy("doc_id").agg(F.min(F.struct("text_key", "times")).alias("k")).select("doc_id", "k.*")
     kept = cut(kept)
-    gone = cut(groups.join(kept, ["doc_id", "text_key"], "left_anti").select("doc_id", "text_key").distinct())
+    # Ids alone say which documents go; texts are asked for only where an id repeats with other texts or rows.
+    gone = cut(groups.join(kept, "doc_id", "left_anti").select("doc_id").distinct())
+    partly = groups.join(kept.select("doc_id"), "doc_id", "left_semi").join(kept, ["doc_id", "text_key"], "left_anti")
+    partly = cut(partly.select("doc_id", "text_key").distinct())
     again = cut(kept.where("times > 1").select("doc_id", "text_key"))
 
     rows = _numbered(docs)
     ident, text = (rows[f"c{docs.columns.index(c)}"] for c in ("doc_id", "text"))
     rows = rows.withColumns({"own_id": ident, "own_key": F.xxhash64(text)})
     named = lambda keys: (rows["own_id"] == keys["doc_id"]) & (rows["own_key"] == keys["text_key"])
-    if again.isEmpty():
-        return _named(rows.join(gone, named(gone), "left_anti"), docs)
-    once = rows.join(gone.union(again), named(gone), "left_anti")
+    rows = rows.join(gone, rows["own_id"] == gone["doc_id"], "left_anti")
+    if partly.isEmpty() and again.isEmpty():
+        return _named(rows, docs)
+    once = rows.join(partly.union(again), named(partly), "left_anti")
     nth = F.row_number().over(Window.partitionBy("own_id", "own_key").orderBy("own_key"))
     first = rows.join(again, named(again), "left_semi").withColumn("nth", nth).where("nth = 1")
     return _named(once, docs).union(_named(first, docs))
