@@ -3,14 +3,16 @@
 A spaced seed hashes the tokens at fixed offsets of a window and ignores the
 others, so a substituted word at an ignored position leaves the hash unchanged.
 The two masks below find a hit in every run of 13 aligned tokens with at most
-two substitutions (``tests/llm`` enumerates all of them).  Hits are verified on
+two substitutions, and a shorter item gets masks of its own length that meet
+every substitution its length allows (``tests/llm`` enumerates all of them).
+Hits are verified on
 the tokens around them: a document is contaminated by an item if some run of
 ``window`` aligned tokens agrees in at least ``similarity`` of its positions.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import itertools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ WINDOW = 13
 SIMILARITY = 0.8
 MASKS = ((0, 3, 4, 6, 7, 8), (0, 1, 2, 3, 5, 8))
 SHORTEST = 5
+WEIGHT = 6  # tokens that a mask of a short item looks at, where its length allows as many
 BROADCAST_SEEDS = 500_000
 
 
@@ -31,29 +34,54 @@ def tokens(text: Column) -> Column:
     return F.array_remove(words, "")
 
 
-def _seeds(words: Column, at: Column, masks: list[tuple[int, ...]], n: Column) -> Column:
-    """The hashes of all masks at one position; null where a mask reaches beyond the end."""
+def short_masks(n: int, similarity: float = SIMILARITY) -> list[tuple[int, ...]]:
+    """Masks over all of an item of ``n`` tokens, one of which misses any set of substitutions that ``similarity`` allows.
+
+    With ``gone`` substitutions allowed, the positions are dealt to blocks and
+    every choice of ``gone`` blocks is left out once.  As few blocks are taken
+    as leave ``WEIGHT`` tokens to look at, else single positions.
+    """
+    gone = max(k for k in range(n) if n - k >= similarity * n)
+    for blocks in range(gone + 1, n + 1):
+        if n - sum(n // blocks + (b < n % blocks) for b in range(gone)) >= WEIGHT:
+            break
+    return [tuple(p for p in range(n) if p % blocks not in out) for out in itertools.combinations(range(blocks), gone)]
+
+
+# A mask and the length of the items it is for; no length stands for all items of a whole window.
+Masks = list[tuple[tuple[int, ...], int | None]]
+
+
+def _seeds(words: Column, at: Column, masks: Masks, n: Column, window: int | None) -> Column:
+    """The hashes of all masks at one position; null where a mask reaches beyond the end or, given ``window``, is not for the item."""
+
+    def fits(mask: tuple[int, ...], length: int | None) -> Column:
+        inside = at + mask[-1] < n
+        if window is None:
+            return inside
+        return inside & ((n >= window) if length is None else (n == length) & (at == 0))
+
     return F.array(
         *[
-            F.when(at + mask[-1] < n, F.xxhash64(F.lit(k), *[F.element_at(words, at + off + 1) for off in mask]))
-            for k, mask in enumerate(masks)
+            F.when(fits(mask, length), F.xxhash64(F.lit(k), *[F.element_at(words, at + off + 1) for off in mask]))
+            for k, (mask, length) in enumerate(masks)
         ]
     )
 
 
-def _positions(rows: DataFrame, masks: list[tuple[int, ...]], keep: list[str]) -> DataFrame:
+def _positions(rows: DataFrame, masks: Masks, keep: list[str], window: int | None = None) -> DataFrame:
     """One row per position and mask.  The words stay a reference within one code-generated stage."""
-    shortest = min(m[-1] for m in masks)
+    shortest = min(m[-1] for m, _ in masks)
     starts = F.when(F.col("n") > shortest, F.sequence(F.lit(0), F.col("n") - 1 - shortest))
     at = rows.select("*", F.explode_outer(starts).alias("at")).where("at is not null")
-    return at.select(*keep, "at", F.explode_outer(_seeds(F.col("words"), F.col("at"), masks, F.col("n"))).alias("seed")).where("seed is not null")
+    seeds = _seeds(F.col("words"), F.col("at"), masks, F.col("n"), window)
+    return at.select(*keep, "at", F.explode_outer(seeds).alias("seed")).where("seed is not null")
 
 
-def _masks_for(items: DataFrame, window: int) -> list[tuple[int, ...]]:
-    """The fixed masks, and an exact one for each length below their span that some item has."""
-    span = 1 + max(m[-1] for m in MASKS)
-    short = [r["n"] for r in items.where(F.col("n") < span).select("n").distinct().collect()]  # at most span - SHORTEST
-    return [*MASKS, *[tuple(range(n)) for n in sorted(short)]]
+def _masks_for(items: DataFrame, window: int, similarity: float) -> Masks:
+    """The fixed masks, and those of each length below ``window`` that some item has."""
+    short = [r["n"] for r in items.where(F.col("n") < window).select("n").distinct().collect()]  # at most window - SHORTEST
+    return [*[(m, None) for m in MASKS], *[(m, n) for n in sorted(short) for m in short_masks(n, similarity)]]
 
 
 def overlaps(
@@ -74,8 +102,8 @@ def overlaps(
     """
     items = with_text(benchmark, item, item_text).select(F.col(item).alias("item"), tokens(F.col(item_text)).alias("words"))
     items = cut(items.distinct().select("*", F.size("words").alias("n")).where(F.col("n") >= SHORTEST))
-    masks = _masks_for(items, window)
-    item_seeds = cut(_positions(items, masks, ["item", "words", "n"]))
+    masks = _masks_for(items, window, similarity)
+    item_seeds = cut(_positions(items, masks, ["item", "words", "n"], window))
     wanted = item_seeds.select("seed").distinct()
     if wanted.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         wanted = F.broadcast(wanted)  # beyond the checked size, Spark shuffles both sides

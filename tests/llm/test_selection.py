@@ -85,6 +85,36 @@ def test_masks_meet_every_two_substitutions():
         assert any(not {s + o for o in m} & set(gone) for m in decontam.MASKS for s in range(decontam.WINDOW - m[-1]))
 
 
+@pytest.mark.parametrize("n", range(decontam.SHORTEST, decontam.WINDOW))
+def test_masks_of_short_items_meet_every_allowed_substitution(n):
+    masks = decontam.short_masks(n)
+    for k in range(n + 1):
+        if n - k >= decontam.SIMILARITY * n:
+            for gone in itertools.combinations(range(n), k):
+                assert any(not set(m) & set(gone) for m in masks)
+
+
+def test_short_items_are_met_with_every_allowed_substitution(spark):
+    rows, want, items = [], {}, []
+    for n in range(decontam.SHORTEST, decontam.WINDOW + 1):
+        item = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        most = max(k for k in range(n) if n - k >= decontam.SIMILARITY * n)
+        for k in range(most + 2):
+            for gone in itertools.combinations(range(n), k):
+                if k > most and sum(gone) % 7:  # one too many: a few are enough
+                    continue
+                body = " ".join(w if p not in gone else "XX" for p, w in enumerate(item))
+                for text in (body, f"pre {body} post"):
+                    if k <= most:
+                        want[len(rows), n] = (n - k, n)
+                    rows.append((len(rows), text))
+        rows.append((len(rows), " ".join(item[1:])))  # cut off: not the whole item
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontam.overlaps(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["matched"], r["length"]) for r in found} == want
+
+
 def test_overlaps_tolerate_substitutions(spark, docs_of, odd_rows):
     item = [f"q{k}" for k in range(30)]
     around = lambda words: " ".join(["pre"] * 9 + words + ["post"] * 9)
