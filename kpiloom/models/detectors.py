@@ -5,7 +5,9 @@ A higher score is always odder.  Truth never reaches ``fit``.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 
 import numpy as np
 import pandas as pd
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions import qos
 from kpiloom.operators.features import assert_no_leakage
-from kpiloom.operators.quantiles import quantile_scalar
+from kpiloom.operators.quantiles import exact_quantiles, quantile_scalar
 from kpiloom.operators.scaling import RobustCellScaler, trim_extremes
 from kpiloom.operators.select import systematic_sample
 from kpiloom.schema import CONTAMINATION, GRID, KEY, THRESHOLDS
@@ -247,21 +249,35 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
+def _numbered(points: DataFrame) -> DataFrame:
+    """Points written with a row number: the written partition times 2^33, plus the place in it."""
+    return cut(points.withColumn("_row", F.monotonically_increasing_id()))
+
+
+def _smallest(found: np.ndarray, k: int) -> np.ndarray:
+    """The ``k`` smallest values of each row, in no order."""
+    return np.partition(found, k - 1, axis=1)[:, :k] if found.shape[1] > k else found
+
+
 class DensityDetector(_Scaled):
-    """DBSCAN on a systematic sample; the score is the distance to its nearest kept point.
+    """DBSCAN on all training rows; the score is the distance to the nearest kept point.
 
-    The sample has at most ``max_points`` rows, which bounds what is broadcast.
+    Every distance is computed: the rows are measured in parallel against
+    chunks of at most ``CHUNK`` points, which bounds what is broadcast at a time.
+    Given ``max_points``, a systematic sample of at most so many rows is fitted instead.
     """
 
     name = "dbscan"
     BATCH = 512
+    WIDE = 8_192  # points that a batch is compared with at once
+    CHUNK = 50_000
 
     def __init__(
         self,
         columns: list[str],
         eps: float | None = None,
         min_samples: int = 20,
-        max_points: int = 20_000,
+        max_points: int | None = None,
         eps_quantile: float = 0.98,
         grid: str = GRID,
     ):
@@ -270,72 +286,100 @@ class DensityDetector(_Scaled):
         self.eps_quantile, self.grid = eps_quantile, grid
         self.noise_ratio: float | None = None
         self.kept: DataFrame | None = None
-        self._shared = None
-
-    def _matrix(self, points: DataFrame):
-        rows = points.limit(self.max_points + 1).toPandas()
-        if len(rows) > self.max_points:
-            raise RuntimeError("more sample points than max_points")
-        return points.sparkSession.sparkContext.broadcast(_stack(rows["_x"], len(self.columns)))
-
-    def _measure(self, points: DataFrame, shared, column: str, kind: str, reduce) -> DataFrame:
-        """Add a number per row computed from its distances to the broadcast points."""
-        width, batch = len(self.columns), self.BATCH
+        self._spans: list[Column] | None = None
+
+    def _chunks(self, points: DataFrame) -> list[Column]:
+        """Conditions on ``_row`` that split numbered points into chunks."""
+        sizes = points.groupBy(F.shiftright("_row", 33).alias("pid")).count().orderBy("pid").collect()  # one row per written partition
+        chunks, spans, room = [], [], self.CHUNK
+        for r in sizes:
+            at, left = r["pid"] << 33, r["count"]
+            while left:
+                take = min(left, room)
+                spans.append(F.col("_row").between(at, at + take - 1))
+                at, left, room = at + take, left - take, room - take
+                if not room:
+                    chunks, spans, room = [*chunks, spans], [], self.CHUNK
+        chunks = [*chunks, spans] if spans else chunks
+        return [functools.reduce(operator.or_, c) for c in chunks]
+
+    def _against(self, shared, reduce, merge):
+        """A function of vectors and earlier findings that adds what ``reduce`` takes from the distances to shared points."""
+        width, batch, wide = len(self.columns), self.BATCH, self.WIDE
 
-        @F.pandas_udf(kind)
-        def against(vectors: pd.Series) -> pd.Series:
-            x, others = _stack(vectors, width), shared.value
-            parts = [reduce(_distances(x[i : i + batch], others)) for i in range(0, len(x), batch)]
-            return pd.Series(np.concatenate(parts) if parts else np.empty(0))
-
-        return points.withColumn(column, against("_x"))
+        @F.pandas_udf("array<double>")
+        def against(vectors: pd.Series, earlier: pd.Series) -> pd.Series:
+            x, others, out = _stack(vectors, width), shared.value, []
+            for i in range(0, len(x), batch):
+                found = np.stack(earlier.iloc[i : i + batch].to_numpy())
+                for j in range(0, len(others), wide):
+                    new = reduce(_distances(x[i : i + batch], others[j : j + wide]))
+                    found = merge(found, new) if found.shape[1] else new
+                out.extend(found)
+            return pd.Series(out, dtype=object)
+
+        return against
+
+    def _measure(self, rows: DataFrame, points: DataFrame, spans: list[Column], reduce, merge) -> DataFrame:
+        """Add ``_found``: what ``reduce`` takes from a row's distances to the points, merged over all of them."""
+        rows = rows.withColumn("_found", F.array().cast("array<double>"))
+        for at, span in enumerate(spans):
+            chunk = points.where(span).select("_x").toPandas()["_x"]  # at most CHUNK rows
+            shared = rows.sparkSession.sparkContext.broadcast(_stack(chunk, len(self.columns)))
+            rows = rows.withColumn("_found", self._against(shared, reduce, merge)("_x", "_found"))
+            if at < len(spans) - 1:
+                rows = cut(rows)
+                shared.unpersist()
+        return rows
+
+    def _nearest(self, rows: DataFrame, points: DataFrame, spans: list[Column], k: int, column: str) -> DataFrame:
+        """Add the distance of each row to its ``k``-th nearest point, or the farthest if there are fewer."""
+        near = self._measure(rows, points, spans, lambda d: _smallest(d, k), lambda a, b: _smallest(np.hstack([a, b]), k))
+        return near.withColumn(column, F.array_max("_found")).drop("_found")
 
     def kth_distances(self, points: DataFrame) -> DataFrame:
-        """Distance of each point to its ``min_samples``-th neighbour, itself counted."""
-        k = self.min_samples
-        return self._measure(
-            points,
-            self._matrix(points),
-            "k_distance",
-            "double",
-            lambda d: np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1],
-        )
+        """Distance of each numbered point to its ``min_samples``-th neighbour, itself counted."""
+        return self._nearest(points, points, self._chunks(points), self.min_samples, "k_distance")
 
     def label(self, points: DataFrame) -> DataFrame:
-        """Add ``neighbours`` within ``eps``, ``is_core`` and ``is_noise``."""
+        """Add ``neighbours`` within ``eps``, ``is_core`` and ``is_noise`` to numbered points."""
         eps = self.eps
+        counted = self._measure(
+            points, points, self._chunks(points), lambda d: (d <= eps).sum(axis=1, keepdims=True).astype(float), lambda a, b: a + b
+        )
         counted = cut(
-            self._measure(points, self._matrix(points), "neighbours", "long", lambda d: (d <= eps).sum(axis=1))
+            counted.withColumn("neighbours", F.get("_found", F.lit(0)).cast("long"))
+            .drop("_found")
             .withColumn("is_core", F.col("neighbours") >= self.min_samples)
         )
         cores = counted.where("is_core").select("_x")
         if cores.isEmpty():
             return counted.withColumn("is_noise", F.lit(True))
-        near = self._measure(counted, self._matrix(cores), "_near", "double", lambda d: d.min(axis=1))
+        cores = _numbered(cores)
+        near = self._nearest(counted, cores, self._chunks(cores), 1, "_near")
         return near.withColumn("is_noise", ~F.col("is_core") & (F.col("_near") > eps)).drop("_near")
 
     def fit(self, train: DataFrame) -> "DensityDetector":
         scaled = self._fit_scaler(train)
-        sampled = systematic_sample(scaled, self.grid, self.max_points)
-        tasks = max(1, min(sampled.sparkSession.sparkContext.defaultParallelism, 64))
-        points = cut(sampled.repartition(tasks, *KEY))
+        if self.max_points is not None:
+            scaled = systematic_sample(scaled, self.grid, self.max_points)
+        spark = scaled.sparkSession
+        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        points = _numbered(scaled.repartition(tasks, *KEY))
         if self.eps is None:
-            # At most max_points values, so the built-in exact percentile is safe.
-            row = self.kth_distances(points).agg(F.percentile("k_distance", F.lit(self.eps_quantile)).alias("e")).first()
-            self.eps = float(row["e"])
+            distances = cut(self.kth_distances(points).select("k_distance"))
+            self.eps = float(exact_quantiles(distances, ["k_distance"], [self.eps_quantile]).first()["value"])
         labelled = cut(self.label(points))
         self.noise_ratio = labelled.agg(F.avg(F.col("is_noise").cast("int"))).first()[0]
         kept = labelled.where(~F.col("is_noise"))
-        self.kept = (labelled if kept.isEmpty() else kept).select(*KEY, "_x")
-        self._shared = None
+        self.kept = _numbered((labelled if kept.isEmpty() else kept).select(*KEY, "_x"))
+        self._spans = None
         return self
 
     def score(self, df: DataFrame) -> DataFrame:
-        if self._shared is None:
-            self._shared = self._matrix(self.kept.select("_x"))
-        return self._measure(
-            self._vectors(df), self._shared, "score", "double", lambda d: d.min(axis=1)
-        ).drop("_x")
+        if self._spans is None:
+            self._spans = self._chunks(self.kept)
+        return self._nearest(self._vectors(df), self.kept, self._spans, 1, "score").drop("_x")
 
     def default_threshold(self, scored: DataFrame, contamination: float = CONTAMINATION) -> Column:
         return F.lit(float(self.eps))

@@ -68,6 +68,34 @@ def test_density_detector_keeps_every_point_when_all_are_noise(cloud):
     assert model.noise_ratio == 1.0 and model.kept.count() == 100
 
 
+def test_density_detector_fits_all_rows_in_chunks(spark, cloud, monkeypatch):
+    """Also beyond one chunk and one batch width, against brute force over all rows."""
+    assert DensityDetector(COLUMNS).max_points is None
+    monkeypatch.setattr(DensityDetector, "CHUNK", 500)
+    monkeypatch.setattr(DensityDetector, "WIDE", 128)
+    model = DensityDetector(COLUMNS, min_samples=5).fit(cloud)
+    x = np.array([r["_x"] for r in model.scaler.vectors(cloud).orderBy("cell_id", "ts").select("_x").collect()])
+    dist = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
+    assert model.eps == pytest.approx(np.quantile(np.sort(dist, axis=1)[:, 4], 0.98), abs=1e-6)
+    core = (dist <= model.eps).sum(axis=1) >= 5
+    kept = core | (dist[:, core] <= model.eps).any(axis=1)
+    assert len(x) > 1000 and abs(model.kept.count() - kept.sum()) <= 2
+    got = [r["score"] for r in model.score(cloud).orderBy("cell_id", "ts").collect()]
+    np.testing.assert_allclose(got, dist[:, kept].min(axis=1), atol=1e-5)
+
+
+def test_density_detector_does_not_stop_at_twenty_thousand_rows(spark):
+    """The last two cells have a second place of many rows, beyond the first 20 000 rows: it is no anomaly."""
+    rows = spark.range(20_200).select(
+        F.format_string("c%05d", F.floor(F.col("id") / 101)).alias("cell_id"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 3600).alias("ts"),
+        *[(F.when((F.col("id") >= 20_000) & (F.col("id") % 5 == 0), 50.0).otherwise(0.0) + F.rand(k)).alias(c) for k, c in enumerate(COLUMNS)],
+    ).cache()
+    model = DensityDetector(COLUMNS, eps=4.0, min_samples=5).fit(rows)
+    assert model.kept.where("cell_id = 'c00199'").count() == 101
+    assert model.score(rows).where("x > 40").agg(F.max("score")).first()[0] < 1e-3
+
+
 def test_autoencoder_learns_explains_and_reloads(spark, cloud):
     start = Autoencoder(COLUMNS, hidden=(4, 2, 4), max_iter=1).fit(cloud)
     model = Autoencoder(COLUMNS, hidden=(4, 2, 4), max_iter=12).fit(cloud)
