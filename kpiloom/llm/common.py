@@ -60,24 +60,25 @@ def word_blocks(raw: bytes, overlap: int, block: int = 1 << 20):
 
     ``bytes.split`` separates at exactly the six ASCII space characters.  A
     list comes from about ``block`` bytes, so a very long text never becomes
-    one list.
+    one list.  A text of at most ``overlap`` words is one list.
     """
     if len(raw) <= block:
         yield raw.split()
         return
     carried: list[bytes] = []
-    at = 0
+    at, yielded = 0, False
     while at < len(raw):
         found = _SPACE.search(raw, min(at + block, len(raw)))
         end = found.start() if found else len(raw)
         words = carried + raw[at:end].split()
         if len(words) > overlap:
             yield words
+            yielded = True
             carried = words[len(words) - overlap :] if overlap else []
         else:
             carried = words
         at = end + 1
-    if carried and len(carried) < overlap:
+    if carried and not yielded:
         yield carried
 
 

@@ -41,6 +41,15 @@ def test_word_blocks_cover_every_gram():
     assert list(word_blocks(b"   ", 2, 1)) == [] or all(not w for w in word_blocks(b"   ", 2, 1))
 
 
+@pytest.mark.parametrize("n", range(4))
+def test_word_blocks_keep_few_words_of_a_long_text(n):
+    raw = (b" " * 40).join([b""] + [b"w%d" % i for i in range(n)] + [b""])
+    lists = [words for words in word_blocks(raw, 2, 8) if words]
+    assert lists == ([raw.split()] if n else [])
+    text = raw.decode() + " " * (1 << 20)
+    assert simhash.fingerprint(text.encode(), 3, 42) & (1 << 64) - 1 == plain_fingerprint(text)
+
+
 @pytest.mark.parametrize("bucket", [256, 2])
 def test_simhash_equals_brute_force(spark, docs_of, odd_rows, bucket):
     rng = random.Random(1)
