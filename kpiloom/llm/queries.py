@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import decontam, hnsw, line_crf, mixing, ppm, quotes, simhash, suffix_dedup, toxicity, training_order
+from kpiloom.llm import decontam, hnsw, line_crf, mixing, ppm, quotes, sharding, simhash, suffix_dedup, toxicity, training_order
 from kpiloom.llm.oracles import ORACLES  # noqa: F401  (registered beside the queries)
 
 
@@ -56,6 +56,10 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.training_order(_table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_digest(sharding.shard(_table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_dedup,
         op9_simhash_neardup,
         op10_training_order,
+        op11_sharding,
         pipeline,
     )
 }
