@@ -70,4 +70,87 @@ SELECT documents.doc_id, items IS NOT NULL AS contaminated, coalesce(len(items),
 FROM documents LEFT JOIN f ON documents.doc_id = f.doc_id
 """
 
-ORACLES = {"op3_mixing": MIXING, "op6_decontamination": DECONTAMINATION}
+COLLOCATIONS = r"""
+WITH p AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    )
+), g AS (
+    SELECT lang, 1 AS words, unnest(w) AS phrase FROM p
+    UNION ALL
+    SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM p
+    UNION ALL
+    SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM p
+), t AS (
+    SELECT lang, count(*) AS n FROM g WHERE words = 1 GROUP BY lang
+), f AS (
+    SELECT lang, words, phrase, count(*) AS a FROM g GROUP BY lang, words, phrase
+), c AS (
+    SELECT lang, words, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND a >= 10
+), k AS (
+    SELECT lang, words, phrase, a, 1 AS k, w[1] AS head, array_to_string(w[2:], ' ') AS tail FROM c
+    UNION ALL
+    SELECT lang, words, phrase, a, 2, w[1] || ' ' || w[2], w[3] FROM c WHERE words = 3
+), s AS (
+    SELECT k.lang, k.words, k.phrase, k.a, k.k, h.a AS l, e.a AS r,
+           (1000000::HUGEINT * k.a * k.a) // (h.a::HUGEINT * e.a) AS score
+    FROM k
+    JOIN f h ON h.lang = k.lang AND h.phrase = k.head
+    JOIN f e ON e.lang = k.lang AND e.phrase = k.tail
+), b AS (
+    SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), i AS (
+    SELECT lang, phrase, max(a) AS held FROM (
+        SELECT lang, a, w[1] || ' ' || w[2] AS phrase FROM c WHERE words = 3
+        UNION ALL
+        SELECT lang, a, w[2] || ' ' || w[3] FROM c WHERE words = 3
+    ) GROUP BY lang, phrase
+), x AS (
+    SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+    FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase AND b.words = 2
+    WHERE i.held IS NULL OR 100 * i.held < 50 * b.a
+)
+SELECT x.lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, t.n::BIGINT AS n, score::BIGINT AS score
+FROM x JOIN t ON t.lang = x.lang
+WHERE rank <= 2000
+"""
+
+LEXICAL_SEARCH = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), c AS (
+    SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_words FROM d WHERE len(w) > 0
+), q AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), p AS (
+    SELECT doc_id, m, term, count(*) AS tf
+    FROM (SELECT doc_id, 10 + (90 * len(w)::BIGINT * n_docs) // n_words AS m, unnest(w) AS term FROM d, c)
+    WHERE term IN (SELECT term FROM q)
+    GROUP BY doc_id, m, term
+), v AS (
+    SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM p, c GROUP BY term
+), s AS (
+    SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM q JOIN p USING (term) JOIN v USING (term)
+    GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM s WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+ORACLES = {
+    "op3_mixing": MIXING,
+    "op6_decontamination": DECONTAMINATION,
+    "op12_collocations": COLLOCATIONS,
+    "op13_lexical_search": LEXICAL_SEARCH,
+}

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import decontam, hnsw, line_crf, mixing, ppm, quotes, sharding, simhash, suffix_dedup, toxicity, training_order
+from kpiloom.llm import (
+    collocations,
+    decontam,
+    hnsw,
+    lexical_search,
+    line_crf,
+    mixing,
+    ppm,
+    quotes,
+    sharding,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    training_order,
+)
 from kpiloom.llm.oracles import ORACLES  # noqa: F401  (registered beside the queries)
 
 
@@ -60,6 +74,15 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(sharding.shard(_table(spark, sf_dir, "documents")))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = lexical_search.index(_table(spark, sf_dir, "documents"))
+    return lexical_search.search(shards, _table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,6 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_simhash_neardup,
         op10_training_order,
         op11_sharding,
+        op12_collocations,
+        op13_lexical_search,
         pipeline,
     )
 }
