@@ -223,11 +223,11 @@ def shard(
     stored.write.partitionBy("shard").parquet(path)
     written = spark.read.schema(stored.schema).parquet(path)
 
-    # One count per part: shards x parts rows, numbered within each shard.
+    # One count per part, numbered within each shard: at most MOST_PARTS rows, so the rows themselves stay where they are.
     per = written.groupBy("shard", "part").agg(F.max("place").alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ahead = per.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
-    return written.join(ahead, ["shard", "part"]).select("row", "size", "shard", (F.col("ahead") + F.col("place") - 1).cast("long").alias("slot"))
+    return written.join(F.broadcast(ahead), ["shard", "part"]).select("row", "size", "shard", (F.col("ahead") + F.col("place") - 1).cast("long").alias("slot"))
 
 
 def shard_digest(sharded: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
