@@ -14,6 +14,7 @@ then are joins and aggregates over the frequent phrases alone.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ LEAST = 10  # a phrase's occurrences
 LONGEST = 3  # words of a phrase
 MOST = 2000  # phrases returned of a language
 COVERED = 50  # percent of a phrase's occurrences that a longer one must hold to replace it
-CHUNK = 8 << 20  # bytes of text counted at once
+CHUNK = 4 << 20  # bytes of text counted at once; a task needs some forty times as much memory
 PART_MASS = 8 << 20  # occurrences of phrases in one hash partition, on average at most
 FAN = 1024  # hash partitions that one exchange deals to
 FILTER_BITS = 1 << 27
@@ -52,7 +53,10 @@ class Chunk:
 
     def __init__(self, langs: list[str], lists: list[list[bytes]], seen: list[int]) -> None:
         lengths = np.array([len(w) for w in lists])
-        words = pa.array([w for one in lists for w in one], pa.binary()).dictionary_encode()
+        flat = list(itertools.chain.from_iterable(lists))
+        lists.clear()
+        words = pa.array(flat, pa.binary()).dictionary_encode()
+        del flat
         self.ids = words.indices.to_numpy()
         self.words = words.dictionary
         vocabulary = self.words.to_pylist()

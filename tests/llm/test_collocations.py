@@ -68,10 +68,11 @@ def test_long_texts_are_cut_between_words(spark, monkeypatch):
     rng = random.Random(9)
     long = " ".join(rng.choice(["ab", "cd", "ef", "gh, ij", "k"]) for _ in range(3000))
     lists = [b.split() for b in [long.encode().translate(co._TABLE).replace(b"\n", b" A ")]]
-    whole = co.Chunk(["en"], lists, [0])
+    whole = co.Chunk(["en"], lists, [0])  # takes the words out of the lists
     pieces = [w for w in co.word_blocks(long.encode().translate(co._TABLE).replace(b"\n", b" A "), 2, 500)]
     assert len(pieces) > 5
-    cut_up = co.Chunk(["en"] * len(pieces), pieces, [0] + [2] * (len(pieces) - 1))
+    n = len(pieces)
+    cut_up = co.Chunk(["en"] * n, pieces, [0] + [2] * (n - 1))
     for a, b in zip(whole.keys, cut_up.keys):
         assert np.array_equal(np.sort(a), np.sort(b))
     assert whole.counted.sum() == cut_up.counted.sum()
