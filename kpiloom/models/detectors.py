@@ -5,9 +5,7 @@ A higher score is always odder.  Truth never reaches ``fit``.
 
 from __future__ import annotations
 
-import functools
 import math
-import operator
 
 import numpy as np
 import pandas as pd
@@ -15,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions import qos
+from kpiloom.operators import neighbours
 from kpiloom.operators.features import assert_no_leakage
 from kpiloom.operators.quantiles import exact_quantiles, quantile_scalar
 from kpiloom.operators.scaling import RobustCellScaler, trim_extremes
@@ -244,33 +243,21 @@ class IsolationForest(_Scaled):
 # DBSCAN
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    squared = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
-    return np.sqrt(np.maximum(squared, 0.0))
-
-
 def _numbered(points: DataFrame) -> DataFrame:
-    """Points written with a row number: the written partition times 2^33, plus the place in it."""
+    """Points written with a row number."""
     return cut(points.withColumn("_row", F.monotonically_increasing_id()))
 
 
-def _smallest(found: np.ndarray, k: int) -> np.ndarray:
-    """The ``k`` smallest values of each row, in no order."""
-    return np.partition(found, k - 1, axis=1)[:, :k] if found.shape[1] > k else found
-
-
 class DensityDetector(_Scaled):
     """DBSCAN on all training rows; the score is the distance to the nearest kept point.
 
-    Every distance is computed: the rows are measured in parallel against
-    chunks of at most ``CHUNK`` points, which bounds what is broadcast at a time.
+    Every step is a neighbour join on cells of projections: the distances to
+    the ``min_samples``-th neighbour, of which a high quantile is eps, the points near a core,
+    and the scores.  A row is a core if its ``min_samples``-th neighbour, itself counted, lies within eps.
     Given ``max_points``, a systematic sample of at most so many rows is fitted instead.
     """
 
     name = "dbscan"
-    BATCH = 512
-    WIDE = 8_192  # points that a batch is compared with at once
-    CHUNK = 50_000
 
     def __init__(
         self,
@@ -280,106 +267,61 @@ class DensityDetector(_Scaled):
         max_points: int | None = None,
         eps_quantile: float = 0.98,
         grid: str = GRID,
+        few: int | None = None,
     ):
         super().__init__(columns)
         self.eps, self.min_samples, self.max_points = eps, min_samples, max_points
-        self.eps_quantile, self.grid = eps_quantile, grid
+        self.eps_quantile, self.grid, self.few = eps_quantile, grid, few
         self.noise_ratio: float | None = None
         self.kept: DataFrame | None = None
-        self._spans: list[Column] | None = None
-
-    def _chunks(self, points: DataFrame) -> list[Column]:
-        """Conditions on ``_row`` that split numbered points into chunks."""
-        sizes = points.groupBy(F.shiftright("_row", 33).alias("pid")).count().orderBy("pid").collect()  # one row per written partition
-        chunks, spans, room = [], [], self.CHUNK
-        for r in sizes:
-            at, left = r["pid"] << 33, r["count"]
-            while left:
-                take = min(left, room)
-                spans.append(F.col("_row").between(at, at + take - 1))
-                at, left, room = at + take, left - take, room - take
-                if not room:
-                    chunks, spans, room = [*chunks, spans], [], self.CHUNK
-        chunks = [*chunks, spans] if spans else chunks
-        return [functools.reduce(operator.or_, c) for c in chunks]
-
-    def _against(self, shared, reduce, merge):
-        """A function of vectors and earlier findings that adds what ``reduce`` takes from the distances to shared points."""
-        width, batch, wide = len(self.columns), self.BATCH, self.WIDE
 
-        @F.pandas_udf("array<double>")
-        def against(vectors: pd.Series, earlier: pd.Series) -> pd.Series:
-            x, others, out = _stack(vectors, width), shared.value, []
-            for i in range(0, len(x), batch):
-                found = np.stack(earlier.iloc[i : i + batch].to_numpy())
-                for j in range(0, len(others), wide):
-                    new = reduce(_distances(x[i : i + batch], others[j : j + wide]))
-                    found = merge(found, new) if found.shape[1] else new
-                out.extend(found)
-            return pd.Series(out, dtype=object)
-
-        return against
-
-    def _measure(self, rows: DataFrame, points: DataFrame, spans: list[Column], reduce, merge) -> DataFrame:
-        """Add ``_found``: what ``reduce`` takes from a row's distances to the points, merged over all of them."""
-        rows = rows.withColumn("_found", F.array().cast("array<double>"))
-        for at, span in enumerate(spans):
-            chunk = points.where(span).select("_x").toPandas()["_x"]  # at most CHUNK rows
-            shared = rows.sparkSession.sparkContext.broadcast(_stack(chunk, len(self.columns)))
-            rows = rows.withColumn("_found", self._against(shared, reduce, merge)("_x", "_found"))
-            if at < len(spans) - 1:
-                rows = cut(rows)
-                shared.unpersist()
-        return rows
-
-    def _nearest(self, rows: DataFrame, points: DataFrame, spans: list[Column], k: int, column: str) -> DataFrame:
-        """Add the distance of each row to its ``k``-th nearest point, or the farthest if there are fewer."""
-        near = self._measure(rows, points, spans, lambda d: _smallest(d, k), lambda a, b: _smallest(np.hstack([a, b]), k))
-        return near.withColumn(column, F.array_max("_found")).drop("_found")
-
-    def kth_distances(self, points: DataFrame) -> DataFrame:
-        """Distance of each numbered point to its ``min_samples``-th neighbour, itself counted."""
-        return self._nearest(points, points, self._chunks(points), self.min_samples, "k_distance")
+    def _nearest(self, rows: DataFrame, points: DataFrame, k: int, **limits) -> DataFrame:
+        queries = rows.select(F.col("_row").alias("_q"), "_x")
+        found = neighbours.nearest(queries, points, k, len(self.columns), few=self.few, **limits)
+        return found.select(F.col("_q").alias("_row"), F.element_at("d", -1).alias("_far"), F.size("d").alias("_n"))
+
+    def kth_distances(self, points: DataFrame, share: float = 1.0) -> DataFrame:
+        """``_row, k_distance`` to the ``min_samples``-th neighbour, itself counted, of at least ``share`` of the points."""
+        found = self._nearest(points, points, self.min_samples, share=share)
+        return found.select("_row", F.col("_far").alias("k_distance"))
+
+    def _estimate(self, points: DataFrame, n: int) -> DataFrame:
+        """Set eps to the quantile of the distances; returns those of all points that can matter for it."""
+        distances = cut(self.kth_distances(points, self.eps_quantile))
+        # The points left out are farther than all others, so ranks count as in the whole table.
+        known = distances.count()
+        rank = self.eps_quantile * (n - 1)
+        prob = min(1.0, rank / (known - 1)) if known > 1 else 0.0
+        self.eps = float(exact_quantiles(distances, ["k_distance"], [prob]).first()["value"])
+        return distances.where(F.col("k_distance") <= self.eps)
 
     def label(self, points: DataFrame) -> DataFrame:
-        """Add ``neighbours`` within ``eps``, ``is_core`` and ``is_noise`` to numbered points."""
-        eps = self.eps
-        counted = self._measure(
-            points, points, self._chunks(points), lambda d: (d <= eps).sum(axis=1, keepdims=True).astype(float), lambda a, b: a + b
-        )
-        counted = cut(
-            counted.withColumn("neighbours", F.get("_found", F.lit(0)).cast("long"))
-            .drop("_found")
-            .withColumn("is_core", F.col("neighbours") >= self.min_samples)
-        )
-        cores = counted.where("is_core").select("_x")
-        if cores.isEmpty():
-            return counted.withColumn("is_noise", F.lit(True))
-        cores = _numbered(cores)
-        near = self._nearest(counted, cores, self._chunks(cores), 1, "_near")
-        return near.withColumn("is_noise", ~F.col("is_core") & (F.col("_near") > eps)).drop("_near")
+        """Add ``is_core`` and ``is_noise`` to numbered points; estimates eps if it is not given."""
+        n = points.count()
+        if self.eps is None:
+            cores = self._estimate(points, n)
+        else:
+            needed = min(self.min_samples, n)
+            cores = self._nearest(points, points, needed, within=self.eps).where(F.col("_n") >= needed) if n >= self.min_samples else points.limit(0)
+        marked = cut(points.join(cores.select("_row", F.lit(True).alias("is_core")), "_row", "left").withColumn("is_core", F.coalesce("is_core", F.lit(False))))
+        near = self._nearest(marked.where("NOT is_core"), marked.where("is_core").select("_x"), 1, within=self.eps)
+        near = near.select("_row", F.lit(True).alias("_near"))
+        return marked.join(near, "_row", "left").withColumn("is_noise", ~F.col("is_core") & F.col("_near").isNull()).drop("_near")
 
     def fit(self, train: DataFrame) -> "DensityDetector":
         scaled = self._fit_scaler(train)
         if self.max_points is not None:
             scaled = systematic_sample(scaled, self.grid, self.max_points)
-        spark = scaled.sparkSession
-        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        points = _numbered(scaled.repartition(tasks, *KEY))
-        if self.eps is None:
-            distances = cut(self.kth_distances(points).select("k_distance"))
-            self.eps = float(exact_quantiles(distances, ["k_distance"], [self.eps_quantile]).first()["value"])
-        labelled = cut(self.label(points))
+        labelled = cut(self.label(_numbered(scaled)))
         self.noise_ratio = labelled.agg(F.avg(F.col("is_noise").cast("int"))).first()[0]
         kept = labelled.where(~F.col("is_noise"))
-        self.kept = _numbered((labelled if kept.isEmpty() else kept).select(*KEY, "_x"))
-        self._spans = None
+        self.kept = cut((labelled if kept.isEmpty() else kept).select(*KEY, "_x"))
         return self
 
     def score(self, df: DataFrame) -> DataFrame:
-        if self._spans is None:
-            self._spans = self._chunks(self.kept)
-        return self._nearest(self._vectors(df), self.kept, self._spans, 1, "score").drop("_x")
+        rows = _numbered(self._vectors(df))
+        found = self._nearest(rows, self.kept, 1).select("_row", F.col("_far").alias("score"))
+        return rows.join(found, "_row", "left").drop("_row", "_x")
 
     def default_threshold(self, scored: DataFrame, contamination: float = CONTAMINATION) -> Column:
         return F.lit(float(self.eps))

@@ -588,6 +588,23 @@ add("trim_extremes", f"{S}, {params('own', True, TRAIN)}, far AS (SELECT t.cell_
     + f" AS extremity FROM segments t JOIN own o ON o.cell_id = t.cell_id WHERE t.{TRAIN}) "
     "SELECT cell_id, ts FROM far WHERE extremity <= (SELECT quantile_cont(extremity, 0.95) FROM far)", "cell_id:s ts:t")
 
+# -- density: every pair of rows is measured here
+
+_scaled = ", ".join(f"(t.{c} - o.c_{c}) / o.s_{c}" for c in INPUTS)
+_own = ", ".join(spread(c).replace("AS center", f"AS c_{c}").replace("AS scale", f"AS s_{c}") for c in INPUTS)
+DENSITY = (
+    f"{S}, own AS (SELECT cell_id, {_own} FROM segments WHERE {TRAIN} GROUP BY 1), "
+    f"v AS MATERIALIZED (SELECT t.cell_id, t.ts, t.segment, t.is_anomaly, [{_scaled}] AS x FROM segments t JOIN own o ON o.cell_id = t.cell_id), "
+    f"tr AS MATERIALIZED (SELECT row_number() OVER (ORDER BY cell_id, ts) AS i, x FROM v WHERE {TRAIN}), "
+    "pairs AS MATERIALIZED (SELECT a.i, b.i AS j, list_distance(a.x, b.x) AS dist FROM tr a, tr b), "
+    "kth AS MATERIALIZED (SELECT i, dist FROM (SELECT i, dist, row_number() OVER (PARTITION BY i ORDER BY dist) AS n FROM pairs) WHERE n = 20), "
+    "eps AS MATERIALIZED (SELECT quantile_cont(dist, 0.98) AS e FROM kth), "
+    "core AS MATERIALIZED (SELECT i FROM kth, eps WHERE dist <= e), "
+    "kept AS MATERIALIZED (SELECT i, x FROM tr WHERE i IN (SELECT i FROM pairs, eps WHERE dist <= e AND j IN (SELECT i FROM core)))"
+)
+add("dbscan", f"{DENSITY}, test AS (SELECT * FROM v WHERE segment = 'test') SELECT t.cell_id, t.ts, any_value(t.is_anomaly) AS is_anomaly, "
+    "min(list_distance(t.x, k.x)) AS score FROM test t, kept k GROUP BY 1, 2", "cell_id:s ts:t is_anomaly:b score:d")
+
 # -- forecasts
 
 _joins24 = " ".join(f"LEFT JOIN clean b{h} ON b{h}.cell_id = p.cell_id AND b{h}.ts = p.ts + INTERVAL ({h - 24}) HOUR" for h in HORIZONS)

@@ -60,7 +60,7 @@ def test_density_detector_against_brute_force(spark, cloud):
     assert model.noise_ratio == pytest.approx(1 - kept.mean(), abs=0.005)
     want = np.sqrt(((x[:, None, :] - pts[kept][None, :, :]) ** 2).sum(-1)).min(axis=1)
     got = [r["score"] for r in model.score(cloud).orderBy("cell_id", "ts").collect()]
-    np.testing.assert_allclose(got, want, atol=1e-5)
+    np.testing.assert_allclose(got, want, atol=1e-9)
 
 
 def test_density_detector_keeps_every_point_when_all_are_noise(cloud):
@@ -68,20 +68,20 @@ def test_density_detector_keeps_every_point_when_all_are_noise(cloud):
     assert model.noise_ratio == 1.0 and model.kept.count() == 100
 
 
-def test_density_detector_fits_all_rows_in_chunks(spark, cloud, monkeypatch):
-    """Also beyond one chunk and one batch width, against brute force over all rows."""
+@pytest.mark.parametrize("few", [None, 0])
+def test_density_detector_fits_all_rows(spark, cloud, few):
+    """By all pairs of few rows and by rings of cells, against brute force over all rows."""
     assert DensityDetector(COLUMNS).max_points is None
-    monkeypatch.setattr(DensityDetector, "CHUNK", 500)
-    monkeypatch.setattr(DensityDetector, "WIDE", 128)
-    model = DensityDetector(COLUMNS, min_samples=5).fit(cloud)
+    model = DensityDetector(COLUMNS, min_samples=5, few=few).fit(cloud)
     x = np.array([r["_x"] for r in model.scaler.vectors(cloud).orderBy("cell_id", "ts").select("_x").collect()])
     dist = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
-    assert model.eps == pytest.approx(np.quantile(np.sort(dist, axis=1)[:, 4], 0.98), abs=1e-6)
+    assert model.eps == pytest.approx(np.quantile(np.sort(dist, axis=1)[:, 4], 0.98), abs=1e-9)
     core = (dist <= model.eps).sum(axis=1) >= 5
     kept = core | (dist[:, core] <= model.eps).any(axis=1)
-    assert len(x) > 1000 and abs(model.kept.count() - kept.sum()) <= 2
-    got = [r["score"] for r in model.score(cloud).orderBy("cell_id", "ts").collect()]
-    np.testing.assert_allclose(got, dist[:, kept].min(axis=1), atol=1e-5)
+    assert len(x) > 1000 and model.kept.count() == kept.sum()
+    scored = model.score(cloud).orderBy("cell_id", "ts")
+    np.testing.assert_allclose([r["score"] for r in scored.collect()], dist[:, kept].min(axis=1), atol=1e-9)
+    assert scored.columns == [*cloud.columns, "score"]
 
 
 def test_density_detector_does_not_stop_at_twenty_thousand_rows(spark):
