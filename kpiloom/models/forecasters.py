@@ -6,10 +6,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions.timegrid import grid_us, whole_div
+from kpiloom.models import boosting
 from kpiloom.operators.blocks import with_position
 from kpiloom.operators.features import forecast_features, lagged_rows
 from kpiloom.operators.joins import values_at
@@ -322,11 +323,11 @@ class AutoRegression(Forecaster):
 # --------------------------------------------------------------------------
 # Boosted trees
 
-LOSSES = ["squared", "absolute"]
+LOSSES = [boosting.SQUARED, boosting.ABSOLUTE]
 
 
 class BoostedTrees(Forecaster):
-    """One MLlib GBT model per KPI and horizon, the loss chosen on validation MAE."""
+    """Boosted trees for every KPI and horizon, fitted together; the loss is chosen on validation MAE."""
 
     name = "arbres_gradient"
 
@@ -343,59 +344,37 @@ class BoostedTrees(Forecaster):
         seed: int = 42,
     ):
         self.kpis, self.horizons, self.loss = list(kpis), list(horizons), loss
-        self.settings = dict(
-            maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=rows,
-            featureSubsetStrategy=str(columns), seed=seed,
-        )
+        self.settings = boosting.Settings(trees=trees, depth=depth, rate=rate, rows=rows, columns=columns, seed=seed)
         self.inputs: list[str] = []
-        self.indexer = None
-        self.models: dict[tuple[str, int], object] = {}
+        self.cells: DataFrame | None = None
+        self.booster: boosting.Booster | None = None
         self.log: list[tuple] = []
 
-    def _design(self, df: DataFrame) -> DataFrame:
-        """Predictors and the cell's number in name order, -1 when unseen."""
-        from pyspark.ml.feature import VectorAssembler
+    def _cases(self) -> list[tuple[str, int]]:
+        return [(k, h) for k in self.kpis for h in self.horizons]
 
-        known = len(self.indexer.labels)
-        coded = self.indexer.transform(df)
-        code = F.when(F.col("_cell") >= known, F.lit(-1.0)).otherwise(F.col("_cell") + F.lit(0.0))
-        assembler = VectorAssembler(inputCols=[*self.inputs, "cell_id_code"], outputCol="_features")
-        return assembler.transform(coded.withColumn("cell_id_code", code)).drop("_cell")
+    def _design(self, df: DataFrame) -> DataFrame:
+        """Adds the cell's number in name order, -1 when unseen."""
+        return join_params(df, self.cells).withColumn("cell_id_code", F.coalesce(F.col("_code"), F.lit(-1.0))).drop("_code")
 
     def fit(self, train: DataFrame, val: DataFrame | None = None) -> "BoostedTrees":
-        from pyspark.ml.feature import StringIndexer
-        from pyspark.ml.regression import GBTRegressor
-
         self.inputs = forecast_features(train)
-        self.indexer = StringIndexer(
-            inputCol="cell_id", outputCol="_cell", stringOrderType="alphabetAsc", handleInvalid="keep"
-        ).fit(train)
-        targets = [target_name(k, h) for k in self.kpis for h in self.horizons]
-        rows = self._design(train).select("_features", *targets).persist()
-        held = self._design(val).select("_features", *targets).persist() if val is not None else None
-        losses = [self.loss] if self.loss else LOSSES
-        try:
-            for k in self.kpis:
-                for h in self.horizons:
-                    target = target_name(k, h)
-                    best = None
-                    for loss in losses if held is not None else losses[:1]:
-                        model = GBTRegressor(
-                            featuresCol="_features", labelCol=target, predictionCol="y_hat", lossType=loss, **self.settings
-                        ).fit(rows.where(F.col(target).isNotNull()))
-                        mae = None
-                        if held is not None:
-                            error = F.avg(F.abs(F.col("y_hat") - F.col(target)))
-                            mae = model.transform(held.where(F.col(target).isNotNull())).agg(error).first()[0]
-                        self.log.append((k, h, loss, mae))
-                        if best is None or (mae is not None and mae < best[0]):
-                            best = (mae, loss, model)
-                    self.models[(k, h)] = best[2]
-                    self.log = [(*e[:4], e[2] == best[1]) if e[:2] == (k, h) else e for e in self.log]
-        finally:
-            rows.unpersist()
-            if held is not None:
-                held.unpersist()
+        self.cells = cut(numbered_cells(train))
+        targets = [target_name(k, h) for k, h in self._cases()]
+        losses = [self.loss] if self.loss else LOSSES if val is not None else LOSSES[:1]
+        rows = cut(self._design(train).select(*KEY, *self.inputs, "cell_id_code", *targets))
+        fitted = boosting.Booster([*self.inputs, "cell_id_code"], targets, losses, self.settings).fit(rows, KEY)
+        errors = [None] * len(fitted.pairs)
+        if val is not None:
+            told = fitted.predict(self._design(val), "_told")
+            errors = told.agg(*[F.avg(F.abs(F.get("_told", F.lit(m)) - F.col(t))).alias(f"e{m}") for m, (t, _) in enumerate(fitted.pairs)]).first()
+        chosen = []
+        for k, h in self._cases():
+            mine = [(m, loss) for m, (t, loss) in enumerate(fitted.pairs) if t == target_name(k, h)]
+            best = min(mine, key=lambda x: (errors[x[0]] is None, errors[x[0]] or 0.0, x[0]))
+            chosen.append(fitted.pairs[best[0]])
+            self.log += [(k, h, loss, errors[m], m == best[0]) for m, loss in mine]
+        self.booster = fitted.keep(chosen)
         return self
 
     def selection_table(self, spark) -> DataFrame:
@@ -405,41 +384,49 @@ class BoostedTrees(Forecaster):
         )
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        designed = self._design(df)
+        return self.booster.predict(self._design(df), "_boosted").drop("cell_id_code")
 
-        def add(rows: DataFrame, item) -> DataFrame:
-            (k, h), model = item
-            return model.setPredictionCol(f"_gb_{k}_{h}").transform(rows)
-
-        return reduce(add, self.models.items(), designed).drop("_features", "cell_id_code")
+    def _number(self, kpi: str, horizon: int) -> int:
+        if (kpi, horizon) not in self._cases():
+            raise KeyError(f"no model for {kpi} at {horizon}")
+        return self._cases().index((kpi, horizon))
 
     def forecast(self, kpi: str, horizon: int) -> Column:
-        if (kpi, horizon) not in self.models:
-            raise KeyError(f"no model for {kpi} at {horizon}")
-        return F.col(f"_gb_{kpi}_{horizon}")
+        return F.get("_boosted", F.lit(self._number(kpi, horizon)))
 
     def feature_importance(self, spark, kpi: str, horizon: int, top_k: int = 15) -> DataFrame:
-        values = self.models[(kpi, horizon)].featureImportances.toArray()
-        pairs = [(n, float(v)) for n, v in zip([*self.inputs, "cell_id_code"], values)]
-        table = spark.createDataFrame(pairs, "feature string, importance double")
+        pair = self.booster.pairs[self._number(kpi, horizon)]
+        table = spark.createDataFrame(self.booster.importance(pair), "feature string, importance double")
         return table.orderBy(F.col("importance").desc(), "feature").limit(top_k)
 
     def save(self, path: str) -> None:
-        self.indexer.write().overwrite().save(f"{path}/cells")
-        for (k, h), model in self.models.items():
-            model.write().overwrite().save(f"{path}/{k}_{h}")
-
-    def load(self, path: str, columns: list[str]) -> "BoostedTrees":
-        """Read models back; ``columns`` are the predictors in training order."""
-        from pyspark.ml.feature import StringIndexerModel
-        from pyspark.ml.regression import GBTRegressionModel
-
-        self.inputs = list(columns)
-        self.indexer = StringIndexerModel.load(f"{path}/cells")
-        self.models = {
-            (k, h): GBTRegressionModel.load(f"{path}/{k}_{h}") for k in self.kpis for h in self.horizons
-        }
-        return self
+        """Everything that ``load`` needs, predictors and settings included."""
+        spark = self.cells.sparkSession
+        self.cells.write.mode("overwrite").parquet(f"{path}/cells")
+        cases = [(i, k, h) for i, (k, h) in enumerate(self._cases())]
+        spark.createDataFrame(cases, "at int, kpi string, horizon int").write.mode("overwrite").parquet(f"{path}/cases")
+        for name, table in self.booster.tables(spark).items():
+            table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+    @staticmethod
+    def load(spark, path: str) -> "BoostedTrees":
+        cases = spark.read.parquet(f"{path}/cases").orderBy("at").collect()
+        out = BoostedTrees(list(dict.fromkeys(r["kpi"] for r in cases)), list(dict.fromkeys(r["horizon"] for r in cases)))
+        out.cells = spark.read.parquet(f"{path}/cells")
+        out.booster = boosting.Booster.of_tables({n: spark.read.parquet(f"{path}/{n}") for n in ("nodes", "models", "columns", "settings")})
+        out.settings, out.inputs = out.booster.settings, out.booster.columns[:-1]
+        return out
+
+
+def numbered_cells(rows: DataFrame) -> DataFrame:
+    """``cell_id, _code``: each cell's number in name order, without ordering all cells in one task."""
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = cut(rows.select("cell_id").where("cell_id IS NOT NULL").distinct().repartitionByRange(parts, "cell_id").withColumn("_part", F.spark_partition_id()))
+    sizes = cells.groupBy("_part").count().orderBy("_part").collect()  # one row per partition
+    ahead = spark.createDataFrame([(r["_part"], sum(x["count"] for x in sizes[:i])) for i, r in enumerate(sizes)], "_part int, _ahead long")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("cell_id"))
+    return cells.join(F.broadcast(ahead), "_part").select("cell_id", (F.col("_ahead") + place - 1).cast("double").alias("_code"))
 
 
 def long_forecasts(

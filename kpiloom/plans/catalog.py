@@ -8,12 +8,14 @@ in production; queries about those steps themselves start from RAW.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiloom.functions import qos, timegrid
+from kpiloom.models import boosting
 from kpiloom.models import forecasters as fc
 from kpiloom.models.detectors import (
     Autoencoder,
@@ -807,6 +809,22 @@ def state_confusion(spark, sf_dir):
     return forecast_plan.state_confusion(forecast_plan.predicted_states(fc.Persistence(), test_rows(spark, sf_dir)))
 
 
+def _states_by_model(spark, sf_dir):
+    rows = test_rows(spark, sf_dir)
+    told = [forecast_plan.predicted_states(m, rows).withColumn("model", F.lit(m.name)) for m in baselines(spark, sf_dir)]
+    return reduce(DataFrame.unionByName, told)
+
+
+@query
+def state_accuracy_by_model(spark, sf_dir):
+    return forecast_plan.state_accuracy(_states_by_model(spark, sf_dir), ["model"])
+
+
+@query
+def state_confusion_by_model(spark, sf_dir):
+    return forecast_plan.state_confusion(_states_by_model(spark, sf_dir), ["model"])
+
+
 @query
 def announced_state(spark, sf_dir):
     rows = forecast_plan.announced_state(fc.Persistence(), prepared_table(spark, sf_dir), GRID)
@@ -916,31 +934,82 @@ def ar_forecast(spark, sf_dir):
     return model.forecasts(select.evaluation_origins(rows.where("segment = 'test'"), GRID))
 
 
-def _boosted(spark, sf_dir, **settings):
-    rows = supervised_table(spark, sf_dir).drop("is_anomaly")
-    model = fc.BoostedTrees(["latency"], [5], trees=10, depth=4, **settings)
-    return model.fit(rows.where("segment = 'train'"), rows.where("segment = 'val'")), rows
+_FITTED: dict[tuple, object] = {}
+
+
+def boosted_model(spark, sf_dir) -> fc.BoostedTrees:
+    """All KPIs and horizons with both losses at full settings, fitted once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        rows = supervised_table(spark, sf_dir).drop("is_anomaly")
+        _FITTED[key] = fc.BoostedTrees().fit(rows.where("segment = 'train'"), rows.where("segment = 'val'"))
+    return _FITTED[key]
 
 
 @query
 def gbt_forecast(spark, sf_dir):
-    model, rows = _boosted(spark, sf_dir, loss="squared")
-    return model.predict(rows.where("segment = 'test'"), "latency", 5).select("cell_id", "ts", "y_hat")
+    rows = fc.long_forecasts([boosted_model(spark, sf_dir)], test_rows(spark, sf_dir))
+    return rows.select("cell_id", "ts", "kpi", "horizon_min", "y", "y_hat")
 
 
 @query
 def gbt_selection(spark, sf_dir):
-    return _boosted(spark, sf_dir)[0].selection_table(spark)
+    return boosted_model(spark, sf_dir).selection_table(spark)
 
 
 @query
 def gbt_objectives(spark, sf_dir):
-    return forecast_plan.retained_objectives(_boosted(spark, sf_dir)[0].selection_table(spark))
+    return forecast_plan.retained_objectives(boosted_model(spark, sf_dir).selection_table(spark))
+
+
+@query
+def gbt_retained(spark, sf_dir):
+    """One loss is retained for each of the models, the one with the least validation error."""
+    log = boosted_model(spark, sf_dir).selection_table(spark)
+    least = F.min("mae_validation") == F.min(F.when(F.col("retenu"), F.col("mae_validation")))
+    return log.groupBy("kpi", "horizon_min").agg(F.count("*").alias("candidats"), F.count_if("retenu").alias("retenus"), least.alias("meilleur"))
+
+
+@query
+def gbt_start(spark, sf_dir):
+    """Where every model starts: the mean, or the median for the absolute error, of its target."""
+    rows = supervised_table(spark, sf_dir).where("segment = 'train'")
+    targets = [target_name(k, h) for k in KPIS for h in HORIZONS]
+    booster = boosting.Booster([], targets, fc.LOSSES)
+    booster.start(rows)
+    told = [(t, loss, float(v)) for (t, loss), v in zip(booster.pairs, booster.base)]
+    return spark.createDataFrame(told, "cible string, objectif string, depart double")
 
 
 @query
 def gbt_importance(spark, sf_dir):
-    return _boosted(spark, sf_dir, loss="squared")[0].feature_importance(spark, "latency", 5)
+    model = boosted_model(spark, sf_dir)
+    tables = [
+        model.feature_importance(spark, k, h).select(F.lit(k).alias("kpi"), F.lit(h).alias("horizon_min"), "feature", "importance") for k in KPIS for h in HORIZONS
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
+@query
+def gbt_states(spark, sf_dir):
+    """Accuracy of the state that the boosted models announce."""
+    return forecast_plan.state_accuracy(forecast_plan.predicted_states(boosted_model(spark, sf_dir), test_rows(spark, sf_dir)))
+
+
+@query
+def gbt_announced(spark, sf_dir):
+    rows = forecast_plan.announced_state(boosted_model(spark, sf_dir), prepared_table(spark, sf_dir), GRID)
+    return rows.select("cell_id", "ts", "horizon_min", "announced_for", "qos_state", "cause_kpi", "cause_excess")
+
+
+@query
+def forecast_benchmark(spark, sf_dir):
+    """All five models: on the whole test segment, and on common origins with ARIMA."""
+    rows = test_rows(spark, sf_dir)
+    trained = supervised_table(spark, sf_dir).where("segment = 'train'")
+    arima = fc.AutoRegression(history(spark, sf_dir), GRID).fit(trained)
+    models = [*baselines(spark, sf_dir), arima, boosted_model(spark, sf_dir)]
+    return forecast_plan.forecast_study(models, rows, select.evaluation_origins(rows, GRID))
 
 
 # -- streaming --------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,21 +77,21 @@ def predicted_states(model: Forecaster, df: DataFrame, horizons: list[int] = HOR
     return prepared.select("cell_id", "ts", F.explode(F.array(*pairs)).alias("s")).select("cell_id", "ts", "s.*")
 
 
-def state_accuracy(states: DataFrame) -> DataFrame:
-    """Share of right states and of critical states that were missed, per horizon."""
+def state_accuracy(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Share of right states and of critical states that were missed, per horizon and ``by``."""
     critical = F.col("actual") == 2
     missed = F.count_if(critical & (F.col("predicted") != 2))
-    return states.groupBy("horizon_min").agg(
+    return states.groupBy(*by, "horizon_min").agg(
         F.round(F.avg((F.col("predicted") == F.col("actual")).cast("int")), 4).alias("exactitude_etat"),
         F.round(missed / F.greatest(F.count_if(critical), F.lit(1)), 4).alias("part_critiques_manques"),
         F.count(F.lit(1)).alias("n"),
     )
 
 
-def state_confusion(states: DataFrame) -> DataFrame:
-    """All nine pairs of actual and predicted state per horizon."""
+def state_confusion(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """All nine pairs of actual and predicted state per horizon and ``by``."""
     pairs = [(a, p) for a in range(3) for p in range(3)]
-    counted = states.groupBy("horizon_min").agg(
+    counted = states.groupBy(*by, "horizon_min").agg(
         *[F.count_if((F.col("actual") == a) & (F.col("predicted") == p)).alias(f"n{a}{p}") for a, p in pairs]
     )
     cells = F.array(
@@ -98,7 +100,7 @@ def state_confusion(states: DataFrame) -> DataFrame:
             for a, p in pairs
         ]
     )
-    return counted.select("horizon_min", F.explode(cells).alias("c")).select("horizon_min", "c.*")
+    return counted.select(*by, "horizon_min", F.explode(cells).alias("c")).select(*by, "horizon_min", "c.*")
 
 
 def announced_state(

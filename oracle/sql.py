@@ -662,6 +662,30 @@ add("state_accuracy", f"{T}, {PAIRS} SELECT horizon_min, round(avg(CAST(predicte
 add("state_confusion", f"{T}, {PAIRS} SELECT h AS horizon_min, {label_of('a')} AS actual, {label_of('b')} AS predicted, count(pairs.actual) AS n FROM "
     "(SELECT * FROM (VALUES (5), (15), (30)) x(h), (VALUES (0), (1), (2)) y(a), (VALUES (0), (1), (2)) z(b)) g "
     "LEFT JOIN pairs ON horizon_min = h AND pairs.actual = a AND pairs.predicted = b GROUP BY h, a, b", "horizon_min:l actual:s predicted:s n:l")
+
+
+def pairs_of(model: str, template: str, h: int) -> str:
+    told = "greatest(" + ", ".join(rank_of(k, "told").replace("told", "(" + template.format(k=k, h=h) + ")") for k in KPIS) + ")"
+    seen = "greatest(" + ", ".join(rank_of(k, f"p.{k}_target_{h}m") for k in KPIS) + ")"
+    return f"SELECT '{model}' AS model, {h} AS horizon_min, {told} AS predicted, {seen} AS actual FROM supervised p {_joins24} WHERE p.segment = 'test'"
+
+
+MODEL_PAIRS = "pairs AS (" + " UNION ALL ".join(
+    pairs_of(m, t, h)
+    for m, t in (("persistance", "p.{k}_mean_5m"), ("moyenne_mobile_15m", "p.{k}_mean_15m"), ("naif_saisonnier_24h", "coalesce(b{h}.{k}, p.{k}_mean_5m)"))
+    for h in HORIZONS
+) + ")"
+add("state_accuracy_by_model", f"{T}, {MODEL_PAIRS} SELECT model, horizon_min, round(avg(CAST(predicted = actual AS INT)), 4) AS exactitude_etat, "
+    "round(count(*) FILTER (actual = 2 AND predicted <> 2) / CAST(greatest(count(*) FILTER (actual = 2), 1) AS DOUBLE), 4) AS part_critiques_manques, count(*) AS n "
+    "FROM pairs GROUP BY 1, 2", "model:s horizon_min:l exactitude_etat:d part_critiques_manques:d n:l")
+add("state_confusion_by_model", f"{T}, {MODEL_PAIRS} SELECT m AS model, h AS horizon_min, {label_of('a')} AS actual, {label_of('b')} AS predicted, count(pairs.actual) AS n FROM "
+    "(SELECT * FROM (VALUES ('persistance'), ('moyenne_mobile_15m'), ('naif_saisonnier_24h')) w(m), (VALUES (5), (15), (30)) x(h), (VALUES (0), (1), (2)) y(a), (VALUES (0), (1), (2)) z(b)) g "
+    "LEFT JOIN pairs ON model = m AND horizon_min = h AND pairs.actual = a AND pairs.predicted = b GROUP BY m, h, a, b", "model:s horizon_min:l actual:s predicted:s n:l")
+add("gbt_retained", f"SELECT kpi, horizon_min, 2 AS candidats, 1 AS retenus, true AS meilleur FROM (VALUES {', '.join(f"('{k}')" for k in KPIS)}) q(kpi), "
+    "(VALUES (5), (15), (30)) h(horizon_min)", "kpi:s horizon_min:l candidats:l retenus:l meilleur:b")
+add("gbt_start", f"{T}, tr AS (SELECT * FROM supervised WHERE segment = 'train') " + " UNION ALL ".join(
+    f"SELECT '{t}' AS cible, '{loss}' AS objectif, {f.format(t)} AS depart FROM tr" for t in TARGETS for loss, f in (("squared", "avg({})"), ("absolute", "quantile_cont({}, 0.5)"))),
+    "cible:s objectif:s depart:d")
 add("announced_state", f"{P}, newest AS (SELECT * FROM prepared QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY ts DESC) = 1) "
     f"SELECT n.cell_id, n.ts, h AS horizon_min, n.ts + h * INTERVAL 1 HOUR AS announced_for, {label_of(worst('_mean_5m'))} AS qos_state, c.cause_kpi, c.cause_excess "
     f"FROM newest n JOIN ({blame('newest', 'cell_id, ts', '_mean_5m')}) c ON c.cell_id = n.cell_id, (VALUES (5), (15), (30)) x(h)",

@@ -231,6 +231,7 @@ def test_boosted_trees_choose_a_loss_and_code_unseen_cells(spark):
         model.forecast("jitter", 5)
     path = new_path(spark, "trees")
     model.save(path)
-    again = fc.BoostedTrees(["latency"], [5]).load(path, model.inputs)
+    again = fc.BoostedTrees.load(spark, path)
+    assert again.inputs == model.inputs and again.settings == model.settings
     total = lambda m: m.predict(table, "latency", 5).agg(F.sum("y_hat")).first()[0]
     assert total(again) == pytest.approx(total(model))
