@@ -6,17 +6,24 @@ their lines are normalised and hashed; each is joined to the latest earlier
 message of the conversation that says the same in its own words.  The message
 whose nearest quotes hold most words is the one replied to; without a linked
 quote a message replies to the one before it.  Quotes are left out of the text.
+
+Messages are numbered within their conversation by a range partitioning, so
+a conversation of any size is dealt over many tasks.  A reply's place is its
+distance from the first message along the replies.  Only messages that reply to
+another than the one before them take part in the doubling that finds it.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.session import cut
 
-LEAST_WORDS = 3  # shorter passages are said too often to be a quotation
-BLOCK = 64  # turns of a conversation that are ordered in one group
+BLOCK = 64  # messages of a conversation that are ordered in one group
 _MARKS = r"^(?:[ \t]*>)+[ \t]?"
 _SAYS = r"(?i)(?:^|\n)[^\n]*\b(?:wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$"
 _RUN, _BODY = "\x01", "\x02"
@@ -64,7 +71,64 @@ def _normalised(text: Column) -> Column:
 def _pieces(text: Column) -> Column:
     """Normalised forms by which a passage can be met: whole, by paragraph, by line."""
     forms = F.concat(F.array(text), F.split(text, r"\n[ \t]*\n"), F.split(text, r"\n"))
-    return F.array_distinct(F.filter(F.transform(forms, _normalised), lambda x: F.size(F.split(x, " ")) >= LEAST_WORDS))
+    return F.array_distinct(F.filter(F.transform(forms, _normalised), lambda x: x != ""))
+
+
+def _numbered(rows: DataFrame, order: list[Column], tell: list[Column]) -> DataFrame:
+    """Written rows with ``seq``, their number from 0 within ``conv`` in the given order; ``tell`` are the columns kept.
+
+    Ranges of all rows are sorted, wherever a conversation's bounds fall; one
+    row per range and conversation then tells how many came before.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # equal rows are told apart by where they were read, so that none of their number is too many for a range
+    rows = rows.withColumn("_tie", F.monotonically_increasing_id())
+    sorted_ = rows.repartitionByRange(parts, "conv", *order, "_tie").sortWithinPartitions("conv", *order, "_tie")
+    written = cut(sorted_.select(*tell, F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_nth")))
+    per = written.groupBy("_pid", "conv").agg(F.min("_nth").alias("_first"), F.count("*").alias("_n"))
+    ahead = Window.partitionBy("conv").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(F.col("_pid").alias("_p"), F.col("conv").alias("_c"), "_first", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    met = (F.col("_pid") == F.col("_p")) & F.col("conv").eqNullSafe(F.col("_c"))
+    return written.join(per, met).withColumn("seq", F.col("_ahead") + F.col("_nth") - F.col("_first")).drop("_pid", "_nth", "_p", "_c", "_first", "_ahead")
+
+
+def _latest(rows: DataFrame, keys: list[str], value: str, own: bool) -> DataFrame:
+    """Adds ``last``: the greatest ``value`` of the rows before (or up to, if ``own``) a row's ``seq`` under the same keys.
+
+    By a window within a block of messages, and from one row per block across blocks.
+    """
+    rows = rows.withColumn("_block", F.floor(F.col("seq") / BLOCK))
+    within = Window.partitionBy(*keys, "_block").orderBy("seq").rangeBetween(Window.unboundedPreceding, 0 if own else -1)
+    near = rows.withColumn("_near", F.max(value).over(within))
+    per = rows.groupBy(*keys, "_block").agg(F.max(value).alias("_most"))
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_far", F.max("_most").over(before)).drop("_most")
+    per = per.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate([*keys, "_block"])], "_far")
+    met = functools.reduce(operator.and_, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate([*keys, "_block"])])
+    joined = near.join(per, met).withColumn("last", F.greatest("_near", "_far"))
+    return joined.drop("_block", "_near", "_far", *[f"_k{i}" for i in range(len(keys) + 1)])
+
+
+def _depths(parents: DataFrame) -> DataFrame:
+    """``conv, seq, depth``: replies between a message and one that answers nothing; ``parents`` has ``conv, seq, parent``.
+
+    A head answers another message than the one before it, or none.  The
+    messages up to the next head follow it one by one, so only heads are doubled.
+    """
+    heads = parents.withColumn("_head", F.when(F.col("parent").isNull() | (F.col("parent") != F.col("seq") - 1), F.col("seq")))
+    placed = cut(_latest(heads, ["conv"], "_head", own=True).select("conv", "seq", "parent", F.col("last").alias("head")))
+    joints = placed.where("seq = head").select("conv", "seq", "parent")
+    of = placed.select(F.col("conv").alias("_conv"), F.col("seq").alias("_seq"), F.col("head").alias("up"))
+    met = F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("parent") == F.col("_seq"))
+    steps = joints.join(of, met, "left").select("conv", "seq", "up", F.coalesce(F.col("parent") - F.col("up") + 1, F.lit(0)).alias("far"))
+    steps = cut(steps)
+    while not steps.where("up is not null").isEmpty():
+        further = steps.select(F.col("conv").alias("_conv"), F.col("seq").alias("_seq"), F.col("up").alias("_up"), F.col("far").alias("_far"))
+        met = F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("up") == F.col("_seq"))
+        steps = cut(steps.join(further, met, "left").select("conv", "seq", F.col("_up").alias("up"), (F.col("far") + F.coalesce("_far", F.lit(0))).alias("far")))
+    ends = steps.select(F.col("conv").alias("_conv"), F.col("seq").alias("_seq"), "far")
+    met = F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("head") == F.col("_seq"))
+    return placed.join(ends, met).select("conv", "seq", (F.col("far") + F.col("seq") - F.col("head")).alias("depth"))
 
 
 def link_replies(
@@ -76,87 +140,87 @@ def link_replies(
 ) -> DataFrame:
     """One row per message, to be read in ascending ``position`` within its conversation.
 
-    Columns: ``conversation``, ``position`` (1, 2, … in reply order: a reply
-    always comes after what it answers), ``turn``, ``role``, ``reply_to`` (turn of the message answered, null
-    for the first), ``quoted`` (the link comes from a quotation), ``n_quotes`` (quoted
-    passages), ``n_linked`` (of these, found in an earlier message) and ``body``
-    (the message without quotes).
-
-    A null text is empty; a message with only quotes has an empty body.  Rows
-    with a null conversation form one conversation; a null turn comes before all
-    others and answers nothing.  Messages of the same turn are ordered by role and text;
-    equal rows are repeated messages.  An empty table gives no row.
+    Columns: ``conversation``, ``position`` (1, 2, … in reply order: by the number of replies between a message and
+    the start, then by turn, so a reply always comes after what it answers), ``turn``, ``role``,
+    ``reply_to`` (turn of the message answered, null if none), ``quoted`` (the link comes from a
+    quotation), ``n_quotes`` (quoted passages), ``n_linked`` (of these, found in an earlier message)
+    and ``body`` (the message without quotes).
+
+    Quotes of any length are linked, single words too.  A null text is empty; a message with only
+    quotes has an empty body.  Rows with a null conversation form one conversation;
+    a null turn comes before all others, answers nothing and is not answered.  Messages of the same turn
+    are ordered by role and text; equal rows are repeated messages.  Other columns are not read.
+    An empty table gives no row.
     """
-    rows = messages.select(
+    read = messages.select(
         F.col(f"`{conversation}`").alias("conv"),
         F.col(f"`{turn}`").cast("long").alias("turn"),
         F.col(f"`{role}`").alias("role"),
         F.xxhash64(f"`{text}`").alias("print"),
-        _runs(F.col(f"`{text}`")).alias("runs"),
+        F.col(f"`{text}`").alias("text"),
     )
-    rows = rows.select("conv", "turn", "role", "print", "runs", _own(F.col("runs")).alias("body"))
-    rows = cut(rows.select("*", F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK).alias("block")))
-    ident = ["conv", "turn", "role", "print"]
+    order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("print")]
+    rows = _numbered(read, order, [F.col("conv"), F.col("turn"), F.col("role"), _runs(F.col("text")).alias("runs")])
+    rows = cut(rows.select("conv", "seq", "turn", "role", "runs", _own(F.col("runs")).alias("body")))
+    ident = ["conv", "seq"]
 
-    quotes = rows.select(*ident, F.posexplode("runs").alias("run", "r")).where("r.level > 0")
+    quotes = rows.where("turn is not null").select(*ident, F.posexplode("runs").alias("run", "r")).where("r.level > 0")
     quotes = quotes.select(*ident, "run", "r.level", F.explode(_pieces(F.col("r.body"))).alias("said")).distinct()
     quotes = cut(quotes.select("*", F.md5(F.col("said").cast("binary")).alias("key"), F.size(F.split("said", " ")).alias("words")).drop("said"))
     wanted = quotes.select(F.col("conv").alias("_conv"), F.col("key").alias("_key")).distinct()
-    sources = rows.where("turn is not null").select("conv", "turn", F.explode(_pieces(F.col("body"))).alias("said"))
-    sources = sources.select("conv", "turn", F.md5(F.col("said").cast("binary")).alias("key"))
+    sources = rows.where("turn is not null").select(*ident, F.explode(_pieces(F.col("body"))).alias("said"))
+    sources = sources.select(*ident, F.md5(F.col("said").cast("binary")).alias("key"))
     sources = sources.join(wanted, F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("key") == F.col("_key")), "left_semi").distinct()
 
-    # The latest earlier source of each quote: within a block of turns by a window, across blocks from one row per block.
-    both = quotes.select("conv", "key", "turn", "role", "print", "run", "level", "words").withColumn("source", F.lit(None).cast("long"))
-    both = both.union(sources.select("conv", "key", "turn", *[F.lit(None).cast(both.schema[c].dataType) for c in ("role", "print", "run", "level", "words")], "turn"))
-    both = both.withColumn("block", F.floor(F.coalesce("turn", F.lit(-1)) / BLOCK))
-    earlier = Window.partitionBy("conv", "key", "block").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    near = both.withColumn("near", F.max("source").over(earlier)).where("source is null")
-    lasts = sources.groupBy("conv", "key", F.floor(F.col("turn") / BLOCK).alias("block")).agg(F.max("turn").alias("last"))
-    spans = lasts.select("conv", "key", "block", "last", F.lit(True).alias("is_source"))
-    spans = spans.union(near.select("conv", "key", "block").distinct().select("*", F.lit(None).cast("long"), F.lit(False)))
-    before = Window.partitionBy("conv", "key").orderBy("block").rangeBetween(Window.unboundedPreceding, -1)
-    carried = spans.withColumn("far", F.max("last").over(before)).where("not is_source")
-    carried = carried.select(F.col("conv").alias("_conv"), F.col("key").alias("_key"), F.col("block").alias("_block"), "far")
-    met = F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("key") == F.col("_key")) & (F.col("block") == F.col("_block"))
-    found = near.join(carried, met).select(*ident, "run", "level", "words", F.coalesce("near", "far").alias("source")).where("source is not null")
+    # The latest earlier source of each quote.
+    none = [F.lit(None).cast(quotes.schema[c].dataType).alias(c) for c in ("run", "level", "words")]
+    both = quotes.select(*ident, "key", "run", "level", "words", F.lit(None).cast("long").alias("source"))
+    both = both.union(sources.select(*ident, "key", *none, F.col("seq").alias("source")))
+    found = _latest(both, ["conv", "key"], "source", own=False).where("run is not null and last is not null")
+    found = found.select(*ident, "run", "level", "words", F.col("last").alias("source"))
 
     # One source per passage, then the nearest level's source with most words; the later one on ties.
     per_run = found.groupBy(*ident, "run", "level", "source").agg(F.max("words").alias("words"))
     per_run = per_run.groupBy(*ident, "run", "level").agg(F.max(F.struct("words", "source")).alias("best"))
     votes = per_run.groupBy(*ident, "level", F.col("best.source").alias("source")).agg(F.sum("best.words").alias("words"), F.count("*").alias("n"))
     chosen = votes.groupBy(*ident).agg(F.max(F.struct((-F.col("level")).alias("near"), "words", "source")).alias("best"), F.sum("n").alias("n_linked"))
-    chosen = chosen.select(*[F.col(c).alias(f"_{c}") for c in ident], F.col("best.source").alias("linked"), "n_linked")
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ident]
-    linked = rows.join(chosen, same[0] & same[1] & same[2] & same[3], "left").drop(*[f"_{c}" for c in ident])
-
-    # Position and predecessor: by window within a block, from one row per block across blocks.
-    per_block = rows.groupBy("conv", "block").agg(F.count("*").alias("n"), F.max("turn").alias("last"))
-    ahead = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    per_block = per_block.select(
-        F.col("conv").alias("_conv"),
-        F.col("block").alias("_block"),
-        F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"),
-        F.max("last").over(ahead).alias("last_before"),
-    )
-    within = Window.partitionBy("conv", "block").orderBy(F.col("turn").asc_nulls_first(), "role", "print")
-    placed = linked.join(per_block, F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("block") == F.col("_block")))
-    previous = F.coalesce(F.lag("turn").over(within), F.col("last_before"))
-    placed = placed.select(
-        "*",
-        (F.col("before") + F.row_number().over(within)).alias("position"),
-        previous.alias("previous"),
-    )
-    quoted = F.col("linked").isNotNull()
-    n_quotes = F.size(F.filter("runs", lambda r: r.getField("level") > 0))
+    chosen = cut(chosen.select(F.col("conv").alias("_conv"), F.col("seq").alias("_seq"), F.col("best.source").alias("linked"), "n_linked"))
+
+    own = F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("seq") == F.col("_seq"))
+    linked = rows.join(chosen, own, "left").drop("_conv", "_seq")
+    # What a message answers: the linked one, or the one before it; both by number.
+    at = F.coalesce("linked", F.col("seq") - 1)
+    turns = rows.where("turn is not null").select(F.col("conv").alias("_conv"), F.col("seq").alias("_seq"), F.col("turn").alias("reply_to"))
+    linked = linked.withColumn("_at", F.when(F.col("turn").isNotNull(), at))
+    linked = linked.join(turns, F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("_at") == F.col("_seq")), "left").drop("_conv", "_seq")
+    n_quotes = F.size(F.filter("runs", lambda r: r.getField("level") > 0)).cast("long")
+    told = [
+        F.col("conv"),
+        F.col("seq"),
+        F.col("turn"),
+        F.col("role"),
+        F.col("reply_to"),
+        F.col("linked").isNotNull().alias("quoted"),
+        n_quotes.alias("n_quotes"),
+        F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
+        F.col("body"),
+    ]
+    if chosen.isEmpty():
+        placed = linked.select(*told)  # every message answers the one before it, so the numbers are the positions
+    else:
+        linked = cut(linked.select(*told, F.when(F.col("reply_to").isNotNull(), F.col("_at")).alias("parent")))
+        depths = _depths(linked.select("conv", "seq", "parent")).select(F.col("conv").alias("_conv"), F.col("seq").alias("_seq"), "depth")
+        rows = linked.join(depths, own).drop("_conv", "_seq", "parent").withColumnRenamed("seq", "_first")
+        kept = [F.col(c) for c in rows.columns if c not in ("_first", "depth")]
+        placed = _numbered(rows, [F.col("depth"), F.col("_first")], kept)
     return placed.select(
         F.col("conv").alias(conversation),
-        F.col("position").cast("long").alias("position"),
+        (F.col("seq") + 1).cast("long").alias("position"),
         F.col("turn").alias(turn),
         F.col("role").alias(role),
-        F.when(F.col("turn").isNotNull(), F.coalesce("linked", "previous")).alias("reply_to"),
-        quoted.alias("quoted"),
-        n_quotes.cast("long").alias("n_quotes"),
-        F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
+        "reply_to",
+        "quoted",
+        "n_quotes",
+        "n_linked",
         "body",
     )

@@ -195,28 +195,100 @@ def test_quotes_are_linked_and_removed(spark):
     }
     assert got[(1, 2)]["body"] == "Is ten minutes enough?" and got[(1, 101)]["body"] == ""
     assert got[(1, 4)]["body"] == "I mean this one. >> not a quote"
-    assert [got[(1, t)]["position"] for t in (0, 1, 2, 3, 4, 100, 101)] == list(range(1, 8))
+    # Reply order: turn 4 answers turn 0 as turn 1 does, and so comes before turn 2, which answers turn 1.
+    places = {t: got[(1, t)]["position"] for t in (0, 1, 2, 3, 4, 100, 101)}
+    assert sorted(places.values()) == list(range(1, 8))
+    assert all(got[(1, t)]["reply_to"] is None or places[got[(1, t)]["reply_to"]] < at for t, at in places.items())
     assert quotes.link_replies(df.where("false")).count() == 0
 
 
-def test_long_conversations_link_like_short_blocks(spark, monkeypatch):
-    rng = random.Random(3)
-    said, rows = [], []
-    for t in range(150):
-        own = " ".join(rng.choice("abcdef") * 3 for _ in range(rng.randint(3, 5)))
-        quoted = rng.choice(said) if said and rng.random() < 0.6 else None
-        rows.append((1, t, "user", own if quoted is None else f"> {quoted}\n{own}"))
-        said.append(own)
-    want = {}
-    for t, (_, _, _, text) in enumerate(rows):
-        quoted = text[2:].split("\n")[0] if text.startswith(">") else None
-        want[t] = max(k for k in range(t) if said[k] == quoted) if quoted else (t - 1 if t else None)
-    df = spark.createDataFrame(rows + rows[:1], "conv_id long, turn long, role string, text string")
-    for block in (64, 4):
-        monkeypatch.setattr(quotes, "BLOCK", block)
-        got = quotes.link_replies(df).collect()
-        assert sorted(r["position"] for r in got) == list(range(1, 152))
-        assert all(r["reply_to"] == want[r["turn"]] for r in got if r["turn"])
+def plain_links(rows):
+    """Brute force over ``(turn, text)`` of one conversation in order: reply, quoted passages, linked passages, depth."""
+    mark = re.compile(r"^(?:[ \t]*>)+[ \t]?")
+
+    def runs_of(text):
+        out = []
+        for line in (text or "").split("\n"):
+            m = mark.match(line)
+            level, body = (m.group(0).count(">"), line[m.end() :]) if m else (0, line)
+            if out and out[-1][0] == level:
+                out[-1][1].append(body)
+            else:
+                out.append((level, [body]))
+        return [(level, "\n".join(lines)) for level, lines in out]
+
+    def forms(body):
+        parts = [body, *re.split(r"\n[ \t]*\n", body), *body.split("\n")]
+        return {f for f in (re.sub(r"[\W_]+", " ", p.lower()).strip() for p in parts) if f}
+
+    own, out = [], []
+    for k, (turn, text) in enumerate(rows):
+        runs = runs_of(text)
+        body = "\n".join(b.strip() for level, b in runs if level == 0 and b.strip())
+        votes, n_linked = {}, 0
+        for level, quoted in runs:
+            if level and turn is not None:
+                met = [(len(f.split(" ")), max(j for j in range(k) if f in own[j])) for f in forms(quoted) if any(f in o for o in own)]
+                if met:
+                    words, source = max(met)
+                    votes[level, source] = votes.get((level, source), 0) + words
+                    n_linked += 1
+        linked = None
+        if votes:
+            near = min(level for level, _ in votes)
+            linked = max((w, source) for (level, source), w in votes.items() if level == near)[1]
+        at = linked if linked is not None else k - 1
+        answers = turn is not None and at >= 0 and rows[at][0] is not None
+        out.append((rows[at][0] if answers else None, linked is not None, sum(level > 0 for level, _ in runs), n_linked, body, out[at][5] + 1 if answers else 0))
+        own.append(forms(body) if turn is not None else set())
+    order = sorted(range(len(rows)), key=lambda k: (out[k][5], k))
+    return [(*out[k][:5], order.index(k) + 1) for k in range(len(rows))]
+
+
+@pytest.mark.parametrize(("seed", "block"), [(1, 64), (2, 4), (3, 3)])
+def test_links_and_positions_equal_brute_force(spark, monkeypatch, seed, block):
+    """Short, nested, repeated and partial quotes in a hot conversation without an id and in others."""
+    monkeypatch.setattr(quotes, "BLOCK", block)
+    rng = random.Random(seed)
+    talks = {}
+    for conv, n in ((None, 120), (1, 30), (2, 1), (3, 25)):
+        said, rows = [], [(None, "lost words") for _ in range(2 if conv is None else 0)]
+        for t in range(n):
+            lines = [" ".join(rng.choice(["yes", "no", "why", "ab", "cd ef"]) for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(1, 3))]
+            text = "\n".join(lines)
+            if said and rng.random() < 0.6:
+                old = rng.choice(said).split("\n")
+                part = rng.sample(old, rng.randint(1, len(old))) if rng.random() < 0.5 else old
+                text = "\n".join("> " * rng.randint(1, 2) + x for x in part) + "\n" + text
+                if rng.random() < 0.3:
+                    text += "\n>>" + rng.choice(said).split("\n")[0]
+            rows.append((10 * t, text))
+            said.append("\n".join(lines))
+        talks[conv] = rows
+    flat = [(conv, t, "user", text, "x") for conv, rows in talks.items() for t, text in rows]
+    rng.shuffle(flat)
+    df = spark.createDataFrame(flat, "conv_id long, turn long, role string, text string, seq string")
+    got = {}
+    for r in quotes.link_replies(df).collect():
+        got.setdefault(r["conv_id"], []).append((r["turn"], r["reply_to"], r["quoted"], r["n_quotes"], r["n_linked"], r["body"], r["position"]))
+    for conv, rows in talks.items():
+        want = [(t, *w) for (t, _), w in zip(rows, plain_links(rows))]
+        assert sorted(got[conv], key=str) == sorted(want, key=str)
+
+
+def test_a_quoted_question_of_two_words_is_answered(spark):
+    rows = [(1, 1, "user", "Why not?"), (1, 2, "user", "Because."), (1, 3, "user", "> Why not?\nI see."), (1, 4, "user", "> nowhere said")]
+    got = {r["turn"]: r for r in quotes.link_replies(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[3]["reply_to"] == 1 and got[3]["n_linked"] == 1 and got[3]["body"] == "I see."
+    assert got[4]["reply_to"] == 3 and got[4]["n_linked"] == 0
+    assert [got[t]["position"] for t in (1, 2, 3, 4)] == [1, 2, 3, 4]
+
+
+def test_equal_turns_and_repeated_messages(spark):
+    rows = [(1, 5, "user", f"m{k % 3}") for k in range(300)] + [(None, None, None, None)] * 200
+    got = quotes.link_replies(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted(r["position"] for r in got if r["conv_id"] == 1) == list(range(1, 301))
+    assert sorted(r["position"] for r in got if r["conv_id"] is None) == list(range(1, 201))
 
 
 def test_permutation_is_a_bijection():
