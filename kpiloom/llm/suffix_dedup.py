@@ -37,7 +37,7 @@ from kpiloom.llm.common import with_text
 from kpiloom.session import cut
 
 LENGTH = 400
-HOT = 4096  # anchors of a bucket beyond which it is split by window
+HOT = 512  # anchors of a bucket beyond which it is split by window
 
 _PLACE = 20
 _CHUNK = 1 << (_PLACE - 1)
