@@ -67,7 +67,7 @@ def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order.training_order(_table(spark, sf_dir, "documents"))
+    return training_order.training_order(_table(spark, sf_dir, "documents")).drop("tokens")  # they are in the shards
 
 
 def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,12 +1,17 @@
 """Token ids in training order: a keyed permutation gives every sequence its slot in fixed-stride shards.
 
 Documents are tokenised and cut into sequences of ``length`` tokens, the last
-one padded.  Sequence number ``i`` of ``N`` goes to slot ``P(i)``, where P is a
+one padded.  Sequences are numbered by document id, text and part, whatever
+the splits of the input.  Sequence number ``i`` of ``N`` goes to slot ``P(i)``, where P is a
 Feistel network on the smallest even-width domain that holds N, walked along
 its cycle until it falls below N.  P is a bijection of 0..N-1 that needs no
-table and no shuffle of numbers; the same key gives the same order.  Records
-are range-partitioned by slot.  Slot s lies in shard ``s // per_shard`` at byte
-``(s % per_shard) * stride``, so a reader resumes at any slot with one seek.
+table and no shuffle of numbers; the same key gives the same order.
+
+Records move once, to partitions with exact bounds: a partition holds whole
+shards, a shard the slots from ``shard * per_shard`` on, in order.  They are
+stored as one folder per shard, every record of ``stride`` bytes, so a reader resumes at any slot
+of any shard; ``write_shards`` copies them to flat files, where slot s
+begins at byte ``(s % per_shard) * stride``.
 """
 
 from __future__ import annotations
@@ -20,16 +25,17 @@ import numpy as np
 import pandas as pd
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import with_text
-from kpiloom.session import new_path
+from kpiloom.session import cut, new_path
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256  # free id of that vocabulary: marks the end of a document and pads its last record
 LENGTH = 512
 PER_SHARD = 8192
+MOST_PARTITIONS = 20_000  # beyond so many shards, a partition holds several
 ROUNDS = 6
 CACHE_ENTRIES = 300_000
 # Fixed value: the pattern that belongs to the vocabulary file.
@@ -68,7 +74,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 def sequences(docs: DataFrame, ident: str, text: str, tokenizer: str, end: int, length: int) -> DataFrame:
-    """One row per sequence: document, its part number, tokens, and its place in the written table."""
+    """One row per sequence: document, hash of its text, row (a number of its own), part, number of parts and tokens."""
     ranks = load_ranks(tokenizer)
     code = "H" if max(end, max(ranks.values())) < 1 << 16 else "I"
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
@@ -77,41 +83,49 @@ def sequences(docs: DataFrame, ident: str, text: str, tokenizer: str, end: int,
 
     def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(shared.value, PATTERN, code)
-        pid, local = TaskContext.get().partitionId(), 0
+        row, rows, size = TaskContext.get().partitionId() << 33, [], 0
         for batch in batches:
-            ids, parts, packed, size = [], [], [], 0
-            for doc, body in zip(batch["doc"], batch["text"]):
+            for doc, key, body in zip(batch["doc"], batch["key"], batch["text"]):
                 data = (encoder.encode(body) if body else b"") + mark
-                for k, at in enumerate(range(0, len(data), length * width)):
-                    ids.append(doc)
-                    parts.append(k)
-                    packed.append(data[at : at + length * width])
+                parts = -(-len(data) // (length * width))
+                for k in range(parts):
+                    piece = data[k * length * width : (k + 1) * length * width]
+                    rows.append((doc, key, row, k, parts, len(piece) // width, piece))
+                row += 1
                 size += len(data)
                 if size > 8 << 20:
-                    yield _rows(pid, local, ids, parts, packed, width)
-                    local, ids, parts, packed, size = local + len(ids), [], [], [], 0
-            if ids:
-                yield _rows(pid, local, ids, parts, packed, width)
-                local += len(ids)
-
-    rows = with_text(docs, ident, text).select(F.col(ident).cast("long").alias("doc"), F.col(text).alias("text"))
-    schema = "doc long, part int, pid int, local long, n_tokens int, tokens binary"
+                    yield _rows(rows)
+                    rows, size = [], 0
+        if rows:
+            yield _rows(rows)
+
+    rows = with_text(docs, ident, text).select(F.col(ident).cast("long").alias("doc"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
+    schema = "doc long, key long, row long, part int, parts int, n_tokens int, tokens binary"
     path = new_path(docs.sparkSession, "sequences")
     rows.mapInPandas(cut_up, schema).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
-def _rows(pid: int, local: int, ids: list, parts: list, packed: list, width: int) -> pd.DataFrame:
-    return pd.DataFrame(
-        {
-            "doc": pd.array(ids, dtype="Int64"),
-            "part": np.array(parts, np.int32),
-            "pid": np.int32(pid),
-            "local": local + np.arange(len(ids)),
-            "n_tokens": np.array([len(p) // width for p in packed], np.int32),
-            "tokens": packed,
-        }
-    )
+def _rows(rows: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=["doc", "key", "row", "part", "parts", "n_tokens", "tokens"])
+    out["doc"] = pd.array([None if pd.isna(x) else x for x in out["doc"]], dtype="Int64")
+    return out
+
+
+def numbered(table: DataFrame) -> tuple[DataFrame, int]:
+    """``row, first``: the number of each document's first sequence, by id (null last), text and row; and how many there are.
+
+    Ranges of documents are sorted; one row per range tells what came before.
+    """
+    parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("doc").asc_nulls_last(), F.col("key"), F.col("row")]
+    heads = table.where("part = 0").select("doc", "key", "row", "parts").repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    heads = cut(heads.select("row", "parts", F.spark_partition_id().alias("pid"), F.monotonically_increasing_id().alias("nth")))
+    per = sorted((r["pid"], r["n"]) for r in heads.groupBy("pid").agg(F.sum("parts").alias("n")).collect())  # one row per range
+    ahead = np.cumsum([0, *[n for _, n in per]])
+    offsets = table.sparkSession.createDataFrame([(p, int(a)) for (p, _), a in zip(per, ahead)], "pid int, ahead long")
+    before = F.coalesce(F.sum("parts").over(Window.partitionBy("pid").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return cut(heads.withColumn("before", before).join(F.broadcast(offsets), "pid").select("row", (F.col("ahead") + F.col("before")).alias("first"))), int(ahead[-1])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -148,25 +162,21 @@ def training_order(
     length: int = LENGTH,
     per_shard: int = PER_SHARD,
     key: int = 20240,
+    path: str | None = None,
 ) -> DataFrame:
-    """One record per sequence, sorted by slot within range partitions.
+    """One record per sequence, read from the shards written to ``path`` (in the shared folder if not given).
 
-    Columns: ``slot``, ``shard``, ``shard_byte`` (offset of the record), ``ident``,
+    Columns: ``slot``, ``shard``, ``shard_byte`` (offset of the record in its shard), ``ident``,
     ``part`` (number of the sequence in its document), ``n_tokens``, ``tokens``
     (``length`` little-endian ids, padded with ``end``).  Every document ends
     with ``end``; null and empty texts consist of it alone.  Repeated rows
-    repeat their sequences; an empty table gives no record.  Sequences are
-    numbered in the order of the written token table, so slots stay as they
-    are for every later read of it.
+    repeat their sequences; null ids come last in the numbering.  The order depends on the rows and the key alone.
+    Other columns are not read.  An empty table gives no record.
     """
     table = sequences(docs, ident, text, tokenizer, end, length)
-    # One row per written partition: as many as the job had tasks.
-    per = [(r["pid"], r["n"]) for r in table.groupBy("pid").agg(F.count("*").alias("n")).collect()]
-    per.sort()
-    total = sum(n for _, n in per)
-    ahead = np.cumsum([0, *[n for _, n in per]])
-    spark = docs.sparkSession
-    offsets = spark.createDataFrame([(p, int(a)) for (p, _), a in zip(per, ahead)], "pid int, ahead long")
+    first, total = numbered(table)
+    shards = max(1, -(-total // per_shard))
+    each = -(-shards // MOST_PARTITIONS)  # shards of a partition
 
     @F.pandas_udf("long")
     def slot_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -175,25 +185,29 @@ def training_order(
 
     unit = 2 if max(end, 0) < 1 << 16 else 4
     fill = F.lit(bytearray(end.to_bytes(unit, "little") * length))
-    numbered = table.join(F.broadcast(offsets), "pid").withColumn("slot", slot_of(F.col("ahead") + F.col("local")))
-    shards = max(1, -(-total // per_shard))
-    ranged = numbered.drop("pid", "local", "ahead").repartitionByRange(shards, "slot").sortWithinPartitions("slot")
     stride = length * unit
+    placed = table.join(first, "row").withColumn("slot", slot_of(F.col("first") + F.col("part")))
+    placed = placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("long"))
+    # The partition is the shard itself, not a sampled range.
+    dealt = placed.select("slot", "shard", "doc", "part", "n_tokens", "tokens").repartitionById(-(-shards // each), F.floor(F.col("shard") / each).cast("int"))
     padded = F.substring(F.concat("tokens", fill), 1, stride)
-    shard = F.floor(F.col("slot") / per_shard)
-    return ranged.select(
+    stored = dealt.sortWithinPartitions("shard", "slot").select("slot", "doc", "part", "n_tokens", padded.alias("tokens"), "shard")
+    path = path or new_path(docs.sparkSession, "shards")
+    stored.write.option("compression", "zstd").partitionBy("shard").parquet(path)
+    written = docs.sparkSession.read.schema(stored.schema).parquet(path)
+    return written.select(
         "slot",
-        shard.cast("long").alias("shard"),
-        ((F.col("slot") - shard * per_shard) * stride).cast("long").alias("shard_byte"),
+        "shard",
+        ((F.col("slot") - F.col("shard") * per_shard) * stride).cast("long").alias("shard_byte"),
         F.col("doc").alias(ident),
         "part",
         "n_tokens",
-        padded.alias("tokens"),
+        "tokens",
     )
 
 
 def write_shards(records: DataFrame, folder: str) -> DataFrame:
-    """Write the records as flat files ``shard-00000.bin`` below a folder that all executors share.
+    """Copy the records to flat files ``shard-00000.bin`` below a folder that all executors share.
 
     Every task writes whole shards: records are dealt by shard and ordered by
     slot.  A file appears under its name only when complete, so a lost executor

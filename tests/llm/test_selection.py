@@ -327,6 +327,21 @@ def test_records_hold_every_document(spark, docs_of, odd_rows, tmp_path):
     assert training_order.training_order(docs_of([])).count() == 0
 
 
+def test_slots_do_not_depend_on_splits_and_shards_have_exact_bounds(spark, docs_of, odd_rows, tmp_path):
+    rows = [r for r in odd_rows if r[0] != 4] + [(100 + k, f"text number {k} " * (k % 9), "a", "en") for k in range(400)]
+    found = []
+    for n in (1, 7):
+        path = f"{tmp_path}/s{n}"
+        records = training_order.training_order(docs_of(rows).repartition(n), length=16, per_shard=32, path=path)
+        found.append(sorted((r["slot"], r["shard"], -1 if r["doc_id"] is None else r["doc_id"], r["part"], bytes(r["tokens"])) for r in records.collect()))
+        for folder in sorted((tmp_path / f"s{n}").glob("shard=*")):
+            files = list(folder.glob("*.parquet"))
+            slots = [r["slot"] for r in spark.read.parquet(str(files[0])).select("slot").collect()]
+            first = int(folder.name.split("=")[1]) * 32
+            assert len(files) == 1 and slots == list(range(first, first + len(slots)))
+    assert found[0] == found[1] and [f[0] for f in found[0]] == list(range(len(found[0])))
+
+
 def test_pipeline_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = docs.toPandas()
