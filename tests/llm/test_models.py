@@ -80,6 +80,16 @@ def test_languages_of_held_out_documents(spark):
     assert got.score.between(0, 1).all()
 
 
+def test_texts_in_no_learned_language_go(spark, docs_of):
+    rng = np.random.default_rng(4)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    strange = ["".join(chr(c) for c in rng.integers(0x4E00, 0x9FA0, 200)), "".join(chr(c) for c in rng.integers(0x430, 0x44F, 300)), "".join(rng.choice(list("qxzjkvw0189"), 400))]
+    rows = docs_of([(10_000_000 + k, t, "s", None) for k, t in enumerate(strange)])
+    kept = {r["doc_id"] for r in ppm.known_language(docs.unionByName(rows)).select("doc_id").collect()}
+    lettered = {r["doc_id"] for r in docs.collect() if any(map(str.isalpha, r["text"] or ""))}
+    assert kept == lettered
+
+
 def test_language_of_odd_rows(spark, docs_of, odd_rows):
     got = ppm.identify(docs_of(odd_rows, extra=True)).collect()
     by = {r["doc_id"]: r for r in got}
@@ -146,7 +156,7 @@ def test_marginals_equal_enumeration():
     rng = np.random.default_rng(3)
     doc = np.repeat([0, 1, 2], [4, 1, 3])
     score, transition = rng.normal(size=8), rng.normal(size=(2, 2))
-    good, pairs, _ = line_crf.marginals(score, doc, transition)
+    good, pairs = line_crf.marginals(score, doc, transition)
     at = 0
     for n in (4, 1, 3):
         total, per, both = 0.0, np.zeros(n), np.zeros((n - 1, 2, 2))
@@ -180,10 +190,27 @@ def test_quality_of_odd_rows(spark, docs_of, odd_rows):
     assert {r["score"] for r in line_crf.quality(docs_of(odd_rows), labels.where("false")).collect()} == {0.5}
 
 
+def test_a_planted_bad_block_is_found_by_its_lines(spark):
+    """Lines of held-out bad documents inside held-out good ones, with a field that never saw a line's label."""
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    rows = sorted(docs.join(labels, "doc_id").where("quality is not null").select("doc_id", "text", "quality").collect())
+    held = [zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in rows]
+    seen = [r for r, h in zip(rows, held) if not h]
+    field = line_crf.train([r["text"].encode() for r in seen], np.array([r["quality"] for r in seen]))
+    good, bad = ([r["text"].encode().split(b"\n") for r, h in zip(rows, held) if h and r["quality"] == q] for q in (1, 0))
+    inside, around = [], []
+    for host, other in zip([g for g in good if len(g) >= 6] * 3, [b for b in bad if len(b) >= 3]):
+        k = len(host) // 2
+        told, _, _ = field.lines([b"\n".join(host[:k] + other[:4] + host[k:])])
+        inside += list(told[k : k + len(other[:4])])
+        around += [*told[:k], *told[k + len(other[:4]) :]]
+    assert len(inside) > 10 and np.mean(np.array(inside) < 0.5) > 0.8 and np.mean(np.array(around) > 0.5) > 0.9
+
+
 def test_document_quality_weighs_lines_by_length():
     field = line_crf.train([b"Good words in a line.\nMore good words here.", b"!!! ###\n%%% $$$ @@@"], np.array([1, 0]), steps=80)
     texts = [b"Good words in a line.\n!!! ###", b""]
     x, doc, size = line_crf.features(texts)
-    good, _, _ = line_crf.marginals(x @ field.weights, doc, field.transition)
+    good, _ = line_crf.marginals(x @ field.weights, doc, field.transition)
     want = (good[0] * size[0] + good[1] * size[1]) / (size[0] + size[1])
     assert field.quality(texts)[0] == pytest.approx(want)
