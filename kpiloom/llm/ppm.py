@@ -25,6 +25,8 @@ ORDER = 3  # bytes of context; a start mark of as many zero bytes precedes each
 SAMPLE_DOCS = 2000  # expected documents per language to fit on, chosen by a hash of the id
 LEAST_COUNT = 8  # a context seen less often has no node of its own
 UNDETERMINED = "und"
+FOREIGN_BITS = 6.0  # bits a byte beyond which a text is in no learned language; learned ones take some two or three
+FOREIGN_SLACK = 64.0
 _PIECE = 1 << 20
 
 
@@ -189,27 +191,33 @@ def _posterior(bits: np.ndarray) -> np.ndarray:
 
 
 def predict(docs: DataFrame, trees: ContextTrees | None, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, the posterior of the language at equal priors.
+    """``docs`` with ``lang_pred``, ``score``, the posterior of the language at equal priors, and ``excess``.
 
+    ``excess`` are the bits by which the language's code of the text is longer than
+    ``FOREIGN_BITS`` a byte and ``FOREIGN_SLACK`` in all would allow; a text in none of the languages exceeds it.
     Null texts and texts without a letter are ``und`` with score 0, as is
     everything when there are no trees.
     """
     held = docs.sparkSession.sparkContext.broadcast(trees and vars(trees))  # plain arrays: workers need no copy of this module
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, excess double")
     def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = ContextTrees(**held.value) if held.value else None
         for texts in batches:
-            out = pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": 0.0})
+            out = pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": 0.0, "excess": 0.0})
             known = [k for k, t in enumerate(texts) if t and any(map(str.isalpha, t))]
             if model is not None and known:
-                share = _posterior(model.bits([normalised(texts.iloc[k]) for k in known]))
+                raws = [normalised(texts.iloc[k]) for k in known]
+                bits = model.bits(raws)
+                share = _posterior(bits)
                 best = share.argmax(axis=1)
+                allowed = FOREIGN_BITS * np.array([len(r) for r in raws]) + FOREIGN_SLACK
+                out.loc[known, "excess"] = bits[np.arange(len(best)), best] - allowed
                 out.loc[known, "lang_pred"] = np.array(model.languages, dtype=object)[best]
                 out.loc[known, "score"] = share[np.arange(len(best)), best]
             yield out
 
-    return docs.withColumn("_guess", guess(F.col(f"`{text}`"))).select(*[F.col(f"`{c}`") for c in docs.columns], "_guess.lang_pred", "_guess.score")
+    return docs.withColumn("_guess", guess(F.col(f"`{text}`"))).select(*[F.col(f"`{c}`") for c in docs.columns], "_guess.lang_pred", "_guess.score", "_guess.excess")
 
 
 def identify(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 4, held_out: int = 2, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
@@ -221,9 +229,15 @@ def identify(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang: s
 
 
 def known_language(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` without the documents whose language cannot be told; columns unchanged."""
+    """``docs`` in one of the learned languages; columns unchanged.
+
+    A document goes if it has no letter, or if even the best language's trees need
+    more than ``FOREIGN_BITS`` bits a byte for it (and ``FOREIGN_SLACK`` bits, so that few unusual bytes
+    decide nothing): it is in none of them.  Null and empty texts go; repeated rows fare alike; without any
+    learned language, and in an empty table, nothing is kept.
+    """
     trees = fit(docs.where(~in_fold(ident, 4, 2)), ident, text, lang)
     names = docs.columns
     inner = docs.toDF(*[f"c{k}" for k in range(len(names))])
-    kept = predict(inner, trees, f"c{names.index(text)}").where(F.col("lang_pred") != UNDETERMINED)
+    kept = predict(inner, trees, f"c{names.index(text)}").where((F.col("lang_pred") != UNDETERMINED) & (F.col("excess") <= 0))
     return kept.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
