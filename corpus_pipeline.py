@@ -14,7 +14,7 @@ from kpiloom.session import cut
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: those with at least one letter."""
+    """Documents in a learned language: their best code is short enough.  Wordless and null texts go, columns of any name stay."""
     return ppm.known_language(docs)
 
 
@@ -58,7 +58,7 @@ def simhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; null and empty texts hold none, repeated rows fare alike."""
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
@@ -77,8 +77,11 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token records at their slots in training order."""
-    return training_order.training_order(docs)
+    """The shards in training order are written; one row per record says where it lies.
+
+    Null and empty texts are one record with the end mark alone, repeated rows repeat their records.
+    """
+    return training_order.training_order(docs).drop("tokens")
 
 
 STAGES = [
