@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.timegrid import grid_us, whole_div
 from kpiloom.models import boosting
-from kpiloom.operators.blocks import with_position
+from kpiloom.operators.blocks import BEFORE_HERE, BLOCK, BLOCK_STEPS, UP_TO_HERE, in_block, over_blocks, with_block, with_position
 from kpiloom.operators.features import forecast_features, lagged_rows
 from kpiloom.operators.joins import values_at
 from kpiloom.operators.select import join_params
@@ -85,52 +85,8 @@ CANDIDATE_ORDERS = [(1, 0, 0), (2, 0, 0), (2, 0, 1), (1, 1, 1), (2, 1, 1)]
 DEFAULT_ORDER = (2, 0, 1)
 
 
-def _regress(y: np.ndarray, columns: list[np.ndarray], constant: bool) -> tuple[np.ndarray, np.ndarray]:
-    design = np.column_stack(([np.ones(len(y))] if constant else []) + columns)
-    beta, *_ = np.linalg.lstsq(design, y, rcond=None)
-    return beta, y - design @ beta
-
-
-def _fit_order(series: np.ndarray, order: tuple[int, int, int]) -> dict | None:
-    """Least squares; moving-average terms use residuals of a longer autoregression."""
-    p, d, q = order
-    y = np.diff(series, d) if d else series
-    long_lag = max(LONG_LAG, p + q) if q else 0
-    start = max(p, q) + long_lag
-    if len(y) < start + p + q + 5:
-        return None
-    errors = np.zeros(len(y))
-    if q:
-        lagged = [y[long_lag - k : len(y) - k] for k in range(1, long_lag + 1)]
-        errors[long_lag:] = _regress(y[long_lag:], lagged, d == 0)[1]
-    lags = [y[start - k : len(y) - k] for k in range(1, p + 1)]
-    lags += [errors[start - k : len(y) - k] for k in range(1, q + 1)]
-    beta, _ = _regress(y[start:], lags, d == 0)
-    return {"beta": beta, "y": y, "order": order} if np.isfinite(beta).all() else None
-
-
-def _project(series: np.ndarray, fitted: dict, steps: int) -> np.ndarray:
-    p, d, q = fitted["order"]
-    beta, past = fitted["beta"], fitted["y"]
-    constant, beta = (beta[0], beta[1:]) if d == 0 else (0.0, beta)
-    phi, theta = beta[:p], beta[p:]
-    errors = [0.0] * q
-    if q:
-        start = max(p, q)
-        # What the autoregressive part leaves, in one pass; the rest is a short recurrence.
-        left = past[start:] - constant - sum(phi[k] * past[start - 1 - k : len(past) - 1 - k] for k in range(p))
-        for value in left.tolist():
-            errors = [value - sum(t * e for t, e in zip(theta, errors)), *errors[: q - 1]]
-    y = past[len(past) - p :].tolist()
-    for _ in range(steps):
-        y.append(constant + sum(phi[k] * y[-1 - k] for k in range(p)) + sum(t * e for t, e in zip(theta, errors)))
-        errors = [0.0, *errors[: q - 1]] if q else errors
-    path = np.array(y[-steps:])
-    return series[-1] + np.cumsum(path) if d else path
-
-
-# An order is chosen from the sums of products of a series' lags: every candidate is a regression among
-# linear combinations of y[t], …, y[t - DEEPEST], so all are fitted on the same points and their criteria compare.
+# Orders are chosen, and models fitted, from sums of products of a series' lags: every candidate is a regression
+# among linear combinations of y[t], …, y[t - DEEPEST], so all are fitted on the same points and their criteria compare.
 LONG_LAG = 10
 DEEPEST = LONG_LAG + 2
 
@@ -158,19 +114,12 @@ def choose_order(moments: np.ndarray) -> tuple[int, int, int]:
     spread = moments[1, 1] / max(n, 1) - (moments[0, 1] / max(n, 1)) ** 2
     if n < 2 * DEEPEST or not np.isfinite(moments).all() or spread <= 0:
         return CANDIDATE_ORDERS[0]
-    constant = np.eye(DEEPEST + 2)[0]
     best = []
-    for p, d, q in CANDIDATE_ORDERS:
-        z = [_lag_vector(k, d) for k in range(LONG_LAG + 2)]
-        level = [] if d else [constant]
-        inputs = [*level, *z[1 : p + 1]]
-        if q:
-            long_beta, _ = _solve(moments, z[0], [*level, *z[1 : LONG_LAG + 1]])
-            ahead = [long_beta @ np.array([*level, *z[k + 1 : k + LONG_LAG + 1]]) for k in range(1, q + 1)]
-            inputs += [z[k] - a for k, a in zip(range(1, q + 1), ahead)]
-        beta, rss = _solve(moments, z[0], inputs)
-        aic = n * np.log(max(rss / n / spread, 1e-12)) + 2 * (len(beta) + 1)
-        best.append((aic, len(best), (p, d, q)))
+    for order in CANDIDATE_ORDERS:
+        beta, target, inputs, _ = _regression(moments, order)
+        rest = target - beta @ inputs
+        aic = n * np.log(max(float(rest @ moments @ rest) / n / spread, 1e-12)) + 2 * (len(beta) + 1)
+        best.append((aic, len(best), order))
     return min(best)[2]
 
 
@@ -181,14 +130,87 @@ def series_moments(series: np.ndarray) -> np.ndarray:
     return design.T @ design
 
 
-def project(series: np.ndarray, order: tuple[int, int, int], steps: int) -> np.ndarray:
-    """Forecast path; the last value where the fit fails or runs away."""
-    fitted = _fit_order(series, order)
+def _regression(moments: np.ndarray, order: tuple[int, int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Coefficients of an order, the target and the inputs as combinations of lags, and the errors at t, t - 1, …
+
+    Errors, for moving-average terms, are what a regression on ``LONG_LAG`` lags leaves.
+    """
+    p, d, q = order
+    z = [_lag_vector(k, d) for k in range(LONG_LAG + 2)]
+    level = [] if d else [np.eye(DEEPEST + 2)[0]]
+    inputs, errors = [*level, *z[1 : p + 1]], []
+    if q:
+        long_beta, _ = _solve(moments, z[0], [*level, *z[1 : LONG_LAG + 1]])
+        errors = [z[k] - long_beta @ np.array([*level, *z[k + 1 : k + LONG_LAG + 1]]) for k in range(q + 1)]
+        inputs += errors[1:]
+    beta, _ = _solve(moments, z[0], inputs)
+    return beta, z[0], np.array(inputs), errors
+
+
+def project_from(moments: np.ndarray, last: np.ndarray, order: tuple[int, int, int], steps: int) -> np.ndarray:
+    """Forecast path from sums of lag products and the last ``DEEPEST + 1`` values, the newest first.
+
+    Where there are too few points, or the path runs away, the last value stays.
+    """
+    p, d, q = order
+    stay = np.full(steps, last[0])
+    if not np.isfinite(last).all() or moments[0, 0] < p + q + 5 + (LONG_LAG if q else 0) or not np.isfinite(moments).all():
+        return stay
     with np.errstate(all="ignore"):
-        path = _project(series, fitted, steps) if fitted else None
-    if path is None or not np.isfinite(path).all():
+        beta, _, _, errors = _regression(moments, order)
+        seen = np.concatenate([[1.0], last])
+        past = list((last[:-1] - last[1:] if d else last)[:p])
+        constant, beta = (0.0, beta) if d else (beta[0], beta[1:])
+        left = [e @ seen for e in errors[:q]]
+        path = []
+        for _ in range(steps):
+            value = constant + sum(b * y for b, y in zip(beta, past)) + sum(t * e for t, e in zip(beta[p:], left))
+            path.append(value)
+            past, left = [value, *past[: p - 1]], [0.0, *left[: q - 1]] if q else left
+        path = last[0] + np.cumsum(path) if d else np.array(path)
+    return path if np.isfinite(path).all() else stay
+
+
+def project(series: np.ndarray, order: tuple[int, int, int], steps: int) -> np.ndarray:
+    """Forecast path of one series held in memory."""
+    if len(series) <= DEEPEST:
         return np.full(steps, series[-1])
-    return path
+    mean = series.mean()
+    return mean + project_from(series_moments(series), (series - mean)[::-1][: DEEPEST + 1], order, steps)
+
+
+def _series(history: DataFrame, grid: str) -> tuple[DataFrame, DataFrame]:
+    """One series per cell and KPI, nulls left out, centred and with ``DEEPEST`` lags; and its mean.
+
+    A series takes the place of a cell, so that positions and blocks are its own.
+    """
+    long = history.select("cell_id", "ts", F.explode(F.array(*[F.struct(F.lit(k).alias("kpi"), F.col(k).alias("y")) for k in KPIS])).alias("v"))
+    long = long.where("v.y IS NOT NULL").select(_series_name(F.col("cell_id"), F.col("v.kpi")).alias("cell_id"), "ts", F.col("v.y").alias("y"))
+    centre = long.groupBy("cell_id").agg(F.avg("y").alias("_mean"))
+    centred = join_params(long, centre).select("cell_id", "ts", (F.col("y") - F.col("_mean")).alias("y"))
+    return lagged_rows(centred, grid, DEEPEST), centre
+
+
+def _series_name(cell: Column, kpi: Column) -> Column:
+    return F.to_json(F.struct(cell.alias("cell_id"), kpi.alias("kpi")))
+
+
+def _named(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.withColumn("_k", F.from_json("cell_id", "cell_id string, kpi string")).select("_k.cell_id", "_k.kpi", *columns)
+
+
+def _products() -> list[Column]:
+    """The products whose sums are the moments: upper triangle of [1, y, y_1, …] times itself."""
+    terms = [F.lit(1.0), F.col("y"), *[F.col(f"y_{k}") for k in range(1, DEEPEST + 1)]]
+    return [terms[i] * terms[j] for i in range(len(terms)) for j in range(i, len(terms))]
+
+
+def _square(row) -> np.ndarray:
+    moments = np.zeros((DEEPEST + 2, DEEPEST + 2))
+    at = np.triu_indices(DEEPEST + 2)
+    moments[at] = row
+    moments.T[at] = row
+    return moments
 
 
 def lag_moments(history: DataFrame, grid: str) -> DataFrame:
@@ -197,27 +219,70 @@ def lag_moments(history: DataFrame, grid: str) -> DataFrame:
     One row per series leaves the aggregation, whatever its length; blocks are
     combined before the shuffle.
     """
-    long = history.select("cell_id", "ts", F.explode(F.array(*[F.struct(F.lit(k).alias("kpi"), F.col(k).alias("y")) for k in KPIS])).alias("v"))
-    long = long.select(F.to_json(F.struct("cell_id", "v.kpi")).alias("series"), "cell_id", "ts", "v.kpi", "v.y").where("y IS NOT NULL")
-    centre = long.groupBy("series").agg(F.avg("y").alias("_mean"))
-    # A series of one KPI takes the place of a cell, so that positions and blocks are its own.
-    keyed = long.select(F.col("series").alias("cell_id"), "ts", "y")
-    centred = join_params(keyed, centre.withColumnRenamed("series", "cell_id")).select("cell_id", "ts", (F.col("y") - F.col("_mean")).alias("y"))
-    lagged = lagged_rows(centred, grid, DEEPEST)
-    terms = [F.lit(1.0), F.col("y"), *[F.col(f"y_{k}") for k in range(1, DEEPEST + 1)]]
-    pairs = [(i, j) for i in range(len(terms)) for j in range(i, len(terms))]
+    lagged, _ = _series(history, grid)
     whole = lagged.where(F.col(f"y_{DEEPEST}").isNotNull())
-    sums = whole.groupBy("cell_id").agg(F.array(*[F.sum(terms[i] * terms[j]) for i, j in pairs]).alias("moments"))
-    named = F.from_json("cell_id", "cell_id string, kpi string")
-    return sums.select(named.alias("k"), "moments").select("k.cell_id", "k.kpi", "moments")
+    sums = whole.groupBy("cell_id").agg(F.array(*[F.sum(p) for p in _products()]).alias("moments"))
+    return _named(sums, "moments")
+
+
+def rolling_moments(history: DataFrame, origins: DataFrame, grid: str, context: int) -> DataFrame:
+    """``cell_id, kpi, ts, points, mean, last, moments`` of the last ``context`` points up to each origin.
+
+    Rows are summed once, between the positions at which some origin's context
+    begins or ends.  Running sums over these few rows then give every origin's
+    moments as a difference of two, however many contexts a row belongs to.
+    """
+    lagged, centre = _series(history, grid)
+    lagged = cut(lagged)
+    placed = cut(with_position(lagged, grid))
+
+    # The last point up to each origin: by window within a block, from earlier blocks by one row per block.
+    wanted = origins.select(F.explode(F.array(*[_series_name(F.col("cell_id"), F.lit(k)) for k in KPIS])).alias("cell_id"), "ts").distinct()
+    both = placed.select("cell_id", "ts", "_pos").withColumn("_asked", F.lit(False)).unionByName(
+        wanted.withColumn("_pos", F.lit(None).cast("long")).withColumn("_asked", F.lit(True))
+    )
+    blocked = with_block(both, grid)
+    carry = blocked.groupBy(*BLOCK).agg(F.max("_pos").alias("_most"))
+    carry = carry.select(*BLOCK, F.max("_most").over(over_blocks().rowsBetween(*BEFORE_HERE)).alias("_far"))
+    near = F.max("_pos").over(in_block().rangeBetween(Window.unboundedPreceding, 0))
+    found = blocked.withColumn("_near", near).where("_asked").join(carry, BLOCK)
+    asked = cut(found.select("cell_id", "ts", F.greatest("_near", "_far").alias("_hi")).where("_hi IS NOT NULL").withColumn("_lo", F.col("_hi") - (context - DEEPEST)))
+
+    # Every row belongs to the next position where a context begins or ends.
+    edges = asked.select("cell_id", F.explode(F.array("_hi", "_lo")).alias("_pos")).where("_pos >= 0").distinct()
+    terms = ["y", *[f"y_{k}" for k in range(1, DEEPEST + 1)]]
+    rows = placed.where(F.col(f"y_{DEEPEST}").isNotNull()).select("cell_id", "_pos", *terms)
+    empty = [F.lit(None).cast("double").alias(c) for c in terms]
+    marked = rows.withColumn("_edge", F.lit(None).cast("long")).unionByName(edges.select("cell_id", "_pos", *empty, F.col("_pos").alias("_edge")))
+    marked = marked.withColumn("_block", whole_div(F.col("_pos"), BLOCK_STEPS))
+    later = marked.groupBy(*BLOCK).agg(F.min("_edge").alias("_least"))
+    later = later.select(*BLOCK, F.min("_least").over(over_blocks(descending=True).rowsBetween(*BEFORE_HERE)).alias("_after"))
+    ahead = F.min("_edge").over(in_block("_pos").rangeBetween(0, Window.unboundedFollowing))
+    owned = marked.withColumn("_ahead", ahead).join(later, BLOCK).withColumn("_until", F.coalesce("_ahead", "_after")).where("_until IS NOT NULL")
+    n = (DEEPEST + 2) * (DEEPEST + 3) // 2
+    parts = owned.groupBy("cell_id", F.col("_until").alias("_pos")).agg(*[F.coalesce(F.sum(p * 1.0 if i else F.when(F.col("y").isNotNull(), 1.0)), F.lit(0.0)).alias(f"m{i}") for i, p in enumerate(_products())])
+    parts = cut(parts.withColumn("_block", whole_div(F.col("_pos"), BLOCK_STEPS)))
+    per = parts.groupBy(*BLOCK).agg(*[F.sum(f"m{i}").alias(f"b{i}") for i in range(n)])
+    before = over_blocks().rowsBetween(*BEFORE_HERE)
+    per = per.select(*BLOCK, *[F.coalesce(F.sum(f"b{i}").over(before), F.lit(0.0)).alias(f"b{i}") for i in range(n)])
+    here = in_block("_pos").rowsBetween(*UP_TO_HERE)
+    sums = parts.join(per, BLOCK).select("cell_id", "_pos", F.array(*[F.col(f"b{i}") + F.sum(f"m{i}").over(here) for i in range(n)]).alias("sums"))
+    sums = cut(sums)
+
+    up_to = sums.select("cell_id", F.col("_pos").alias("_hi"), F.col("sums").alias("_upto"))
+    from_ = sums.select("cell_id", F.col("_pos").alias("_lo"), F.col("sums").alias("_from"))
+    newest = placed.select("cell_id", F.col("_pos").alias("_hi"), F.array(*terms).alias("last"))
+    out = asked.join(up_to, ["cell_id", "_hi"]).join(from_, ["cell_id", "_lo"], "left").join(newest, ["cell_id", "_hi"])
+    moments = F.when(F.col("_from").isNull(), F.col("_upto")).otherwise(F.zip_with("_upto", "_from", lambda a, b: a - b))
+    out = join_params(out, centre).withColumn("points", F.least(F.col("_hi") + 1, F.lit(context))).withColumn("moments", moments)
+    return _named(out, "ts", "points", F.col("_mean").alias("mean"), "last", "moments")
 
 
 class AutoRegression(Forecaster):
     """ARIMA orders by AIC per cell and KPI from all training rows; forecasts from every row given.
 
-    Choose the rows with ``evaluation_origins``: an origin costs a fit on its
-    last ``context`` rows, which is the model's memory and the largest group
-    that reaches Python.
+    An origin is fitted on its last ``context`` points, which is the model's
+    memory, by sums that all origins share: nothing is copied per origin.
     """
 
     name = "arima"
@@ -243,13 +308,7 @@ class AutoRegression(Forecaster):
 
         @F.pandas_udf("struct<p:int,d:int,q:int>")
         def order(sums: pd.Series) -> pd.DataFrame:
-            found = []
-            for row in sums:
-                moments = np.zeros((DEEPEST + 2, DEEPEST + 2))
-                at = np.triu_indices(DEEPEST + 2)
-                moments[at] = row
-                moments.T[at] = row
-                found.append(choose_order(moments))
+            found = [choose_order(_square(row)) for row in sums]
             return pd.DataFrame(found, columns=["p", "d", "q"])
 
         self.orders = cut(lag_moments(known, self.grid).select("cell_id", "kpi", order("moments").alias("o")).select("cell_id", "kpi", "o.*"))
@@ -278,33 +337,25 @@ class AutoRegression(Forecaster):
 
     def forecasts(self, df: DataFrame) -> DataFrame:
         """Long forecasts ``cell_id, ts, kpi, horizon_min, y_hat`` from every row of ``df``."""
-        by_cell = self.orders.groupBy("cell_id").agg(
-            F.map_from_entries(F.collect_list(F.struct("kpi", F.array("p", "d", "q")))).alias("orders")
-        )
-        chosen = by_cell.select(
-            "cell_id", *[F.try_element_at("orders", F.lit(k)).alias(f"order_{k}") for k in KPIS]
-        )
-        origins = df.select(*KEY).join(chosen, "cell_id", "left")
-        kept = origins.withColumnRenamed("ts", "origin")
-        grouped = self.contexts(origins).join(kept, ["cell_id", "origin"])
+        sums = rolling_moments(self.history.select("cell_id", "ts", *KPIS), df.select(*KEY), self.grid, self.context)
         horizons, least, longest = self.horizons, self.least, max(self.horizons)
-
-        def from_origin(pdf: pd.DataFrame) -> pd.DataFrame:
-            rows = pdf.sort_values("_pos")
-            found = []
-            for k in KPIS:
-                order = rows[f"order_{k}"].iloc[0]
-                order = tuple(int(v) for v in order) if order is not None else DEFAULT_ORDER
-                series = rows[k].dropna().to_numpy(dtype=float)
-                path = project(series, order, longest) if len(series) >= least else None
-                for h in horizons:
-                    value = float(path[h - 1]) if path is not None else None
-                    found.append((rows["cell_id"].iloc[0], rows["origin"].iloc[0], k, h, value))
-            return pd.DataFrame(found, columns=["cell_id", "ts", "kpi", "horizon_min", "y_hat"])
-
-        return grouped.groupBy("cell_id", "origin").applyInPandas(
-            from_origin, "cell_id string, ts timestamp, kpi string, horizon_min int, y_hat double"
-        )
+        chosen = self.orders.select("cell_id", "kpi", F.array("p", "d", "q").alias("order"))
+        salted = sums.join(chosen, ["cell_id", "kpi"], "left")
+
+        @F.pandas_udf("array<double>")
+        def ahead(points: pd.Series, mean: pd.Series, last: pd.Series, moments: pd.Series, order: pd.Series) -> pd.Series:
+            out = []
+            for n, centre, values, sums, o in zip(points, mean, last, moments, order):
+                if n < least:
+                    out.append([None] * len(horizons))
+                    continue
+                path = project_from(_square(sums), np.array(values, dtype=float), DEFAULT_ORDER if o is None else tuple(int(v) for v in o), longest)
+                out.append([float(centre + path[h - 1]) for h in horizons])
+            return pd.Series(out, dtype=object)
+
+        told = salted.withColumn("_told", ahead("points", "mean", "last", "moments", "order"))
+        at = F.array(*[F.struct(F.lit(h).alias("horizon_min"), F.get("_told", F.lit(i)).alias("y_hat")) for i, h in enumerate(horizons)])
+        return told.select("cell_id", "ts", "kpi", F.explode(at).alias("f")).select("cell_id", "ts", "kpi", "f.*")
 
     def prepare(self, df: DataFrame) -> DataFrame:
         wide = self.forecasts(df).groupBy(*KEY).agg(

@@ -681,6 +681,20 @@ add("state_accuracy_by_model", f"{T}, {MODEL_PAIRS} SELECT model, horizon_min, r
 add("state_confusion_by_model", f"{T}, {MODEL_PAIRS} SELECT m AS model, h AS horizon_min, {label_of('a')} AS actual, {label_of('b')} AS predicted, count(pairs.actual) AS n FROM "
     "(SELECT * FROM (VALUES ('persistance'), ('moyenne_mobile_15m'), ('naif_saisonnier_24h')) w(m), (VALUES (5), (15), (30)) x(h), (VALUES (0), (1), (2)) y(a), (VALUES (0), (1), (2)) z(b)) g "
     "LEFT JOIN pairs ON model = m AND horizon_min = h AND pairs.actual = a AND pairs.predicted = b GROUP BY m, h, a, b", "model:s horizon_min:l actual:s predicted:s n:l")
+_paths = " UNION ALL ".join(
+    f"SELECT cell_id, ts, kpi, {h} AS horizon_min, CASE WHEN pos + 1 >= 60 THEN coalesce(icept * "
+    + "(" + " + ".join(f"power(slope, {i})" for i in range(h)) + f") + power(slope, {h}) * y, y) + centre END AS y_hat FROM fits"
+    for h in HORIZONS
+)
+add("ar1_forecast", f"{T}, long AS (" + " UNION ALL ".join(f"SELECT cell_id, ts, '{k}' AS kpi, {k} AS raw FROM clean WHERE {k} IS NOT NULL" for k in KPIS) + "), "
+    "centred AS (SELECT cell_id, kpi, ts, avg(raw) OVER s AS centre, raw - avg(raw) OVER s AS y, row_number() OVER (s ORDER BY ts) - 1 AS pos, "
+    "lag(raw) OVER (s ORDER BY ts) - avg(raw) OVER s AS y1 FROM long WINDOW s AS (PARTITION BY cell_id, kpi)), "
+    "usable AS (SELECT *, CASE WHEN pos >= 12 THEN y1 END AS x FROM centred), "
+    "fitted AS (SELECT *, regr_slope(y, x) OVER w AS slope, regr_intercept(y, x) OVER w AS icept FROM usable "
+    "WINDOW w AS (PARTITION BY cell_id, kpi ORDER BY ts ROWS BETWEEN 1427 PRECEDING AND CURRENT ROW)), "
+    "fits AS (SELECT o.cell_id, o.ts, f.kpi, f.pos, f.slope, f.icept, f.y, f.centre FROM (SELECT cell_id, ts FROM supervised WHERE segment = 'test') o "
+    "JOIN fitted f ON f.cell_id = o.cell_id AND f.ts <= o.ts QUALIFY row_number() OVER (PARTITION BY o.cell_id, o.ts, f.kpi ORDER BY f.ts DESC) = 1) "
+    f"{_paths}", "cell_id:s ts:t kpi:s horizon_min:l y_hat:d")
 add("gbt_retained", f"SELECT kpi, horizon_min, 2 AS candidats, 1 AS retenus, true AS meilleur FROM (VALUES {', '.join(f"('{k}')" for k in KPIS)}) q(kpi), "
     "(VALUES (5), (15), (30)) h(horizon_min)", "kpi:s horizon_min:l candidats:l retenus:l meilleur:b")
 add("gbt_start", f"{T}, tr AS (SELECT * FROM supervised WHERE segment = 'train') " + " UNION ALL ".join(

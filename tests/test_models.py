@@ -204,6 +204,60 @@ def test_orders_use_all_rows_of_a_series(spark, series):
     assert model.orders.count() == 2 * len(fc.KPIS)
 
 
+def plain_forecast(series, order, steps):
+    """The rule of the fit written with matrices: rows with ``DEEPEST`` earlier points, errors of a longer regression."""
+    p, d, q = order
+    deep, long = fc.DEEPEST, fc.LONG_LAG
+    z = np.concatenate([[np.nan], np.diff(series)]) if d else series
+    t = np.arange(deep, len(series))
+    ones = [] if d else [np.ones(len(t))]
+    lag = lambda v, k: v[t - k]
+    inputs = [*ones, *[lag(z, k) for k in range(1, p + 1)]]
+    if q:
+        b = np.linalg.lstsq(np.column_stack([*ones, *[lag(z, k) for k in range(1, long + 1)]]), lag(z, 0), rcond=None)[0]
+        error = lambda at: z[at] - np.dot(b, [*([] if d else [1.0]), *[z[at - k] for k in range(1, long + 1)]])
+        inputs.append(np.array([error(i - 1) for i in t]))
+    beta = np.linalg.lstsq(np.column_stack(inputs), lag(z, 0), rcond=None)[0]
+    past, e, path = list(z[::-1][:p]), error(len(z) - 1) if q else 0.0, []
+    for _ in range(steps):
+        x = [*([] if d else [1.0]), *past, *([e] if q else [])]
+        path.append(float(np.dot(beta, x)))
+        past, e = [path[-1], *past[: p - 1]], 0.0
+    return series[-1] + np.cumsum(path) if d else np.array(path)
+
+
+@pytest.mark.parametrize("order", fc.CANDIDATE_ORDERS)
+def test_a_fit_from_moments_equals_one_from_rows(order):
+    rng = np.random.default_rng(4)
+    y = [50.0, 51.0]
+    for _ in range(200):
+        y.append(20 + 0.9 * y[-1] - 0.3 * y[-2] + rng.normal())
+    np.testing.assert_allclose(fc.project(np.array(y), order, 30), plain_forecast(np.array(y), order, 30), rtol=1e-6)
+
+
+def test_rolling_sums_equal_a_fit_per_origin(spark, series, monkeypatch):
+    """Every row an origin, contexts that overlap, nulls in one KPI, a hole, and blocks shorter than a context."""
+    monkeypatch.setattr(fc, "BLOCK_STEPS", 64)
+    rng = np.random.default_rng(5)
+    walk = np.cumsum(rng.normal(size=260)).tolist()
+    history = series({"a": walk, "b": rng.normal(size=70).tolist()}, skip=range(100, 130))
+    history = history.withColumn("jitter", F.when(F.minute("ts") % 7 != 3, F.col("jitter")))
+    model = fc.AutoRegression(history, "1 minute", horizons=[1, 5], context=80, least=30).fit(history)
+    got = {(r["cell_id"], r["ts"], r["kpi"], r["horizon_min"]): r["y_hat"] for r in model.forecasts(history).collect()}
+    orders = {(r["cell_id"], r["kpi"]): (r["p"], r["d"], r["q"]) for r in model.orders.collect()}
+    full = history.toPandas().sort_values("ts")
+    for cell in "ab":
+        mine = full[full["cell_id"] == cell]
+        for kpi in ("latency", "jitter"):
+            for at in range(5, len(mine), 11):
+                known = mine.iloc[: at + 1][kpi].dropna().to_numpy()[-80:]
+                value = got[cell, mine["ts"].iloc[at], kpi, 5]
+                if len(known) < 30:
+                    assert value is None
+                else:
+                    assert value == pytest.approx(fc.project(known, orders[cell, kpi], 5)[-1], rel=1e-6, abs=1e-6)
+
+
 def test_contexts_are_the_last_rows(spark, series):
     history = series({"a": range(500), "b": range(80)}, skip=range(100, 130))
     model = fc.AutoRegression(history, "1 minute", context=60)
