@@ -7,11 +7,11 @@ Feistel network on the smallest even-width domain that holds N, walked along
 its cycle until it falls below N.  P is a bijection of 0..N-1 that needs no
 table and no shuffle of numbers; the same key gives the same order.
 
-Records move once, to partitions with exact bounds: a partition holds whole
-shards, a shard the slots from ``shard * per_shard`` on, in order.  They are
-stored as one folder per shard, every record of ``stride`` bytes, so a reader resumes at any slot
-of any shard; ``write_shards`` copies them to flat files, where slot s
-begins at byte ``(s % per_shard) * stride``.
+The result's partitions have exact bounds: a partition holds whole shards, a
+shard the slots from ``shard * per_shard`` on, in order, every record of
+``stride`` bytes.  Writing the result writes the shards, one file each, so nothing is stored
+twice; with ``path`` the operator writes them itself.  ``write_shards`` makes
+flat files, where slot s begins at byte ``(s % per_shard) * stride``.
 """
 
 from __future__ import annotations
@@ -24,12 +24,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import tiktoken
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.llm.common import with_text
-from kpiloom.session import cut, new_path
+from kpiloom.session import cut
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256  # free id of that vocabulary: marks the end of a document and pads its last record
@@ -73,24 +74,45 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
-def sequences(docs: DataFrame, ident: str, text: str, tokenizer: str, end: int, length: int) -> DataFrame:
-    """One row per sequence: document, hash of its text, row (a number of its own), part, number of parts and tokens."""
+def _ranges(docs: DataFrame, ident: str) -> tuple[np.ndarray, int]:
+    """Ascending ids between which documents are dealt, and the number of ranges; a frequent id may bound several."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    probs = F.array(*[F.lit(k / n) for k in range(1, n)]) if n > 1 else F.array(F.lit(0.5))
+    found = docs.agg(F.percentile_approx(F.col(f"`{ident}`").cast("long"), probs, F.lit(max(10_000, 10 * n)))).first()[0]
+    return np.array(found if n > 1 and found else [], np.int64), n
+
+
+def sequences(docs: DataFrame, ident: str, text: str, tokenizer: str, end: int, length: int) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """One row per sequence, written in the order of document id (null last), text and part; and the rows of each range.
+
+    Columns: document, part, tokens (compressed), range and place in it.  An id
+    that fills several ranges is dealt over them by its texts' hashes, as are null ids, so order
+    and balance both hold.
+    """
     ranks = load_ranks(tokenizer)
     code = "H" if max(end, max(ranks.values())) < 1 << 16 else "I"
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     width = array.array(code).itemsize
     mark = array.array(code, [end]).tobytes()
+    bounds, n = _ranges(docs, ident)
 
     def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(shared.value, PATTERN, code)
+        packer = zstandard.ZstdCompressor(level=1)
         row, rows, size = TaskContext.get().partitionId() << 33, [], 0
         for batch in batches:
-            for doc, key, body in zip(batch["doc"], batch["key"], batch["text"]):
+            ids = batch["doc"].to_numpy(dtype=object, na_value=None)
+            share = ((batch["key"].to_numpy(np.int64) >> 11) + (1 << 52)) / float(1 << 53)
+            for doc, key, along, body in zip(ids, batch["key"], share, batch["text"]):
+                if doc is None:
+                    at = n + int(along * n)
+                else:
+                    low, high = (int(np.searchsorted(bounds, doc, side)) for side in ("left", "right"))
+                    at = low + int(along * (high - low + 1)) if high > low else low
                 data = (encoder.encode(body) if body else b"") + mark
-                parts = -(-len(data) // (length * width))
-                for k in range(parts):
+                for k in range(-(-len(data) // (length * width))):
                     piece = data[k * length * width : (k + 1) * length * width]
-                    rows.append((doc, key, row, k, parts, len(piece) // width, piece))
+                    rows.append((doc, key, row, k, at, len(piece) // width, packer.compress(piece)))
                 row += 1
                 size += len(data)
                 if size > 8 << 20:
@@ -100,34 +122,21 @@ def sequences(docs: DataFrame, ident: str, text: str, tokenizer: str, end: int,
             yield _rows(rows)
 
     rows = with_text(docs, ident, text).select(F.col(ident).cast("long").alias("doc"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
-    schema = "doc long, key long, row long, part int, parts int, n_tokens int, tokens binary"
-    path = new_path(docs.sparkSession, "sequences")
-    rows.mapInPandas(cut_up, schema).write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(schema).parquet(path)
+    schema = "doc long, key long, row long, part int, at int, n_tokens int, tokens binary"
+    dealt = rows.mapInPandas(cut_up, schema).repartitionById(2 * n, "at")
+    ordered = dealt.sortWithinPartitions(F.col("doc").asc_nulls_last(), "key", "row", "part")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    table = cut(ordered.select("doc", "part", "n_tokens", "tokens", "at", place.alias("place")))
+    per = table.groupBy("at").agg(F.count("*").alias("n")).collect()  # one row per range
+    return table, sorted((r["at"], r["n"]) for r in per)
 
 
 def _rows(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["doc", "key", "row", "part", "parts", "n_tokens", "tokens"])
-    out["doc"] = pd.array([None if pd.isna(x) else x for x in out["doc"]], dtype="Int64")
+    out = pd.DataFrame(rows, columns=["doc", "key", "row", "part", "at", "n_tokens", "tokens"])
+    out["doc"] = pd.array(out["doc"].tolist(), dtype="Int64") if out["doc"].notna().any() else pd.array([None] * len(out), dtype="Int64")
     return out
 
 
-def numbered(table: DataFrame) -> tuple[DataFrame, int]:
-    """``row, first``: the number of each document's first sequence, by id (null last), text and row; and how many there are.
-
-    Ranges of documents are sorted; one row per range tells what came before.
-    """
-    parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("doc").asc_nulls_last(), F.col("key"), F.col("row")]
-    heads = table.where("part = 0").select("doc", "key", "row", "parts").repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    heads = cut(heads.select("row", "parts", F.spark_partition_id().alias("pid"), F.monotonically_increasing_id().alias("nth")))
-    per = sorted((r["pid"], r["n"]) for r in heads.groupBy("pid").agg(F.sum("parts").alias("n")).collect())  # one row per range
-    ahead = np.cumsum([0, *[n for _, n in per]])
-    offsets = table.sparkSession.createDataFrame([(p, int(a)) for (p, _), a in zip(per, ahead)], "pid int, ahead long")
-    before = F.coalesce(F.sum("parts").over(Window.partitionBy("pid").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return cut(heads.withColumn("before", before).join(F.broadcast(offsets), "pid").select("row", (F.col("ahead") + F.col("before")).alias("first"))), int(ahead[-1])
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -164,38 +173,46 @@ def training_order(
     key: int = 20240,
     path: str | None = None,
 ) -> DataFrame:
-    """One record per sequence, read from the shards written to ``path`` (in the shared folder if not given).
+    """One record per sequence; a partition holds whole shards, ordered by slot.
 
     Columns: ``slot``, ``shard``, ``shard_byte`` (offset of the record in its shard), ``ident``,
     ``part`` (number of the sequence in its document), ``n_tokens``, ``tokens``
     (``length`` little-endian ids, padded with ``end``).  Every document ends
     with ``end``; null and empty texts consist of it alone.  Repeated rows
     repeat their sequences; null ids come last in the numbering.  The order depends on the rows and the key alone.
-    Other columns are not read.  An empty table gives no record.
+    Other columns are not read.  An empty table gives no record.  With ``path`` the
+    shards are written there, one folder per shard, and read back.
     """
-    table = sequences(docs, ident, text, tokenizer, end, length)
-    first, total = numbered(table)
+    table, per = sequences(docs, ident, text, tokenizer, end, length)
+    total = sum(n for _, n in per)
+    ahead = np.cumsum([0, *[n for _, n in per]])
+    offsets = docs.sparkSession.createDataFrame([(at, int(a)) for (at, _), a in zip(per, ahead)], "at int, ahead long")
     shards = max(1, -(-total // per_shard))
     each = -(-shards // MOST_PARTITIONS)  # shards of a partition
+    unit = 2 if max(end, 0) < 1 << 16 else 4
+    stride = length * unit
+    fill = end.to_bytes(unit, "little") * length
 
     @F.pandas_udf("long")
     def slot_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for index in batches:
             yield pd.Series(permute(index.to_numpy(), total, key))
 
-    unit = 2 if max(end, 0) < 1 << 16 else 4
-    fill = F.lit(bytearray(end.to_bytes(unit, "little") * length))
-    stride = length * unit
-    placed = table.join(first, "row").withColumn("slot", slot_of(F.col("first") + F.col("part")))
+    @F.pandas_udf("binary")
+    def unpacked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        opener = zstandard.ZstdDecompressor()
+        for batch in batches:
+            yield pd.Series([(opener.decompress(x) + fill)[:stride] for x in batch], dtype=object)
+
+    placed = table.join(F.broadcast(offsets), "at").withColumn("slot", slot_of(F.col("ahead") + F.col("place")))
     placed = placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("long"))
     # The partition is the shard itself, not a sampled range.
     dealt = placed.select("slot", "shard", "doc", "part", "n_tokens", "tokens").repartitionById(-(-shards // each), F.floor(F.col("shard") / each).cast("int"))
-    padded = F.substring(F.concat("tokens", fill), 1, stride)
-    stored = dealt.sortWithinPartitions("shard", "slot").select("slot", "doc", "part", "n_tokens", padded.alias("tokens"), "shard")
-    path = path or new_path(docs.sparkSession, "shards")
-    stored.write.option("compression", "zstd").partitionBy("shard").parquet(path)
-    written = docs.sparkSession.read.schema(stored.schema).parquet(path)
-    return written.select(
+    records = dealt.sortWithinPartitions("shard", "slot").select("slot", "doc", "part", "n_tokens", unpacked("tokens").alias("tokens"), "shard")
+    if path is not None:
+        records.write.partitionBy("shard").parquet(path)
+        records = docs.sparkSession.read.schema(records.schema).parquet(path)
+    return records.select(
         "slot",
         "shard",
         ((F.col("slot") - F.col("shard") * per_shard) * stride).cast("long").alias("shard_byte"),

@@ -340,6 +340,20 @@ def test_slots_do_not_depend_on_splits_and_shards_have_exact_bounds(spark, docs_
             first = int(folder.name.split("=")[1]) * 32
             assert len(files) == 1 and slots == list(range(first, first + len(slots)))
     assert found[0] == found[1] and [f[0] for f in found[0]] == list(range(len(found[0])))
+    # The partitions of the result are the shards.
+    from pyspark.sql import functions as F
+
+    records = training_order.training_order(docs_of(rows), length=16, per_shard=32)
+    parts = records.withColumn("pid", F.spark_partition_id()).groupBy("pid").agg(F.min("shard").alias("a"), F.max("shard").alias("b")).collect()
+    assert all(r["pid"] == r["a"] == r["b"] for r in parts)
+
+
+def test_an_id_that_many_rows_share_is_dealt_in_order(spark, docs_of):
+    rows = [(5, f"text {k}", "a", "en") for k in range(300)] + [(None, f"lost {k}", "a", "en") for k in range(200)] + [(k, f"t {k}", "a", "en") for k in range(60)]
+    table, per = training_order.sequences(docs_of(rows).repartition(5), "doc_id", "text", training_order.TOKENIZER, training_order.END, 8)
+    assert max(n for _, n in per) < 330 and len(per) > 4
+    order = [r["doc"] for r in table.orderBy("at", "place").collect()]
+    assert order == sorted(order, key=lambda d: (d is None, d or 0))
 
 
 def test_pipeline_equals_brute_force(spark):
