@@ -77,11 +77,11 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shards in training order are written; one row per record says where it lies.
+    """Token records in training order, a shard to a partition.
 
     Null and empty texts are one record with the end mark alone, repeated rows repeat their records.
     """
-    return training_order.training_order(docs).drop("tokens")
+    return training_order.training_order(docs)
 
 
 STAGES = [
