@@ -36,6 +36,7 @@ from kpiloom.schema import CLEAN, FEATURES, HORIZONS, KPIS, RAW, target_name
 from kpiloom.session import cut, new_path
 from kpiloom.sources import files, tables
 from kpiloom.sources.events import load_raw, with_late_copies
+from kpiloom.sources.snapshots import SnapshotTable
 from kpiloom.streaming import live
 
 GRID = "1 hour"
@@ -196,6 +197,29 @@ def table_upsert(spark, sf_dir):
     return tables.scan(spark, path, RAW)
 
 
+@query
+def snapshot_upsert(spark, sf_dir):
+    """The same rows through versions of a snapshot table, compacted and merged on read."""
+    raw = load_raw(spark, sf_dir)
+    table = SnapshotTable(spark, new_path(spark, "snapshots"), RAW)
+    table.commit(raw)
+    newer = with_late_copies(raw).where((F.col("ingested_at") > F.col("ts")) & (F.col("source") == "stream"))
+    table.commit(newer.where("cell_id < 'cell_003'"))
+    table.compact()
+    table.commit(newer)
+    return table.read()
+
+
+@query
+def snapshot_version(spark, sf_dir):
+    """An earlier version stays readable, one day of it opened."""
+    raw = load_raw(spark, sf_dir)
+    table = SnapshotTable(spark, new_path(spark, "snapshots"), RAW)
+    version = table.commit(raw)
+    table.commit(with_late_copies(raw).where(F.col("ingested_at") > F.col("ts")))
+    return table.read(version, start="2024-01-05 00:00:00", end="2024-01-05 23:59:59.999999")
+
+
 @query
 def store_features(spark, sf_dir):
     store = tables.Store(spark, new_path(spark, "store"), load_raw(spark, sf_dir), "auto", GRID)
@@ -1036,10 +1060,16 @@ def _landing(spark, sf_dir, parts: int = 3) -> str:
             part = part.where(F.col("ts") >= F.lit(low).cast("timestamp"))
         if high:
             part = part.where(F.col("ts") < F.lit(high).cast("timestamp"))
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.write.mode("append").parquet(path)
     return path
 
 
+def _arrivals(spark, path: str, parts: int = 3) -> DataFrame:
+    """The landed files as a stream of about as many batches as there were parts."""
+    files = len(spark.read.schema(RAW).parquet(path).inputFiles())
+    return live.read_landing(spark, path, files_per_batch=max(1, -(-files // parts)))
+
+
 def _run(writer) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
@@ -1056,15 +1086,24 @@ def _sink(stream: DataFrame, spark: SparkSession) -> DataFrame:
 
 @query
 def stream_ingest(spark, sf_dir):
-    stream = live.as_stream_rows(live.read_landing(spark, _landing(spark, sf_dir), files_per_batch=1))
+    stream = live.as_stream_rows(_arrivals(spark, _landing(spark, sf_dir)))
     out = new_path(spark, "raw")
     _run(live.ingest(stream, out, new_path(spark, "ckpt")))
     return tables.scan(spark, out, RAW)
 
 
+@query
+def stream_snapshots(spark, sf_dir):
+    """Live rows into a snapshot table: every batch a version, files bounded by compaction."""
+    stream = live.as_stream_rows(_arrivals(spark, _landing(spark, sf_dir)))
+    table = SnapshotTable(spark, new_path(spark, "snapshots"), RAW, most_entries=2)
+    _run(table.stream_into(stream, new_path(spark, "ckpt")))
+    return table.read()
+
+
 @query
 def stream_latest(spark, sf_dir):
-    stream = live.latest_points(live.read_landing(spark, _landing(spark, sf_dir), files_per_batch=1))
+    stream = live.latest_points(_arrivals(spark, _landing(spark, sf_dir)))
     out = new_path(spark, "out")
 
     def keep(batch, _):
@@ -1076,7 +1115,7 @@ def stream_latest(spark, sf_dir):
 
 @query
 def stream_state(spark, sf_dir):
-    stream = live.instant_state(live.read_landing(spark, _landing(spark, sf_dir), files_per_batch=1))
+    stream = live.instant_state(_arrivals(spark, _landing(spark, sf_dir)))
     return _sink(stream.select("cell_id", "ts", "qos_state", "cause_kpi", "cause_excess"), spark)
 
 
@@ -1084,7 +1123,7 @@ def stream_state(spark, sf_dir):
 def stream_liveness(spark, sf_dir):
     out = new_path(spark, "out")
     now = F.lit("2024-01-31 00:00:00").cast("timestamp")
-    stream = live.read_landing(spark, _landing(spark, sf_dir), files_per_batch=1)
+    stream = _arrivals(spark, _landing(spark, sf_dir))
     _run(live.liveness(stream, now, out, new_path(spark, "ckpt"), 600))
     return spark.read.parquet(out)
 
@@ -1092,7 +1131,7 @@ def stream_liveness(spark, sf_dir):
 @query
 def stream_means(spark, sf_dir):
     folder = new_path(spark, "means")
-    stream = live.read_landing(spark, _landing(spark, sf_dir), files_per_batch=1)
+    stream = _arrivals(spark, _landing(spark, sf_dir))
     _run(live.means_stream(stream, folder, new_path(spark, "ckpt"), GRID))
     return tables.scan(spark, f"{folder}/means", live.MEANS)
 
@@ -1112,8 +1151,8 @@ def _refreshed(spark, raw: DataFrame) -> DataFrame:
     early = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp")
     late = F.pmod(F.xxhash64("ts"), F.lit(5)) == 0
     for part in (raw.where(early & ~late), raw.where(~early | late)):
-        cut(part).repartition(1).write.mode("append").parquet(landing)
-    _run(live.refresh_stream(live.read_landing(spark, landing, files_per_batch=1), folder, new_path(spark, "ckpt"), GRID))
+        cut(part).write.mode("append").parquet(landing)
+    _run(live.refresh_stream(_arrivals(spark, landing, 2), folder, new_path(spark, "ckpt"), GRID))
     return tables.scan(spark, f"{folder}/features", FEATURES)
 
 

@@ -15,11 +15,11 @@ from kpiloom.session import cut
 from kpiloom.sources.files import path_exists
 
 
-def _dated(schema: T.StructType) -> T.StructType:
+def dated(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("date", T.DateType())])
 
 
-def _by_day(df: DataFrame) -> DataFrame:
+def rows_by_day(df: DataFrame) -> DataFrame:
     """Rows ready to be written by day, sorted so that row groups carry tight bounds.
 
     ``rebalance`` lets Spark split a large day over many tasks and join small days.
@@ -29,7 +29,7 @@ def _by_day(df: DataFrame) -> DataFrame:
 
 
 def append(df: DataFrame, path: str) -> None:
-    _by_day(df).write.mode("append").partitionBy("date").parquet(path)
+    rows_by_day(df).write.mode("append").partitionBy("date").parquet(path)
 
 
 def merge_rows(old: DataFrame, new: DataFrame, keys: list[str] = KEY) -> DataFrame:
@@ -65,10 +65,10 @@ def upsert(df: DataFrame, path: str, keys: list[str] = KEY, unique: bool = False
     # Staged once: the rows are needed for the list of days and for the merge.
     staged = cut(rows)
     days = staged.select(utc_date(F.col("ts")).alias("date")).distinct()
-    stored = spark.read.schema(_dated(df.schema)).parquet(path)
+    stored = spark.read.schema(dated(df.schema)).parquet(path)
     touched = stored.join(days, "date", "left_semi").select(*df.columns)
     merged = merge_rows(touched, staged, keys)
-    _by_day(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    rows_by_day(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
 def replace(df: DataFrame, path: str, ranges: DataFrame) -> None:
@@ -81,7 +81,7 @@ def replace(df: DataFrame, path: str, ranges: DataFrame) -> None:
         append(df, path)
         return
     new = cut(df.withColumn("date", utc_date(F.col("ts"))))
-    stored = spark.read.schema(_dated(df.schema)).parquet(path)
+    stored = spark.read.schema(dated(df.schema)).parquet(path)
     ends = ranges.agg(utc_date(F.min("_from")).alias("a"), utc_date(F.max("_to")).alias("b")).first()
     near = stored.where((F.col("date") >= F.lit(ends["a"])) & (F.col("date") <= F.lit(ends["b"])))
     inside = (F.col("ts") >= F.col("_from")) & (F.col("ts") <= F.col("_to"))
@@ -90,19 +90,19 @@ def replace(df: DataFrame, path: str, ranges: DataFrame) -> None:
     kept = marked.join(days, "date", "left_semi").where("NOT _gone").select(*columns)
     merged = cut(kept.unionByName(new.select(*columns)))
     emptied = days.join(merged.select(utc_date(F.col("ts")).alias("date")).distinct(), "date", "left_anti")
-    _by_day(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    rows_by_day(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
     for row in emptied.collect():  # days that lost their last row: their folder is overwritten with no rows
         merged.limit(0).write.mode("overwrite").parquet(f"{path}/date={row['date']}")
 
 
 def scan_dated(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All columns of a stored table and its day."""
-    return spark.read.schema(_dated(schema)).parquet(path)
+    return spark.read.schema(dated(schema)).parquet(path)
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None, since=None) -> DataFrame:
     """Named columns of a stored table, optionally from an instant on."""
-    rows = where_range(spark.read.schema(_dated(schema)).parquet(path), start=since)
+    rows = where_range(spark.read.schema(dated(schema)).parquet(path), start=since)
     return rows.select(*(columns or schema.fieldNames()))
 
 
@@ -136,7 +136,7 @@ class Store:
 
     def _load(self, table: str, schema: T.StructType, compute, cell_id, start, end) -> DataFrame:
         if self.active_source(table) == "tables":
-            rows = where_range(self.spark.read.schema(_dated(schema)).parquet(self.path(table)), cell_id, start, end)
+            rows = where_range(self.spark.read.schema(dated(schema)).parquet(self.path(table)), cell_id, start, end)
             rows = rows.select(*schema.fieldNames())
         else:
             rows = where_range(compute(), cell_id, start, end).select(*schema.fieldNames())

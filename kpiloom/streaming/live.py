@@ -87,7 +87,7 @@ class _Touched:
     """
 
     def __init__(self, path: str, schema: T.StructType, ranges: DataFrame) -> None:
-        self.stored = ranges.sparkSession.read.schema(tables._dated(schema)).parquet(path)
+        self.stored = ranges.sparkSession.read.schema(tables.dated(schema)).parquet(path)
         self.ranges = ranges
         ends = self.stored.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
         self.low, self.high = ends["low"], ends["high"]

@@ -228,6 +228,8 @@ add("raw_append", f"{R} SELECT * FROM raw", RAW_COLUMNS)
 add("scan_since", f"{C} SELECT * FROM clean WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'", f"ts:t cell_id:s {KPI_D}")
 add("upsert", f"{R} SELECT * FROM copies WHERE ingested_at > ts", RAW_COLUMNS)
 add("table_upsert", f"{R} SELECT * FROM copies WHERE (source = 'stream') = (ingested_at > ts)", RAW_COLUMNS)
+ORACLES["snapshot_upsert"] = ORACLES["table_upsert"]
+add("snapshot_version", f"{R} SELECT * FROM raw WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-06 00:00:00'", RAW_COLUMNS)
 add("store_features", f"{P} SELECT * FROM features WHERE ts >= TIMESTAMP '2024-01-05 00:00:00'",
     "cell_id:s ts:t throughput_mean_5m:d latency_lag_10:d jitter_std_15m:d hour_of_day:l")
 add("store_labels", f"{C} SELECT * FROM labels WHERE cell_id = 'cell_002'", "ts:t cell_id:s is_anomaly:b")
@@ -720,6 +722,7 @@ add("point_delta", f"{R} SELECT cell_id, ts, " + each("CASE WHEN row_number() OV
 # -- streaming: the result after all input has been read
 
 add("stream_ingest", f"{R} SELECT * REPLACE ('stream' AS source) FROM raw", RAW_COLUMNS)
+ORACLES["stream_snapshots"] = ORACLES["stream_ingest"]
 add("stream_latest", f"{R} SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY ts DESC) = 1", f"cell_id:s ts:t {KPI_D}")
 add("stream_state", f"{R} SELECT r.cell_id, r.ts, {label_of(worst())} AS qos_state, c.cause_kpi, c.cause_excess FROM raw r "
     f"JOIN ({blame('raw', 'cell_id, ts')}) c ON c.cell_id = r.cell_id AND c.ts = r.ts", "cell_id:s ts:t qos_state:s cause_kpi:s cause_excess:d")
