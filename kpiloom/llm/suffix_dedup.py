@@ -17,8 +17,10 @@ A corpus has too many suffixes to shuffle, so buckets are opened where needed:
    next anchor.  If that occurs again, all its windows repeat.
 3. What is left are windows near the ends of repeated passages.  Their bytes
    go to their anchor's bucket once, with one example of each string of step 2,
-   and are refined to depth 400 there.  Very large buckets are split by the
-   depth-400 identifiers instead of being gathered.
+   and are refined to depth 400 there.  In a crowded bucket windows are first told
+   apart by how far ahead of the anchor they start, in classes; all windows of a class
+   share a stretch of some 300 bytes around the anchor, whose hash refines the bucket.  What is
+   still too large is split by the depth-400 identifiers instead of being gathered.
 
 Texts that occur more than once take part once; all their windows repeat.
 """
@@ -30,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +40,9 @@ from kpiloom.llm.common import with_text
 from kpiloom.session import cut
 
 LENGTH = 400
-HOT = 512  # anchors of a bucket beyond which it is split by window
+CROWDED = 256  # anchors of a bucket beyond which it is refined by classes
+HOT = 4096  # windows' stretches of a refined bucket beyond which it is split by window
+CLASSES = 5  # of the distances between a window's start and its anchor
 
 _PLACE = 20
 _CHUNK = 1 << (_PLACE - 1)
@@ -166,6 +171,7 @@ def _open_windows(length: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         refiner = Refiner(length)
+        step = -(-refiner.width // CLASSES)
         for batch in batches:
             rows, held = [], 0
             for k1, k2, raw, known in zip(batch["k1"], batch["k2"], batch["raw"], batch["known"]):
@@ -174,7 +180,7 @@ def _open_windows(length: int):
                 pos = pos[order]
                 covered = np.array([a["covered"] for a in known], np.int64)[order]
                 example = np.array([a["example"] for a in known], bool)[order]
-                hot = np.array([a["hot"] for a in known], bool)[order]
+                crowded = np.array([a["crowded"] for a in known], bool)[order]
                 for start, _, grams, anchors in refiner.chunks(raw):
                     at = np.minimum(np.searchsorted(pos, start + anchors), len(pos) - 1)
                     shared = pos[at] == start + anchors
@@ -188,18 +194,27 @@ def _open_windows(length: int):
                     np.add.at(kept, lo[example], 1)
                     np.add.at(kept, hi[example], -1)
                     wanted = shared & (~inside | (np.cumsum(kept[:-1]) > 0))
-                    group = np.where(wanted, at, -1)
+                    crowd = crowded[at] & wanted
+                    ahead = anchors - np.arange(len(anchors))  # from the window's start to its anchor
+                    group = np.where(wanted, np.where(crowd, at * CLASSES + ahead // step, at * CLASSES), -1)
                     edge = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
                     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
                         if group[a] >= 0:
                             piece = raw[start + a : start + b - 1 + length]
-                            rows.append((int(grams[anchors[a]].view(np.int64)), k1, k2, start + a, bool(hot[group[a]]), piece))
+                            bucket = int(grams[anchors[a]].view(np.int64))
+                            if crowd[a]:
+                                # Every window of the class holds this stretch, so equal windows agree in it.
+                                first = int(ahead[a]) // step * step
+                                shared_at = start + int(anchors[a]) - first
+                                shared_bytes = raw[shared_at : shared_at + length - step + 1]
+                                bucket = xxhash.xxh64_intdigest(shared_bytes, (bucket + first) & 0xFFFFFFFF) - (1 << 63)
+                            rows.append((bucket, k1, k2, start + a, bool(crowd[a]), piece))
                             held += len(piece)
                     if held > 4 << 20:
-                        yield pd.DataFrame(rows, columns=["bucket", "k1", "k2", "pos", "hot", "piece"])
+                        yield pd.DataFrame(rows, columns=["bucket", "k1", "k2", "pos", "crowded", "piece"])
                         rows, held = [], 0
             if rows:
-                yield pd.DataFrame(rows, columns=["bucket", "k1", "k2", "pos", "hot", "piece"])
+                yield pd.DataFrame(rows, columns=["bucket", "k1", "k2", "pos", "crowded", "piece"])
 
     return run
 
@@ -270,7 +285,7 @@ def _hot_windows(length: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, text: str, ident: str, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+def repeated_spans(docs: DataFrame, text: str, ident: str, length: int = LENGTH, hot: int = HOT, crowded: int = CROWDED) -> DataFrame:
     """Byte spans ``(k1, k2, lo, hi)`` covered by repeated windows, by the 128-bit hash of the text."""
     raw = _keyed(docs, ident, text)
     schema = "k1 long, k2 long, doc long, pos array<long>, bucket array<long>, string array<long>, depth array<long>"
@@ -290,19 +305,20 @@ def repeated_spans(docs: DataFrame, text: str, ident: str, length: int = LENGTH,
             "pos",
             F.when(F.col("times") > 1, F.col("depth")).otherwise(0).alias("covered"),
             F.coalesce(F.struct("k1", "k2", "pos") == F.col("example"), F.lit(False)).alias("example"),
-            (F.col("n") > hot).alias("hot"),
+            (F.col("n") > crowded).alias("crowded"),
         ).alias("a"),
     )
     # A document's own anchors: as many as its length allows.
     known = cut(known.groupBy("k1", "k2").agg(F.collect_list("a").alias("known")).join(copies, ["k1", "k2"]))
     once = known.select("k1", "k2", "known", "first")
     texts = raw.join(once, ["k1", "k2"]).where(F.col("doc").eqNullSafe(F.col("first")))
-    opened = cut(texts.select("k1", "k2", "raw", "known").mapInPandas(_open_windows(length), "bucket long, k1 long, k2 long, pos long, hot boolean, piece binary"))
+    opened = cut(texts.select("k1", "k2", "raw", "known").mapInPandas(_open_windows(length), "bucket long, k1 long, k2 long, pos long, crowded boolean, piece binary"))
 
     spans = "k1 long, k2 long, lo long, hi long"
-    cold = opened.where("not hot").repartition("bucket").sortWithinPartitions("bucket")
+    large = cut(opened.where("crowded").groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("bucket"))
+    cold = opened.join(large, "bucket", "left_anti").repartition("bucket").sortWithinPartitions("bucket")
     near = cold.select("bucket", "k1", "k2", "pos", "piece").mapInPandas(_refine_buckets(length), spans)
-    windows = opened.where("hot").select("k1", "k2", "pos", "piece").mapInPandas(_hot_windows(length), "window long, k1 long, k2 long, lo long")
+    windows = opened.join(large, "bucket", "left_semi").select("k1", "k2", "pos", "piece").mapInPandas(_hot_windows(length), "window long, k1 long, k2 long, lo long")
     again = cut(windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window"))
     far = windows.join(again, "window").select("k1", "k2", "lo", (F.col("lo") + length).alias("hi"))
     inner = known.select("k1", "k2", F.explode("known").alias("a")).where("a.covered > 0")
@@ -344,14 +360,15 @@ def _removed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Data
         yield pd.DataFrame(out, columns=["n_removed", "n_spans", "kept_sha256"])
 
 
-def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT, crowded: int = CROWDED) -> DataFrame:
     """One row per document: ``ident``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``.
 
     Every byte in a ``length``-byte string that starts anywhere else too is
     removed.  Null texts are empty, shorter texts keep everything, repeated
-    rows are copies of each other.
+    rows are copies of each other.  Other columns are not read, whatever their
+    names; an empty table gives no rows.
     """
-    spans = repeated_spans(docs, text, ident, length, hot)
+    spans = repeated_spans(docs, text, ident, length, hot, crowded)
     spans = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     raw = _keyed(docs, ident, text).withColumn("n_bytes", F.length("raw").cast("long"))
     joined = raw.join(spans, ["k1", "k2"], "left").select("doc", "n_bytes", F.pandas_udf(_removed, "n_removed long, n_spans long, kept_sha256 string")("raw", "spans").alias("r"))

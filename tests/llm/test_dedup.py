@@ -172,8 +172,8 @@ def brute_removed(texts, length):
     return out
 
 
-@pytest.mark.parametrize("hot", [4096, 2])
-def test_suffix_dedup_equals_brute_force(spark, docs_of, hot):
+@pytest.mark.parametrize(("hot", "crowded"), [(4096, 256), (2, 1), (4096, 1)])
+def test_suffix_dedup_equals_brute_force(spark, docs_of, hot, crowded):
     rng = random.Random(hot)
     word = lambda: "".join(rng.choice("abcé ") for _ in range(rng.randint(1, 9)))
     fresh = lambda n: "".join(word() for _ in range(n))
@@ -189,7 +189,7 @@ def test_suffix_dedup_equals_brute_force(spark, docs_of, hot):
     texts += [texts[10], texts[11], texts[11] + "!"]
     rows = [(i, t, "s", "en") for i, t in enumerate(texts)] + [(12, texts[12], "s", "en")]
     want = sorted(zip([r[0] for r in rows], brute_removed([r[1] for r in rows], 100)))
-    got = suffix_dedup.remove_repeats(docs_of(rows, extra=True), length=100, hot=hot).collect()
+    got = suffix_dedup.remove_repeats(docs_of(rows, extra=True), length=100, hot=hot, crowded=crowded).collect()
     assert sorted((r["doc_id"], (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])) for r in got) == want
 
 
