@@ -16,7 +16,7 @@ from kpiloom.functions import qos
 from kpiloom.operators import neighbours
 from kpiloom.operators.features import assert_no_leakage
 from kpiloom.operators.quantiles import exact_quantiles, quantile_scalar
-from kpiloom.operators.scaling import RobustCellScaler, trim_extremes
+from kpiloom.operators.scaling import RobustCellScaler, extremity
 from kpiloom.operators.select import systematic_sample
 from kpiloom.schema import CONTAMINATION, GRID, KEY, THRESHOLDS
 from kpiloom.session import cut
@@ -386,13 +386,14 @@ def _direction(gradient: np.ndarray, past: list[tuple[np.ndarray, np.ndarray]])
     return -q
 
 
+LOCAL_ROWS = 65_536  # so many training rows fit one task
+
+
 class Autoencoder(_Scaled):
     """A bottleneck network; the score is the mean squared reconstruction error.
 
-    Fitted by L-BFGS on the whole training set: every evaluation sums losses
-    and gradients over all partitions, and the driver makes one step.  The
-    parameter vector and its gradient are all that passes through the driver,
-    and neither the size of the data nor its layout changes the method.
+    Fitted by L-BFGS on the whole training set, alone or with other shapes at
+    once (``fit_autoencoders``).
     """
 
     name = "autoencodeur"
@@ -416,76 +417,11 @@ class Autoencoder(_Scaled):
         self.rows_kept = 0
         self.epochs = 0
 
-    def _evaluate(self, rows: DataFrame, w: np.ndarray) -> tuple[float, np.ndarray, float]:
-        """Mean loss and gradient over the training rows, and the mean error of the held ones."""
-        net, size = self.net, self.net.length
-
-        def sums(batches):
-            total = np.zeros(size + 4)  # gradient, loss, rows, held error, held rows
-            for pdf in batches:
-                x, aside = _stack(pdf["_x"], net.sizes[0]), pdf["held"].to_numpy(bool)
-                if aside.any():
-                    total[size + 2] += ((net.forward(w, x[aside])[-1] - x[aside]) ** 2).mean(axis=1).sum()
-                    total[size + 3] += aside.sum()
-                if (~aside).any():
-                    x = x[~aside]
-                    total[:size] += net.gradient(w, x, 0.0) * len(x)
-                    total[size] += 0.5 * ((net.forward(w, x)[-1] - x) ** 2).sum()
-                    total[size + 1] += len(x)
-            yield pd.DataFrame({"total": [total.tolist()]})
-
-        parts = rows.mapInPandas(sums, "total array<double>").select(F.posexplode("total").alias("at", "v"))
-        summed = parts.groupBy("at").agg(F.sum("v").alias("v")).toPandas().sort_values("at")["v"].to_numpy()
-        if not len(summed):
-            return 0.0, np.zeros(size), math.inf
-        n = max(summed[size + 1], 1.0)
-        inner = np.zeros(size)
-        at = 0
-        for (a, b), _ in net.shapes:  # decay holds for weights, not for biases
-            inner[at : at + a * b] = w[at : at + a * b]
-            at += a * b + b
-        held = summed[size + 2] / summed[size + 3] if summed[size + 3] else math.inf
-        return summed[size] / n + 0.5 * self.decay * inner @ inner, summed[:size] / n + self.decay * inner, held
+    def _settings(self) -> dict:
+        return dict(max_iter=self.max_iter, patience=self.patience, memory=self.memory, decay=self.decay, seed=self.seed)
 
     def fit(self, train: DataFrame) -> "Autoencoder":
-        scaled = trim_extremes(cut(self._fit_scaler(train)), self.trim)
-        held = uniform(F.lit(self.seed), *KEY) < 0.1
-        rows = cut(scaled.select("_x", held.alias("held")))
-        self.rows_kept = rows.count()
-
-        w = self.net.start(self.seed)
-        loss, gradient, error = self._evaluate(rows, w)
-        best, kept, stale, past = error, w, 0, []
-        for step in range(1, self.max_iter + 1):
-            if not np.abs(gradient).max() > 1e-9:
-                break
-            way = _direction(gradient, past)
-            slope = way @ gradient
-            if slope >= 0:  # the curvature held is of no use; start again downhill
-                past, way = [], -gradient
-                slope = way @ gradient
-            length = 1.0 if past else min(1.0, 1.0 / np.abs(gradient).sum())
-            for _ in range(12):
-                tried = w + length * way
-                new_loss, new_gradient, new_error = self._evaluate(rows, tried)
-                if new_loss <= loss + 1e-4 * length * slope:
-                    break
-                length *= 0.3
-            else:
-                break
-            moved, turned = tried - w, new_gradient - gradient
-            if moved @ turned > 1e-10 * (turned @ turned):
-                past = [*past, (moved, turned)][-self.memory :]
-            w, loss, gradient, error = tried, new_loss, new_gradient, new_error
-            self.epochs = step
-            if not math.isfinite(error) or error < best - 1e-4 * abs(best if math.isfinite(best) else 0.0):
-                best, kept, stale = error, w, 0
-            else:
-                stale += 1
-                if stale >= self.patience:
-                    break
-        self.weights = kept
-        return self
+        return fit_autoencoders([self], train)[0]
 
     def errors(self, df: DataFrame) -> DataFrame:
         """Add ``_errors``, the squared reconstruction error of each column."""
@@ -507,6 +443,145 @@ class Autoencoder(_Scaled):
         return scored.withColumn("causes", top_contributors("_errors", self.columns, top_k)).drop("_errors")
 
 
+def _net_sums(net: _Net, w: np.ndarray, x: np.ndarray, aside: np.ndarray) -> np.ndarray:
+    """Sums over rows: gradient, loss, rows, and of the rows set aside error and number."""
+    total = np.zeros(net.length + 4)
+    if aside.any():
+        total[-2] = ((net.forward(w, x[aside])[-1] - x[aside]) ** 2).mean(axis=1).sum()
+        total[-1] = aside.sum()
+    if (~aside).any():
+        x = x[~aside]
+        total[: net.length] = net.gradient(w, x, 0.0) * len(x)
+        total[-4] = 0.5 * ((net.forward(w, x)[-1] - x) ** 2).sum()
+        total[-3] = len(x)
+    return total
+
+
+def _net_loss(net: _Net, w: np.ndarray, summed: np.ndarray, decay: float) -> tuple[float, np.ndarray, float]:
+    """Mean loss and gradient over the training rows, and the mean error of those set aside."""
+    n = max(summed[-3], 1.0)
+    inner = np.zeros(net.length)
+    at = 0
+    for (a, b), _ in net.shapes:  # decay holds for weights, not for biases
+        inner[at : at + a * b] = w[at : at + a * b]
+        at += a * b + b
+    held = summed[-2] / summed[-1] if summed[-1] else math.inf
+    return summed[-4] / n + 0.5 * decay * inner @ inner, summed[: net.length] / n + decay * inner, held
+
+
+def _descent(net: _Net, max_iter: int, patience: int, memory: int, decay: float, seed: int):
+    """L-BFGS as a generator: yields parameters, is sent their sums, and returns the best parameters and the steps taken."""
+    w = net.start(seed)
+    loss, gradient, error = _net_loss(net, w, (yield w), decay)
+    best, kept, stale, past, steps = error, w, 0, [], 0
+    for step in range(1, max_iter + 1):
+        if not np.abs(gradient).max() > 1e-9:
+            break
+        way = _direction(gradient, past)
+        slope = way @ gradient
+        if slope >= 0:  # the curvature held is of no use; start again downhill
+            past, way = [], -gradient
+            slope = way @ gradient
+        length = 1.0 if past else min(1.0, 1.0 / np.abs(gradient).sum())
+        for _ in range(12):
+            tried = w + length * way
+            new_loss, new_gradient, new_error = _net_loss(net, tried, (yield tried), decay)
+            if new_loss <= loss + 1e-4 * length * slope:
+                break
+            length *= 0.3
+        else:
+            break
+        moved, turned = tried - w, new_gradient - gradient
+        if moved @ turned > 1e-10 * (turned @ turned):
+            past = [*past, (moved, turned)][-memory:]
+        w, loss, gradient, error, steps = tried, new_loss, new_gradient, new_error, step
+        if not math.isfinite(error) or error < best - 1e-4 * abs(best if math.isfinite(best) else 0.0):
+            best, kept, stale = error, w, 0
+        else:
+            stale += 1
+            if stale >= patience:
+                break
+    return kept, steps
+
+
+def fit_autoencoders(models: list[Autoencoder], train: DataFrame) -> list[Autoencoder]:
+    """Fit several shapes on the same columns together.
+
+    Every pass over the rows sums the gradients of all shapes that still move,
+    each at its own parameters, with its own line search and its own stop.  Only parameters and
+    their gradients pass through the driver.  Up to ``LOCAL_ROWS`` rows, one task per shape
+    makes the same steps on them without a pass each.
+    """
+    lead = models[0]
+    if any(m.columns != lead.columns or m.seed != lead.seed for m in models):
+        raise ValueError("models fitted together share columns and seed")
+    scaled = cut(lead._fit_scaler(train))
+    for m in models[1:]:
+        m.share_scaler(lead.scaler)
+    measured = cut(scaled.select("_x", extremity("_x").alias("far"), (uniform(F.lit(lead.seed), *KEY) < 0.1).alias("held")))
+    shares = sorted({m.trim for m in models if m.trim > 0})
+    found = exact_quantiles(measured, ["far"], [1 - s for s in shares]).collect() if shares else []
+    by_prob = {r["prob"]: r["value"] for r in found}
+    limits = [by_prob.get(1 - m.trim, math.inf) if m.trim > 0 else math.inf for m in models]
+    counted = measured.agg(F.count("*").alias("n"), *[F.count_if(F.col("far") <= F.lit(v)).alias(f"n{i}") for i, v in enumerate(limits)]).first()
+    for i, m in enumerate(models):
+        m.rows_kept = counted[f"n{i}"]
+    nets, settings = [m.net for m in models], [m._settings() for m in models]
+
+    if 0 < counted["n"] <= LOCAL_ROWS:
+
+        def alone(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+            i = key[0]
+            rows = rows[rows["far"] <= limits[i]]
+            x, aside = _stack(rows["_x"], nets[i].sizes[0]), rows["held"].to_numpy(bool)
+            run = _descent(nets[i], **settings[i])
+            w = next(run)
+            while True:
+                try:
+                    w = run.send(_net_sums(nets[i], w, x, aside))
+                except StopIteration as end:
+                    kept, steps = end.value
+                    return pd.DataFrame({"i": [i], "w": [kept.tobytes()], "steps": [steps]})
+
+        each = measured.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(len(models) - 1)))).repartition(len(models), "i")
+        for r in each.groupBy("i").applyInPandas(alone, "i int, w binary, steps int").collect():
+            models[r["i"]].weights, models[r["i"]].epochs = np.frombuffer(r["w"]), r["steps"]
+        return models
+
+    runs = {i: _descent(nets[i], **settings[i]) for i in range(len(models))}
+    at = {i: next(run) for i, run in runs.items()}
+    while at:
+        sums = _pass(measured, [(i, nets[i], limits[i], w) for i, w in at.items()])
+        for i in list(at):
+            try:
+                at[i] = runs[i].send(sums[i])
+            except StopIteration as end:
+                models[i].weights, models[i].epochs = end.value
+                del at[i]
+    return models
+
+
+def _pass(rows: DataFrame, asked: list[tuple[int, _Net, float, np.ndarray]]) -> dict[int, np.ndarray]:
+    """The sums of all asked networks in one pass over the rows."""
+
+    def sums(batches):
+        totals = {i: np.zeros(net.length + 4) for i, net, _, _ in asked}
+        for pdf in batches:
+            if len(pdf):
+                x, far, aside = _stack(pdf["_x"], asked[0][1].sizes[0]), pdf["far"].to_numpy(), pdf["held"].to_numpy(bool)
+                for i, net, limit, w in asked:
+                    mine = far <= limit
+                    totals[i] += _net_sums(net, w, x[mine], aside[mine])
+        yield pd.DataFrame({"i": list(totals), "total": [t.tolist() for t in totals.values()]})
+
+    parts = rows.mapInPandas(sums, "i int, total array<double>").select("i", F.posexplode("total").alias("at", "v"))
+    summed = parts.groupBy("i", "at").agg(F.sum("v").alias("v")).toPandas()
+    out = {i: np.zeros(net.length + 4) for i, net, _, _ in asked}
+    for i, part in summed.groupby("i"):
+        out[i][part["at"]] = part["v"]
+    return out
+
+
 def mean_of(errors: str) -> Column:
     return F.aggregate(errors, F.lit(0.0), lambda s, v: s + v) / F.size(errors)
 

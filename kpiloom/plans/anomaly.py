@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.models.detectors import AUTOENCODER_GRID, Autoencoder, Detector, stored_scaler
+from kpiloom.models.detectors import AUTOENCODER_GRID, Autoencoder, Detector, fit_autoencoders, stored_scaler
 from kpiloom.models.store import scored
 from kpiloom.operators import metrics
 from kpiloom.operators.episodes import episode_metrics, episode_totals
@@ -82,20 +82,22 @@ def detector_study(
 
 
 def select_autoencoder(columns: list[str], split: DataFrame, grid=AUTOENCODER_GRID, **settings):
-    """Fit each shape and keep the one with the best validation average precision."""
+    """Fit all shapes together and keep the one with the best validation average precision."""
     spark = split.sparkSession
-    best, rows = None, []
-    train = split.where("segment = 'train'")
-    scaler = stored_scaler(train, columns)
-    for shape in grid:
-        model = Autoencoder(columns, **shape, **settings).share_scaler(scaler).fit(train)
-        held = scored([model], split.where("segment = 'val'"), KEEP)
-        found = metrics.ranking_metrics(held).first()
-        area = found["pr_auc"] if found and found["pr_auc"] is not None else None
-        rows.append((str(shape["hidden"]), float(shape["trim"]), model.rows_kept, area))
-        if best is None or (area is not None and (best[0] is None or area > best[0])):
-            best = (area, model)
+    models = fit_autoencoders([Autoencoder(columns, **shape, **settings) for shape in grid], split.where("segment = 'train'"))
+    held = split.where("segment = 'val'")
+    parts = [m.score(held).select(F.lit(str(i)).alias("detector"), *KEEP, "score") for i, m in enumerate(models)]
+    area = {r["detector"]: r["pr_auc"] for r in metrics.ranking_metrics(reduce(DataFrame.unionByName, parts)).collect()}  # one row per shape
+    rows = [(str(tuple(m.hidden)), float(m.trim), m.rows_kept, area.get(str(i))) for i, m in enumerate(models)]
     table = spark.createDataFrame(
         rows, "goulot string, filtrage_extremes double, lignes_entrainement long, pr_auc_validation double"
     )
-    return best[1], table.orderBy(F.col("pr_auc_validation").desc_nulls_last())
+    best = max(range(len(models)), key=lambda i: (rows[i][3] is not None, rows[i][3] or 0.0, -i))
+    return models[best], table.orderBy(F.col("pr_auc_validation").desc_nulls_last())
+
+
+def tuned_detectors(detectors: list[Detector], split: DataFrame, grid=AUTOENCODER_GRID) -> list[Detector]:
+    """The same detectors with the network that the grid chooses in place of theirs."""
+    net = next(d for d in detectors if isinstance(d, Autoencoder))
+    best, _ = select_autoencoder(net.columns, split, grid)
+    return [Autoencoder(net.columns, hidden=best.hidden, trim=best.trim) if d is net else d for d in detectors]

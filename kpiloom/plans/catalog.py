@@ -912,7 +912,7 @@ def autoencoder(spark, sf_dir):
 @query
 def autoencoder_grid(spark, sf_dir):
     rows = split_table(spark, sf_dir)
-    return anomaly_plan.select_autoencoder(features.anomaly_features(rows), rows, max_iter=100)[1]
+    return anomaly_plan.select_autoencoder(features.anomaly_features(rows), rows)[1]
 
 
 @query
@@ -925,7 +925,7 @@ def explain(spark, sf_dir):
 def learned_comparison(spark, sf_dir):
     rows = split_table(spark, sf_dir)
     columns = features.anomaly_features(rows)
-    detectors = list(build_detectors(columns, GRID).values())
+    detectors = anomaly_plan.tuned_detectors(list(build_detectors(columns, GRID).values()), rows)
     return anomaly_plan.detector_study(detectors, rows, GRID, minutes_per_point=MINUTES)
 
 

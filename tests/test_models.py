@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from kpiloom.models import forecasters as fc
-from kpiloom.models import store
-from kpiloom.models.detectors import Autoencoder, DensityDetector, IsolationForest, LinearReconstruction
+from kpiloom.models import detectors, store
+from kpiloom.models.detectors import Autoencoder, DensityDetector, IsolationForest, LinearReconstruction, fit_autoencoders
 from kpiloom.operators.select import evaluation_origins
 from kpiloom.session import new_path
 
@@ -115,6 +115,17 @@ def test_autoencoder_does_not_depend_on_the_layout(cloud):
     np.testing.assert_allclose(*fitted, rtol=1e-6, atol=1e-8)
 
 
+def test_shapes_fitted_together_equal_those_fitted_alone(cloud, monkeypatch):
+    """A pass for all shapes, each with its own trim and stop, and a task per shape."""
+    shapes = [dict(hidden=(4, 2, 4), trim=0.05, max_iter=4), dict(hidden=(3,), trim=0.0, max_iter=7)]
+    alone = [Autoencoder(COLUMNS, **s).fit(cloud) for s in shapes]
+    monkeypatch.setattr(detectors, "LOCAL_ROWS", 0)
+    together = fit_autoencoders([Autoencoder(COLUMNS, **s) for s in shapes], cloud)
+    for a, b, s in zip(alone, together, shapes):
+        assert (a.rows_kept, a.epochs) == (b.rows_kept, b.epochs) and a.epochs <= s["max_iter"]
+        np.testing.assert_allclose(a.weights, b.weights, rtol=1e-5, atol=1e-7)
+
+
 def test_forest_draws_from_all_rows(spark):
     """Far more rows than trees times sample: hardly any row is drawn twice, from every part of the table."""
     rows = spark.range(200_000).select(
