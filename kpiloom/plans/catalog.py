@@ -37,7 +37,7 @@ from kpiloom.session import cut, new_path
 from kpiloom.sources import files, tables
 from kpiloom.sources.events import load_raw, with_late_copies
 from kpiloom.sources.snapshots import SnapshotTable
-from kpiloom.streaming import live
+from kpiloom.streaming import live, stateful
 
 GRID = "1 hour"
 MINUTES = 60
@@ -1145,6 +1145,25 @@ def stream_episodes(spark, sf_dir):
     return live.read_episodes(spark, out, GRID)
 
 
+@query
+def stream_closed_episodes(spark, sf_dir):
+    """Episodes that the watermark has passed, from keyed state with timers; label rows arrive in time order."""
+    flags_at, schema = new_path(spark, "flags"), "cell_id string, ts timestamp, is_anomaly boolean"
+    flags = label_table(spark, sf_dir)
+    for low, high in (("2024-01-01", "2024-01-12"), ("2024-01-12", "2024-01-22"), ("2024-01-22", "2030-01-01")):
+        part = flags.where((F.col("ts") >= F.lit(low).cast("timestamp")) & (F.col("ts") < F.lit(high).cast("timestamp")))
+        part.write.mode("append").parquet(flags_at)
+    files = len(spark.read.schema(schema).parquet(flags_at).inputFiles())
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max(1, -(-files // 3))).parquet(flags_at)
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    stateful.use_state_store(spark)
+    try:
+        return _sink(stateful.closed_episodes(stream, "20 days", GRID), spark)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _refreshed(spark, raw: DataFrame) -> DataFrame:
     """FEATURES after the stream has stored RAW in two batches that overlap in time."""
     folder, landing = new_path(spark, "store"), new_path(spark, "landing")

@@ -263,7 +263,14 @@ def episodes_stream(flags: DataFrame, path: str, checkpoint: str, grid: str = GR
         pieces = found.select("ts", "cell_id", F.col("ts").alias("end_ts"))
         spans = found.groupBy("cell_id").agg(F.min("ts").alias("_from"), F.max("ts").alias("_to"))
         if path_exists(spark, path):
-            near = join_params(tables.scan_dated(spark, path, EPISODES).drop("date"), cut(spans), how="inner")
+            # An episode lies under the day of its start: one that reaches this batch began no earlier than the longest known one allows.
+            stored = tables.scan_dated(spark, path, EPISODES)
+            longest = stored.agg(F.max(F.unix_micros("end_ts") - F.unix_micros("ts"))).first()[0] or 0
+            ends = spans.agg(F.min("_from").alias("a"), F.max("_to").alias("b")).select(
+                utc_date(shift(F.col("a"), -(longest + us))).alias("a"), utc_date(shift(F.col("b"), us)).alias("b")
+            ).first()
+            stored = stored.where(F.col("date").between(F.lit(ends["a"]), F.lit(ends["b"])))
+            near = join_params(stored.drop("date"), cut(spans), how="inner")
             met = (F.col("end_ts") >= shift(F.col("_from"), -us)) & (F.col("ts") <= shift(F.col("_to"), us))
             pieces = pieces.union(near.where(met).select("ts", "cell_id", "end_ts"))
         pieces = cut(pieces)

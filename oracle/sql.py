@@ -743,6 +743,9 @@ add("stream_means", f"WITH {RAW}, first_rows AS ({DEDUPE.format(src='raw')}), "
     "cell_id:s ts:t " + " ".join(f"{k}_mean_{n}m:d" for k in KPIS for n in (5, 15, 30, 60)))
 add("stream_episodes", f"{C}, {runs('labels', 'is_anomaly', 'flagged')} SELECT cell_id, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS points "
     "FROM flagged GROUP BY cell_id, run", "cell_id:s start_ts:t end_ts:t points:l")
+add("stream_closed_episodes", f"{C}, {runs('labels', 'is_anomaly', 'flagged')} SELECT cell_id, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS points "
+    "FROM flagged GROUP BY cell_id, run HAVING max(ts) + INTERVAL 1 HOUR < (SELECT max(ts) FROM labels) - INTERVAL 20 DAY",
+    "cell_id:s start_ts:t end_ts:t points:l")
 add("csv_mixed_headers", f"{R} SELECT ts, cell_id, {each('{k}')}, is_anomaly, 'batch' AS source FROM raw",
     f"ts:t cell_id:s {KPI_D} is_anomaly:b source:s")
 add("served_elsewhere", f"{C} SELECT cell_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS ts, hour(ts) AS hour_of_day, isodow(ts) - 1 AS day_of_week FROM clean",
