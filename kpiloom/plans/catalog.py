@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiloom.functions import qos, timegrid
-from kpiloom.models import boosting
+from kpiloom.models import boosting, store
 from kpiloom.models import forecasters as fc
 from kpiloom.models.detectors import (
     Autoencoder,
@@ -27,7 +27,7 @@ from kpiloom.models.detectors import (
     stored_scaler,
 )
 from kpiloom.models.store import scored
-from kpiloom.operators import clean, explore, features, joins, metrics, monitor, scaling, select, split
+from kpiloom.operators import blocks, clean, explore, features, joins, metrics, monitor, scaling, select, split
 from kpiloom.operators import episodes as ep
 from kpiloom.operators.quantiles import quantile_scalar
 from kpiloom.plans import anomaly as anomaly_plan
@@ -968,6 +968,47 @@ def ar1_forecast(spark, sf_dir):
     return model.forecasts(test_rows(spark, sf_dir))
 
 
+@query
+def reloaded_models(spark, sf_dir):
+    """Rules and baselines, stored and loaded again, on the test rows."""
+    rows = test_rows(spark, sf_dir)
+    told = []
+    for model in baselines(spark, sf_dir):
+        path = new_path(spark, "model")
+        store.save(spark, model, path)
+        again = store.load(spark, path, history(spark, sf_dir))
+        told.append(fc.long_forecasts([again], rows).select("model", "kpi", "horizon_min", "cell_id", "ts", "y_hat"))
+    path = new_path(spark, "model")
+    store.save(spark, ThresholdDetector(), path)
+    scored_rows = store.load(spark, path).score(rows)
+    whole = [F.lit("seuils_contrat").alias("model"), F.lit("tous").alias("kpi"), F.lit(0).alias("horizon_min")]
+    told.append(scored_rows.select(*whole, "cell_id", "ts", F.col("score").alias("y_hat")))
+    return reduce(DataFrame.unionByName, told)
+
+
+@query
+def canonical_order(spark, sf_dir):
+    """The stored series in (cell_id, ts) order, each row with its place in its cell."""
+    placed = blocks.with_position(history(spark, sf_dir), GRID)
+    return placed.orderBy("cell_id", "ts").select("cell_id", "ts", F.col("_pos").alias("place"), "latency")
+
+
+@query
+def known_cells(spark, sf_dir):
+    """Which of the asked cells exist: the check that every request of one cell makes first."""
+    rows = history(spark, sf_dir)
+
+    def known(cell: str) -> bool:
+        try:
+            select.require_cell(rows, cell)
+        except select.UnknownCellError:
+            return False
+        return True
+
+    asked = [(c, known(c)) for c in ("cell_001", "cell_005", "cell_999", "")]
+    return spark.createDataFrame(asked, "cell_id string, known boolean")
+
+
 _FITTED: dict[tuple, object] = {}
 
 

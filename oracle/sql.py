@@ -697,6 +697,16 @@ add("ar1_forecast", f"{T}, long AS (" + " UNION ALL ".join(f"SELECT cell_id, ts,
     "fits AS (SELECT o.cell_id, o.ts, f.kpi, f.pos, f.slope, f.icept, f.y, f.centre FROM (SELECT cell_id, ts FROM supervised WHERE segment = 'test') o "
     "JOIN fitted f ON f.cell_id = o.cell_id AND f.ts <= o.ts QUALIFY row_number() OVER (PARTITION BY o.cell_id, o.ts, f.kpi ORDER BY f.ts DESC) = 1) "
     f"{_paths}", "cell_id:s ts:t kpi:s horizon_min:l y_hat:d")
+_again = " UNION ALL ".join(
+    f"SELECT '{m}' AS model, '{k}' AS kpi, {h} AS horizon_min, p.cell_id, p.ts, {t.format(k=k, h=h)} AS y_hat FROM supervised p {_joins24} WHERE p.segment = 'test'"
+    for m, t in (("persistance", "p.{k}_mean_5m"), ("moyenne_mobile_15m", "p.{k}_mean_15m"), ("naif_saisonnier_24h", "coalesce(b{h}.{k}, p.{k}_mean_5m)"))
+    for k in KPIS for h in HORIZONS
+)
+add("reloaded_models", f"{T} {_again} UNION ALL SELECT 'seuils_contrat', 'tous', 0, cell_id, ts, greatest({', '.join(rank_of(k, k + '_mean_5m') for k in KPIS)}) "
+    "FROM supervised WHERE segment = 'test'", "model:s kpi:s horizon_min:l cell_id:s ts:t y_hat:d")
+add("canonical_order", f"{C} SELECT cell_id, ts, row_number() OVER (PARTITION BY cell_id ORDER BY ts) - 1 AS place, latency FROM clean ORDER BY cell_id, ts",
+    "cell_id:s ts:t place:l latency:d")
+add("known_cells", f"{C} SELECT a AS cell_id, a IN (SELECT cell_id FROM clean) AS known FROM (VALUES ('cell_001'), ('cell_005'), ('cell_999'), ('')) x(a)", "cell_id:s known:b")
 add("gbt_retained", f"SELECT kpi, horizon_min, 2 AS candidats, 1 AS retenus, true AS meilleur FROM (VALUES {', '.join(f"('{k}')" for k in KPIS)}) q(kpi), "
     "(VALUES (5), (15), (30)) h(horizon_min)", "kpi:s horizon_min:l candidats:l retenus:l meilleur:b")
 add("gbt_start", f"{T}, tr AS (SELECT * FROM supervised WHERE segment = 'train') " + " UNION ALL ".join(

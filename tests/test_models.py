@@ -300,3 +300,36 @@ def test_boosted_trees_choose_a_loss_and_code_unseen_cells(spark):
     assert again.inputs == model.inputs and again.settings == model.settings
     total = lambda m: m.predict(table, "latency", 5).agg(F.sum("y_hat")).first()[0]
     assert total(again) == pytest.approx(total(model))
+
+
+def test_every_model_is_stored_with_all_it_needs(spark, cloud, series):
+    """Scores of reloaded models equal those of the fitted ones."""
+    models = [
+        detectors.ThresholdDetector(suffix=""),
+        IsolationForest(COLUMNS, trees=20, sample=32),
+        DensityDetector(COLUMNS, min_samples=5),
+        Autoencoder(COLUMNS, hidden=(3,), max_iter=3),
+        LinearReconstruction(COLUMNS, 2),
+    ]
+    for k in fc.KPIS:
+        cloud = cloud.withColumn(k, F.col("x"))
+    for model in models:
+        path = new_path(spark, "model")
+        fitted = model.fit(cloud)
+        store.save(spark, fitted, path)
+        again = store.load(spark, path)
+        assert type(again) is type(model) and getattr(again, "columns", None) == getattr(model, "columns", None)
+        want = {(r["cell_id"], r["ts"]): r["score"] for r in fitted.score(cloud).collect()}
+        got = {(r["cell_id"], r["ts"]): r["score"] for r in again.score(cloud).collect()}
+        assert got == pytest.approx(want)
+    history = series({"a": np.sin(np.arange(200)).tolist()})
+    arima = fc.AutoRegression(history, "1 minute", horizons=[5], context=100).fit(history)
+    for model in (fc.Persistence(), fc.MovingAverage(), fc.SeasonalNaive(history, "1 minute", [5]), arima):
+        path = new_path(spark, "model")
+        store.save(spark, model, path)
+        again = store.load(spark, path, history)
+        assert type(again) is type(model)
+    want = sorted(map(tuple, arima.forecasts(history.limit(90)).collect()), key=str)
+    assert sorted(map(tuple, again.forecasts(history.limit(90)).collect()), key=str) == want
+    with pytest.raises(ValueError):
+        store.load(spark, path)
