@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -37,6 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     own = tempfile.mkdtemp(prefix="kpiloom-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)  # nothing in it outlives the process
     spark.conf.set("spark.checkpoint.dir", own)
     return own
 

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from kpiloom.operators.clean import clean_series, labels_on_grid
 from kpiloom.operators.features import build_features
 from kpiloom.operators.joins import with_labels
-from kpiloom.operators.select import first_cells
 from kpiloom.schema import GRID, RAW, REQUIRED_RAW
+from kpiloom.session import cut
 
 
 class MissingColumnsError(ValueError):
@@ -99,13 +99,15 @@ def sample_tables(raw: DataFrame, cells: int = 2, days: int = 1, grid: str = GRI
     clean = clean_series(raw, grid)
     newest = clean.agg(F.max("ts").alias("t")).scalar()
     recent = F.col("ts") >= newest - F.make_dt_interval(F.lit(days))
-    chosen = first_cells(clean, cells).where(recent)
-    names = clean.select("cell_id").distinct().orderBy("cell_id").limit(cells)
-    features = build_features(clean, grid).where(recent).join(names, "cell_id", "left_semi")
+    # Only the chosen cells go through labels and features: a handful of names, found first.
+    names = cut(clean.select("cell_id").distinct().orderBy("cell_id").limit(cells))
+    own = raw.join(names, "cell_id", "left_semi")
+    series = clean_series(own, grid)
+    chosen = series.where(recent)
     return {
         "sample_kpi": chosen,
-        "sample_kpi_with_labels": with_labels(chosen, labels_on_grid(raw, grid)),
-        "sample_features": features,
+        "sample_kpi_with_labels": with_labels(chosen, labels_on_grid(own, grid)),
+        "sample_features": build_features(series, grid).where(recent),
     }
 
 
