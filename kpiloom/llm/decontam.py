@@ -105,16 +105,20 @@ def overlaps(
     masks = _masks_for(items, window, similarity)
     item_seeds = cut(_positions(items, masks, ["item", "words", "n"], window))
     wanted = item_seeds.select("seed").distinct()
-    if wanted.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
-        wanted = F.broadcast(wanted)  # beyond the checked size, Spark shuffles both sides
+    small = wanted.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS
 
     corpus = with_text(docs, ident, text).select(F.col(ident).alias("doc"), tokens(F.col(text)).alias("words"))
     corpus = corpus.select("doc", "words", F.size("words").alias("n"))
     reach = window + max(m[-1] for m in MASKS)
     first = F.greatest(F.col("at") - reach, F.lit(0))
     around = F.slice("words", first + 1, 2 * reach + 1)
-    hits = _positions(corpus, masks, ["doc", "words"]).join(wanted, "seed", "left_semi")
-    hits = hits.select("doc", "seed", (F.col("at") - first).alias("before"), around.alias("near"))
+    local = ["doc", "seed", (F.col("at") - first).alias("before"), around.alias("near")]
+    placed = _positions(corpus, masks, ["doc", "words"])
+    if small:
+        hits = placed.join(F.broadcast(wanted), "seed", "left_semi").select(*local)
+    else:
+        # Beyond the checked size both sides are shuffled: a position then carries the tokens around it, not its whole text.
+        hits = placed.select(*local).join(wanted, "seed", "left_semi")
 
     sides = item_seeds.select("seed", "item", F.col("at").alias("item_at"), F.col("words").alias("item_words"), F.col("n").alias("item_n"))
     both = hits.join(sides, "seed")

@@ -35,36 +35,34 @@ WITH d AS (
 SELECT doc_id, size, source_size, target, (size * epochs)::BIGINT AS taken, epochs FROM e
 """
 
+# Without seeds: every diagonal on which some token agrees is counted.
 DECONTAMINATION = r"""
 WITH b AS (
     SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS words FROM benchmark
 ), i AS (
-    SELECT item_id, words, len(words) AS n FROM b WHERE len(words) >= 5
+    SELECT row_number() OVER () AS part, item_id, words, len(words) AS n FROM b WHERE len(words) >= 5
 ), d AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS words FROM documents
-), masks AS (
-    SELECT 0 AS m, [0, 3, 4, 6, 7, 8] AS offs UNION ALL SELECT 1, [0, 1, 2, 3, 5, 8]
-    UNION ALL SELECT DISTINCT n, range(0, n) FROM i WHERE n < 9
-), si AS (
-    SELECT item_id, words AS iw, n, p, m, list_transform(offs, lambda o: words[p + o + 1]) AS seed
-    FROM (SELECT *, unnest(range(0, n)) AS p FROM i), masks WHERE p + offs[-1] < n
-), sd AS (
-    SELECT doc_id, words AS dw, p, m, list_transform(offs, lambda o: words[p + o + 1]) AS seed
-    FROM (SELECT *, unnest(range(0, len(words))) AS p FROM d), masks WHERE p + offs[-1] < len(words)
-), h AS (
-    SELECT DISTINCT doc_id, item_id, dw, iw, n, sd.p - si.p AS diag FROM sd JOIN si ON sd.m = si.m AND sd.seed = si.seed
-), a AS (
-    SELECT doc_id, item_id, n, diag, q, CASE WHEN dw[diag + q + 1] = iw[q + 1] THEN 1 ELSE 0 END AS same
-    FROM (SELECT *, unnest(range(greatest(0, -diag), least(n, len(dw) - diag))) AS q FROM h)
-), r AS (
-    SELECT doc_id, item_id, least(13, n) AS length,
-           CASE WHEN n >= 13 THEN sum(same) OVER w13 ELSE sum(same) OVER whole END AS matched,
-           CASE WHEN n >= 13 THEN count(*) OVER w13 ELSE count(*) OVER whole END AS seen
-    FROM a
-    WINDOW w13 AS (PARTITION BY doc_id, item_id, diag ORDER BY q ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING),
-           whole AS (PARTITION BY doc_id, item_id, diag)
+    SELECT row_number() OVER () AS part, doc_id, words, len(words) AS n
+    FROM (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS words FROM documents)
+), it AS (
+    SELECT part, item_id, n, unnest(words) AS word, unnest(range(0, n)) AS q FROM i
+), dt AS (
+    SELECT part, doc_id, n, unnest(words) AS word, unnest(range(0, n)) AS p FROM d
+), m AS (
+    SELECT dt.part AS dp, it.part AS ip, doc_id, item_id, least(13, it.n) AS length, p - q AS diag, q,
+           greatest(0, q - p) AS lo, least(it.n, dt.n - (p - q)) - 1 AS hi
+    FROM it JOIN dt USING (word)
+), c AS (
+    -- a run that begins at a token that agrees, or the last run of the diagonal
+    SELECT doc_id, item_id, length, hi - lo + 1 AS room,
+           CASE WHEN q <= hi - length + 1
+                THEN CASE WHEN length = 13 THEN count(*) OVER run ELSE count(*) OVER diagonal END
+                ELSE count(CASE WHEN q > hi - length THEN 1 END) OVER diagonal END AS matched
+    FROM m
+    WINDOW run AS (PARTITION BY dp, ip, diag ORDER BY q RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING),
+           diagonal AS (PARTITION BY dp, ip, diag)
 ), f AS (
-    SELECT doc_id, list_sort(list(DISTINCT item_id)) AS items FROM r WHERE seen >= length AND matched >= 0.8 * length GROUP BY doc_id
+    SELECT doc_id, list_sort(list(DISTINCT item_id)) AS items FROM c WHERE room >= length AND matched >= 0.8 * length GROUP BY doc_id
 )
 SELECT documents.doc_id, items IS NOT NULL AS contaminated, coalesce(len(items), 0)::BIGINT AS n_items, coalesce(array_to_string(items, ','), '') AS items
 FROM documents LEFT JOIN f ON documents.doc_id = f.doc_id

@@ -142,6 +142,26 @@ def test_overlaps_tolerate_substitutions(spark, docs_of, odd_rows):
     assert not any(r["contaminated"] for r in decontam.verdicts(docs, bench.where("false")).collect())
 
 
+@pytest.mark.parametrize("most", [decontam.BROADCAST_SEEDS, 0])
+def test_verdicts_equal_plain_alignment(spark, monkeypatch, most):
+    """Items of 3 to 30 tokens, planted whole or in part with substitutions, by SQL that knows no masks; seeds broadcast and shuffled."""
+    monkeypatch.setattr(decontam, "BROADCAST_SEEDS", most)
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(40)]
+    items = [(n, " ".join(rng.choices(words, k=n))) for n in (3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 20, 30)]
+    docs = []
+    for k in range(260):
+        item = rng.choice(items)[1].split()
+        a = rng.randint(0, max(0, len(item) - 12)) if rng.random() < 0.5 else 0
+        part = [w if rng.random() > 0.12 else "other" for w in item[a : a + rng.randint(5, 30)]]
+        docs.append((k, " ".join([*rng.choices(words, k=rng.randint(0, 12)), *part, *rng.choices(words, k=rng.randint(0, 12))])))
+    frames = [spark.createDataFrame(x, f"{i} long, text string") for x, i in ((docs, "doc_id"), (items, "item_id"))]
+    got = {r["doc_id"]: list(r["item_ids"]) for r in decontam.verdicts(*frames).collect()}
+    documents, benchmark = (f.toPandas() for f in frames)  # noqa: F841
+    want = {r[0]: [int(x) for x in r[3].split(",") if x] for r in duckdb.connect().sql(ORACLES["op6_decontamination"]).fetchall()}
+    assert got == want and 40 < sum(map(bool, want.values())) < 250
+
+
 @pytest.mark.parametrize("name", ["op3_mixing", "op6_decontamination"])
 def test_queries_equal_their_sql(spark, name):
     from kpiloom.llm.queries import QUERIES
